@@ -1,0 +1,5 @@
+"""Deliberately empty: the workload is a weekly batch without watermarks or sessions.
+
+What a stream would call late-data handling is the weekly freeze, a batch operator: see
+``fiscalweave.operators.freeze``.
+"""
