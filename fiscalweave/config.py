@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,6 +49,13 @@ def exclude_firms(firm: Column, firms: Sequence) -> Column | None:
     return ~firm.isin(list(firms)) if firms else None
 
 
+def literal(value: str | int | float) -> str:
+    """A configuration value as a SQL literal."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
 @dataclass(frozen=True)
 class TagRule:
     """Conditions, all of which a sales event must meet to carry ``tag``; None means any value."""
@@ -64,21 +70,47 @@ class TagRule:
     offer_contains_any_case: tuple[str, ...] = ()
     keep_excluded_firms: bool = True
 
-    def predicate(self, excluded_firms: Sequence = ()) -> Column:
-        terms = [F.col(name) == value for name in ("event_type", "offering", "category", "product")
+    def condition(self, excluded_firms: Sequence = ()) -> str:
+        """The rule as SQL text over the booking columns."""
+        terms = [f"{name} = {literal(value)}"
+                 for name in ("event_type", "offering", "category", "product")
                  if (value := getattr(self, name)) is not None]
         if self.product_not is not None:
-            terms.append(F.col("product") != self.product_not)
-        terms += [F.contains(F.col("offer_name"), F.lit(s)) for s in self.offer_contains]
-        terms += [F.contains(F.lower(F.col("offer_name")), F.lit(s.lower()))
+            terms.append(f"product <> {literal(self.product_not)}")
+        terms += [f"contains(offer_name, {literal(s)})" for s in self.offer_contains]
+        terms += [f"contains(lower(offer_name), {literal(s.lower())})"
                   for s in self.offer_contains_any_case]
-        if not self.keep_excluded_firms:
-            firm_ok = exclude_firms(F.col("firm_id"), excluded_firms)
-            if firm_ok is not None:
-                terms.append(firm_ok)
+        if not self.keep_excluded_firms and excluded_firms:
+            terms.append(f"firm_id NOT IN ({', '.join(map(literal, excluded_firms))})")
         if not terms:
             raise ValueError(f"rule {self.tag} has no condition")
-        return reduce(Column.__and__, terms)
+        return f"({' AND '.join(terms)})"
+
+    def predicate(self, excluded_firms: Sequence = ()) -> Column:
+        return F.expr(self.condition(excluded_firms))
+
+    def covers(self, other: TagRule) -> bool:
+        """True when every row ``other`` matches is certainly matched by this rule as well."""
+        def free_or_same(name: str) -> bool:
+            return getattr(self, name) in (None, getattr(other, name))
+
+        product_ok = (free_or_same("product_not")
+                      or other.product not in (None, self.product_not))
+        return (all(map(free_or_same, ("event_type", "offering", "category", "product")))
+                and product_ok
+                and set(self.offer_contains) <= set(other.offer_contains)
+                and set(self.offer_contains_any_case) <= set(other.offer_contains_any_case)
+                and (self.keep_excluded_firms or not other.keep_excluded_firms))
+
+
+def broadest(rules: Sequence[TagRule]) -> list[TagRule]:
+    """The rules no other rule covers: together they match the same rows as all of them."""
+    kept: list[TagRule] = []
+    for i, rule in enumerate(rules):
+        if not any(other.covers(rule) and not (rule.covers(other) and j > i)
+                   for j, other in enumerate(rules) if j != i):
+            kept.append(rule)
+    return kept
 
 
 @dataclass(frozen=True)

@@ -29,48 +29,63 @@ class FiscalRule:
     def _year_shift(self) -> int:
         return 0 if self.start_month == 1 else 1
 
-    # -- columns ---------------------------------------------------------------------------------
+    # -- columns; ``d`` is the SQL text of a date, as in "event_date" or "to_date(ts)" ---------------
 
-    def year(self, d: Column) -> Column:
+    def _year(self, d: str) -> str:
         if self._year_shift == 0:
-            return F.year(d)
-        return F.year(d) + F.when(F.month(d) >= self.start_month, 1).otherwise(0)
+            return f"year({d})"
+        return f"(year({d}) + CASE WHEN month({d}) >= {self.start_month} THEN 1 ELSE 0 END)"
 
-    def year_start(self, d: Column) -> Column:
-        return F.make_date(self.year(d) - self._year_shift, F.lit(self.start_month), F.lit(1))
+    def _year_start(self, d: str) -> str:
+        return f"make_date({self._year(d)} - {self._year_shift}, {self.start_month}, 1)"
 
-    def _months_in(self, d: Column) -> Column:
-        return (F.month(d) + (12 - self.start_month)) % 12
+    def _months_in(self, d: str) -> str:
+        return f"((month({d}) + {12 - self.start_month}) % 12)"
 
-    def quarter(self, d: Column) -> Column:
-        return (F.floor(self._months_in(d) / 3) + 1).cast("int")
+    def _quarter(self, d: str) -> str:
+        return f"CAST({self._months_in(d)} DIV 3 + 1 AS INT)"
 
-    def quarter_start(self, d: Column) -> Column:
-        return F.trunc(F.add_months(d, -(self._months_in(d) % 3)), "month")
+    def _quarter_start(self, d: str) -> str:
+        return f"trunc(add_months({d}, -({self._months_in(d)} % 3)), 'MONTH')"
 
-    def quarter_end(self, d: Column) -> Column:
-        return F.date_sub(F.add_months(self.quarter_start(d), 3), 1)
+    def _back(self, d: str) -> str:
+        """Days since the last start of a week."""
+        return f"((dayofweek({d}) - {self.week_start} + 7) % 7)"
 
-    def week(self, d: Column) -> Column:
-        start = self.year_start(d)
-        offset = (F.dayofweek(start) - self.week_start + 7) % 7
-        return (F.floor((F.datediff(d, start) + offset) / 7) + 1).cast("int")
+    def _week_begin(self, d: str) -> str:
+        return f"date_sub({d}, {self._back(d)})"
 
-    def week_begin(self, d: Column) -> Column:
+    def year(self, d: str) -> Column:
+        return F.expr(self._year(d))
+
+    def quarter(self, d: str) -> Column:
+        return F.expr(self._quarter(d))
+
+    def quarter_start(self, d: str) -> Column:
+        return F.expr(self._quarter_start(d))
+
+    def quarter_end(self, d: str) -> Column:
+        return F.expr(f"date_sub(add_months({self._quarter_start(d)}, 3), 1)")
+
+    def week(self, d: str) -> Column:
+        start = self._year_start(d)
+        return F.expr(f"CAST((datediff({d}, {start}) + {self._back(start)}) DIV 7 + 1 AS INT)")
+
+    def week_begin(self, d: str) -> Column:
         """First day of the unbroken seven-day week around ``d`` (ignores fiscal-year ends)."""
-        return F.date_sub(d, (F.dayofweek(d) - self.week_start + 7) % 7)
+        return F.expr(self._week_begin(d))
 
-    def year_age(self, d: Column, as_of: dt.date) -> Column:
-        return F.lit(self.position(as_of)[0]) - self.year(d)
+    def year_age(self, d: str, as_of: dt.date) -> Column:
+        return F.expr(f"{self.position(as_of)[0]} - {self._year(d)}")
 
-    def quarter_age(self, d: Column, as_of: dt.date) -> Column:
+    def quarter_age(self, d: str, as_of: dt.date) -> Column:
         fy, qtr, _ = self.position(as_of)
-        return F.lit(fy * 4 + qtr) - (self.year(d) * 4 + self.quarter(d))
+        return F.expr(f"{fy * 4 + qtr} - ({self._year(d)} * 4 + {self._quarter(d)})")
 
-    def week_age(self, d: Column, as_of: dt.date) -> Column:
+    def week_age(self, d: str, as_of: dt.date) -> Column:
         back = (as_of.isoweekday() % 7 + 1 - self.week_start + 7) % 7
         begin = as_of - dt.timedelta(days=back)
-        return F.floor(F.datediff(F.lit(begin), self.week_begin(d)) / 7).cast("int")
+        return F.expr(f"CAST(datediff(DATE'{begin}', {self._week_begin(d)}) DIV 7 AS INT)")
 
     # -- scalars, for parameters only --------------------------------------------------------------
 

@@ -29,14 +29,14 @@ def date_spine_of(df: DataFrame, date: Column) -> DataFrame:
 
 
 def fiscal_calendar(days: DataFrame, rule: FiscalRule) -> DataFrame:
-    d = F.col("date")
+    d = "date"
     return days.select("date", rule.year(d).alias("fy"), rule.quarter(d).alias("qtr"),
                        rule.week(d).alias("week"))
 
 
 def date_ext(days: DataFrame, rule: FiscalRule, as_of: dt.date) -> DataFrame:
     """Calendar with quarter bounds and ages: 0 is the current period, 1 the one before it."""
-    d = F.col("date")
+    d = "date"
     return fiscal_calendar(days, rule).select(
         "*", rule.quarter_start(d).alias("qtr_start"), rule.quarter_end(d).alias("qtr_end"),
         rule.year_age(d, as_of).alias("fiscal_year_age"),

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalweave.config import RegionRules, TagRule, exclude_firms
+from fiscalweave.config import RegionRules, TagRule, broadest, exclude_firms, literal
 from fiscalweave.functions.calendar import FiscalRule
 from fiscalweave.functions.measures import not_future
 from fiscalweave.operators.calendar import date_spine, fiscal_calendar
@@ -67,30 +67,37 @@ def implied_filter(rules: Sequence[TagRule]) -> Column | None:
     return reduce(Column.__and__, terms) if terms else None
 
 
+def any_rule(rules: Sequence[TagRule], excluded_firms: Sequence = ()) -> Column:
+    """Rows that get at least one tag. Rules inside a broader one add nothing and are left out."""
+    matched = F.expr(" OR ".join(r.condition(excluded_firms) for r in broadest(rules)))
+    implied = implied_filter(rules)
+    return matched if implied is None else implied & matched
+
+
 def multi_rule_tag(df: DataFrame, rules: Sequence[TagRule], excluded_firms: Sequence = ()
                    ) -> DataFrame:
     """One output row per matching rule, from a single pass over the input."""
-    implied = implied_filter(rules)
-    if implied is not None:
-        df = df.filter(implied)
-    tags = F.array_compact(F.array(*[F.when(r.predicate(excluded_firms), F.lit(r.tag))
-                                     for r in rules]))
-    return df.withColumn("table_type", F.explode(tags))
+    return _unfold(df.filter(any_rule(rules, excluded_firms)), rules,
+                   [r.condition(excluded_firms) for r in rules])
+
+
+def _unfold(df: DataFrame, rules: Sequence[TagRule], conditions: Sequence[str]) -> DataFrame:
+    """One row per rule whose condition holds, the rule's tag in ``table_type``."""
+    cases = ", ".join(f"CASE WHEN {cond} THEN {literal(r.tag)} END"
+                      for r, cond in zip(rules, conditions))
+    return df.withColumn("table_type", F.expr(f"explode(array_compact(array({cases})))"))
 
 
 def tag_mask(rules: Sequence[TagRule], excluded_firms: Sequence = ()) -> Column:
     """Bit i set where rule i matches."""
     if len(rules) > 63:
         raise ValueError("more than 63 rules do not fit one mask; split them over several calls")
-    bits = [F.when(r.predicate(excluded_firms), F.lit(1 << i).cast("long"))
-            .otherwise(F.lit(0).cast("long")) for i, r in enumerate(rules)]
-    return reduce(Column.bitwiseOR, bits)
+    return F.expr(" | ".join(f"CASE WHEN {r.condition(excluded_firms)} THEN {1 << i}L ELSE 0L END"
+                             for i, r in enumerate(rules)))
 
 
-def explode_mask(mask: Column, rules: Sequence[TagRule]) -> Column:
-    return F.explode(F.array_compact(F.array(*[
-        F.when(mask.bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(r.tag))
-        for i, r in enumerate(rules)])))
+def explode_mask(df: DataFrame, rules: Sequence[TagRule], mask: str = "mask") -> DataFrame:
+    return _unfold(df, rules, [f"({mask} & {1 << i}L) <> 0" for i in range(len(rules))])
 
 
 # -- the event table -------------------------------------------------------------------------------
@@ -151,15 +158,12 @@ def weekly_events(bookings: DataFrame, agents: DataFrame, rule: FiscalRule,
     fact = in_period(bookings, "event_date", rule, fy, qtr)
     if teams is not None:
         fact = filter_allowlist(fact, "team_raw", teams)
-    implied = implied_filter(rules)
-    if implied is not None:
-        fact = fact.filter(implied)
-    fact = fact.withColumn("mask", tag_mask(rules, excluded_firms)).filter("mask <> 0")
+    fact = fact.filter(any_rule(rules, excluded_firms))
+    fact = fact.withColumn("mask", tag_mask(rules, excluded_firms))
     fact = join_calendar(fact, period_calendar(fact, rule, fy, qtr), fy, qtr)
     fact = join_scd_current(fact, agents)
     merged = fact.groupBy(*EVENT_KEYS).agg(F.bit_or("mask").alias("mask"))
-    tagged = merged.withColumn("table_type", explode_mask(F.col("mask"), rules))
-    return as_contract(region_bucket(tagged, regions))
+    return as_contract(region_bucket(explode_mask(merged, rules), regions))
 
 
 def as_contract(df: DataFrame) -> DataFrame:

@@ -87,14 +87,14 @@ def product_flags(df: DataFrame, rules: ProductRules, recent: bool = False) -> D
 def with_ages(df: DataFrame, rule: FiscalRule, as_of: dt.date, date: str = "event_date"
               ) -> DataFrame:
     """Fiscal period, its age relative to ``as_of`` and the recency flags of an event."""
-    d = F.col(date)
+    d = date
     start = rule.quarter_start(d)
     week_age = rule.week_age(d, as_of)
     return df.withColumns({
         "fy": rule.year(d), "qtr": rule.quarter(d), "week": rule.week(d),
         "fiscal_year_age": rule.year_age(d, as_of), "fiscal_qtr_age": rule.quarter_age(d, as_of),
         "week_age": week_age, "qtr_start": start,
-        "flag_28days": flag(recency(d, 0, 28, start)),
+        "flag_28days": flag(recency(F.col(d), 0, 28, start)),
         "last_4_week_flag": yes_no(week_age.between(1, 4)),
         "last_13_week_flag": yes_no(week_age.between(1, 13))})
 

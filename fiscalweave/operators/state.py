@@ -95,7 +95,7 @@ def resolve_state_only(grid: DataFrame, caps: DataFrame) -> DataFrame:
         F.when(future, FORECAST).when(was_forecast & filled, ACTUAL)
         .otherwise(F.col("state")).alias("state"),
         "is_manual", (was_forecast & filled).alias("changed"),
-        ~(future | (was_forecast & ~filled)).alias("resolved"))
+        (~(future | (was_forecast & ~filled))).alias("resolved"))
 
 
 def completed_week_flags(resolved: DataFrame) -> DataFrame:

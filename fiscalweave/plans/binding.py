@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fiscalweave.config import (CancelRules, MotionRules, OpportunityRules, OwnerRules,
                                 ProductRules, RegionRules, TagRule)
@@ -78,6 +79,27 @@ DIVISIONS_L4 = ("L4_0", "L4_1", "L4_2")
 FORECAST_TEAMS = {f"{t} FCST": t for t in TEAMS} | {"RETIRED FCST": "RETIRED"}
 
 
+# Column types of the driver's files; stating them spares a schema-reading job per table.
+_INT, _LONG, _DOUBLE, _TEXT, _TIME = (T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(),
+                                      T.TimestampNTZType())
+SCHEMAS = {name: T.StructType([T.StructField(c, t) for c, t in fields.items()]) for name, fields in {
+    "nation": {"n_nationkey": _INT, "n_name": _TEXT, "n_regionkey": _INT},
+    "customer": {"c_custkey": _LONG, "c_name": _TEXT, "c_nationkey": _INT, "c_acctbal": _DOUBLE,
+                 "c_mktsegment": _TEXT},
+    "supplier": {"s_suppkey": _LONG, "s_name": _TEXT, "s_nationkey": _INT, "s_acctbal": _DOUBLE},
+    "part": {"p_partkey": _LONG, "p_name": _TEXT, "p_brand": _TEXT, "p_type": _TEXT, "p_size": _INT,
+             "p_retailprice": _DOUBLE},
+    "orders": {"o_orderkey": _LONG, "o_custkey": _LONG, "o_orderstatus": _TEXT,
+               "o_totalprice": _DOUBLE, "o_orderdate": _TIME, "o_orderpriority": _TEXT},
+    "lineitem": {"l_orderkey": _LONG, "l_partkey": _LONG, "l_suppkey": _LONG, "l_linenumber": _INT,
+                 "l_quantity": _DOUBLE, "l_extendedprice": _DOUBLE, "l_discount": _DOUBLE,
+                 "l_tax": _DOUBLE, "l_returnflag": _TEXT, "l_linestatus": _TEXT,
+                 "l_shipdate": _TIME},
+    "events": {"event_id": _LONG, "ts": _TIME, "user_id": _LONG, "event_type": _TEXT,
+               "value": _DOUBLE, "props": _TEXT},
+}.items()}
+
+
 class Tables:
     """Logical tables of one data folder."""
 
@@ -85,7 +107,7 @@ class Tables:
         self.spark, self.root = spark, root
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.root, name)
+        return read_table(self.spark, self.root, name, SCHEMAS.get(name))
 
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """A written table for a frame that several branches of one query read."""
@@ -290,7 +312,7 @@ class Tables:
         """Last year's orders as next year's plan: text cells, some unreadable, some rows blank."""
         o = self.raw("orders").select("o_custkey", F.to_date("o_orderdate").alias("d"))
         c = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-        d = F.col("d")
+        d = "d"
         wide = (o.join(c, "o_custkey")
                 .groupBy((RULE.year(d) + 1).alias("fy"), RULE.quarter(d).alias("qtr"),
                          RULE.week(d).alias("week"))

@@ -32,6 +32,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
              .config("spark.driver.memory", "12g")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+             # Recording a Python stack per column expression costs more than planning it.
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)

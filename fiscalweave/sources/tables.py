@@ -6,13 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fiscalweave.schemas import require_columns
 
 
-def read_table(spark: SparkSession, root: str | None, name: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str | None, name: str,
+               schema: T.StructType | None = None) -> DataFrame:
     """A parquet table under ``root``, or a catalog table when there is no root."""
-    return spark.table(name) if root is None else spark.read.parquet(f"{root}/{name}.parquet")
+    if root is None:
+        return spark.table(name)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{root}/{name}.parquet")
 
 
 def sheet_as_table(sheet: DataFrame, required: Sequence[str], key: str) -> DataFrame:
