@@ -104,28 +104,33 @@ def join_parent_rollup(df: DataFrame, accounts: DataFrame, account: str) -> Data
     child = accounts.select(F.col("company_id").alias(account), F.col("parent_id"))
     parent = accounts.select(F.col("id").alias("parent_id"),
                              F.col("company_id").alias("parent_company_id"))
-    return lookup_join(df, child.join(parent, "parent_id").drop("parent_id"), [account], "inner")
+    rollup = child.join(parent, "parent_id").drop("parent_id")  # at most one row per account
+    return lookup_join(df, rollup, [account], "inner", sized_by=accounts)
 
 
 def sales_base(bookings: DataFrame, accounts: DataFrame, product_offer: DataFrame,
                offers: DataFrame, rule: FiscalRule, as_of: dt.date, divisions: Sequence[str],
                event_type: str, super_channels: Sequence[str], motion: MotionRules,
-               max_week_age: int | None = None) -> DataFrame:
+               weeks: int = 13) -> DataFrame:
     """Completed weeks of the current fiscal year with parent account, offer and motion.
 
-    ``max_week_age`` limits the window to that many weeks; None keeps the current quarter instead.
-    Bookings are cut by a plain date range before any join.
+    Holds the rows of the current quarter (``in_qtd``) and of the last ``weeks`` weeks
+    (``in_recent``), so both windows come from one scan. Bookings are cut by a plain date range
+    before any join.
     """
     fy, qtr, _ = rule.position(as_of)
-    first, last = rule.bounds(fy, qtr if max_week_age is None else None)
-    last = min(last, as_of)  # nothing later has a week age above 0
-    df = bookings.filter(F.col("event_date").between(F.lit(first), F.lit(last))
+    first, last = rule.bounds(fy)
+    quarter_start, _ = rule.bounds(fy, qtr)
+    # No window reaches further back, and nothing after as_of has a week age above 0.
+    first = max(first, min(quarter_start, as_of - dt.timedelta(days=7 * (weeks + 1))))
+    df = bookings.filter(F.col("event_date").between(F.lit(first), F.lit(min(last, as_of)))
                          & (F.col("event_type") == event_type)
                          & F.col("super_channel").isin(list(super_channels))
                          & F.col("division_l4").isin(list(divisions)))
-    df = with_ages(df, rule, as_of).filter(F.col("week_age") > 0)
-    if max_week_age is not None:
-        df = df.filter(F.col("week_age") <= max_week_age)
+    df = (with_ages(df, rule, as_of).filter(F.col("week_age") > 0)
+          .withColumns({"in_qtd": F.col("fiscal_qtr_age") == 0,
+                        "in_recent": F.col("week_age") <= weeks})
+          .filter("in_qtd OR in_recent"))
     offer_of = (product_offer.select("offer_key", "src_offer_id")
                 .withColumn("offer_id", F.col("src_offer_id").cast("string")))
     df = lookup_join(df, offer_of, ["offer_key"], "inner")
@@ -138,6 +143,16 @@ def sales_base(bookings: DataFrame, accounts: DataFrame, product_offer: DataFram
                          ).withColumn("team", F.col("division_l3"))
 
 
+def qtd_sales(base: DataFrame, products: ProductRules) -> DataFrame:
+    """Quarter-to-date rows of ``sales_base`` with the quarter's product flags."""
+    return product_flags(base.filter("in_qtd"), products)
+
+
+def recent_sales(base: DataFrame, products: ProductRules) -> DataFrame:
+    """Rows of the last 13 weeks of ``sales_base`` with the 13-week product flags."""
+    return product_flags(base.filter("in_recent"), products, recent=True)
+
+
 def runrate_itf(base: DataFrame, slices: Mapping[str, str], run_rate: str = "Runrate") -> DataFrame:
     """Run-rate and total distinct accounts per team and product slice.
 
@@ -170,10 +185,35 @@ def team_distinct(sales: DataFrame, run_rate: str = "Runrate") -> DataFrame:
                           F.col("rr_sales").alias("qtd_runrate_sales"))
 
 
+def with_run_rate(counted: DataFrame, weeks: int = 13) -> DataFrame:
+    """Weekly run-rate, always over the full window length, and run-rate share, per team."""
+    return counted.select("team", (F.col("rr_sales") / F.lit(float(weeks))).alias("avg_weekly_rr"),
+                          safe_div(F.col("rr_sales"), F.col("total_sales")).alias("rr_rate"))
+
+
 def avg_weekly_rr(runrate: DataFrame, core: str, weeks: int = 13) -> DataFrame:
-    """Weekly run-rate of the core slice: always divided by the full window length."""
-    return runrate.filter(F.col("rr_type") == core).select(
-        "team", (F.col("rr_sales") / F.lit(float(weeks))).alias("avg_weekly_rr"),
+    """Run-rate figures of the core product slice."""
+    return with_run_rate(runrate.filter(F.col("rr_type") == core), weeks)
+
+
+def sales_measures(base: DataFrame, products: ProductRules, run_rate: str = "Runrate",
+                   weeks: int = 13) -> DataFrame:
+    """Quarter-to-date accounts and the core run-rate per team, from one pass over the base.
+
+    Rows fold to one per team and account before anything is counted, so no distinct aggregate has
+    to expand them.
+    """
+    rr = F.col("motion") == run_rate
+    core = F.col("in_recent") & (F.col("product_family") == products.core_family)
+    seen = (base.filter(F.col("account_id").isNotNull()).groupBy("team", "account_id")
+            .agg(F.bool_or("in_qtd").alias("q"), F.bool_or(F.col("in_qtd") & rr).alias("q_rr"),
+                 F.bool_or(core).alias("c"), F.bool_or(core & rr).alias("c_rr")))
+    counted = seen.groupBy("team").agg(
+        F.count_if("q").alias("qtd_sales"), F.count_if("q_rr").alias("qtd_runrate_sales"),
+        F.count_if("c").alias("total_sales"), F.count_if("c_rr").alias("rr_sales"))
+    return counted.select(
+        "team", "qtd_sales", "qtd_runrate_sales",
+        (F.col("rr_sales") / F.lit(float(weeks))).alias("avg_weekly_rr"),
         safe_div(F.col("rr_sales"), F.col("total_sales")).alias("rr_rate"))
 
 
@@ -255,6 +295,17 @@ def opportunity_pipeline(opps: DataFrame, lines: DataFrame, prices: DataFrame, u
         flag(F.col("stage").isin(list(rules.late_stages))).alias("latestage_flag")).distinct()
 
 
+def _conversion(recent: Column) -> Column:
+    def hits(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(recent, F.col(name).cast("int"))), F.lit(0))
+
+    return hits("iswon") / F.greatest(hits("isclosed"), F.lit(1))
+
+
+def _closing_since(as_of: dt.date, days: int) -> Column:
+    return F.col("close_date") >= F.lit(as_of - dt.timedelta(days=days))
+
+
 def conversion_rate(pipeline: DataFrame, as_of: dt.date, days: int = 60,
                     distinct_ids: bool = False) -> DataFrame:
     """Won over closed per team for rows closing from ``days`` before ``as_of`` on.
@@ -262,13 +313,10 @@ def conversion_rate(pipeline: DataFrame, as_of: dt.date, days: int = 60,
     Counts pipeline rows (one per line item) and sets no upper date; ``distinct_ids`` counts each
     opportunity once instead.
     """
-    since = as_of - dt.timedelta(days=days)
-    recent = pipeline.filter(F.col("close_date") >= F.lit(since))
+    recent = pipeline.filter(_closing_since(as_of, days))
     if distinct_ids:
         recent = recent.select("team", "id", "iswon", "isclosed").distinct()
-    won, closed = F.sum(F.col("iswon").cast("int")), F.sum(F.col("isclosed").cast("int"))
-    return recent.groupBy("team").agg(
-        (won / F.greatest(closed, F.lit(1))).alias("opp_conv_rate"))
+    return recent.groupBy("team").agg(_conversion(F.lit(True)).alias("opp_conv_rate"))
 
 
 def open_opportunities(pipeline: DataFrame) -> DataFrame:
@@ -276,6 +324,14 @@ def open_opportunities(pipeline: DataFrame) -> DataFrame:
             .agg(F.count_distinct("id").alias("qtg_open_opps")))
 
 
+def pipeline_measures(pipeline: DataFrame, as_of: dt.date, days: int = 60) -> DataFrame:
+    """Conversion rate and open opportunities per team from one pass over the pipeline."""
+    is_open = F.col("opp_status") == "Open"
+    return pipeline.groupBy("team").agg(
+        _conversion(_closing_since(as_of, days)).alias("opp_conv_rate"),
+        F.count_distinct(F.when(is_open, F.col("id"))).alias("qtg_open_opps"))
+
+
 # -- team summary ----------------------------------------------------------------------------------------
 
 
@@ -296,20 +352,19 @@ RATIOS = ("qtd_itf", "qtd_rr_pct", "qtd_forecast_rr_pct", "qtd_runrate_itf", "qt
           "opp_conv_rate", "fcst_itf")
 
 
-def team_forecast_summary(sales: DataFrame, runrate: DataFrame, pipeline: DataFrame,
-                          forecast: DataFrame, rule: FiscalRule, as_of: dt.date, core: str
-                          ) -> DataFrame:
+def team_forecast_summary(base: DataFrame, products: ProductRules, pipeline: DataFrame,
+                          forecast: DataFrame, rule: FiscalRule, as_of: dt.date) -> DataFrame:
     """The 22 measures per team.
 
-    Inputs: quarter-to-date sales, 13-week run-rate per slice, opportunity lines and the long
-    forecast. Ratios are plain (not x100); rounding is half-even.
+    Inputs: the shared sales base, opportunity lines and the long forecast. Ratios are plain (not
+    x100); rounding is half-even.
     """
     fy, qtr, week = rule.position(as_of)
     _, quarter_end = rule.bounds(fy, qtr)
     weeks_left = max(0.0, (quarter_end - as_of).days / 7)
     s = join_align_teams([
-        team_distinct(sales), filtered_sum(forecast, fy, qtr, week), avg_weekly_rr(runrate, core),
-        conversion_rate(pipeline, as_of), open_opportunities(pipeline)])
+        sales_measures(base, products), filtered_sum(forecast, fy, qtr, week),
+        pipeline_measures(pipeline, as_of)])
     c = F.col
     s = s.withColumn("qtd_runrate_forecast", F.bround(c("qtd_forecast") * c("rr_rate"), 0))
     s = s.withColumns({

@@ -22,13 +22,15 @@ def planned_bytes(df: DataFrame) -> int | None:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
+                sized_by: DataFrame | None = None,
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a fact to a lookup side, broadcast only after a check of its planned size.
 
     A larger side takes ``salted_join``, so that a key holding a third of the fact is still spread
-    over many tasks.
+    over many tasks. ``sized_by`` names a table with as many rows as ``dim`` or more, for a dim
+    that is itself a join, whose planned size is a product of its inputs.
     """
-    size = planned_bytes(dim)
+    size = planned_bytes(dim if sized_by is None else sized_by)
     if size is not None and size <= broadcast_bytes:
         return fact.join(F.broadcast(dim), list(on), how)
     return salted_join(fact, dim, on, how)

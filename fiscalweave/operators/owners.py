@@ -119,7 +119,7 @@ def cancel_events(account_status: DataFrame, company_status: DataFrame, accounts
     status = status.groupBy("account_id").agg(
         F.max(F.struct("cancel_date", "firm_id", "country")).alias("s")).select("account_id", "s.*")
     owned = lookup_join(status, firm_owners(accounts, history, users, agents, as_of),
-                        ["firm_id"], "left")
+                        ["firm_id"], "left", sized_by=accounts)
     owned = owned.withColumn("account_owner", F.coalesce("agent_name", F.lit(unmanaged)))
     owned = join_calendar(owned, period_calendar(owned, rule, fy, qtr), fy, qtr, "cancel_date")
     return cancel_contract(owned.withColumn("team_raw", F.lit(None).cast("string")), regions)
@@ -209,12 +209,13 @@ def with_owner_outcome(events: DataFrame, keys: DataFrame, rules: OwnerRules,
                        owner: str = "account_owner") -> DataFrame:
     """Events with the team and outcome of their owner.
 
-    Names are classified once per distinct spelling. Joining the result back is where one owner
-    may hold a large share of the rows, hence the checked broadcast with a salted way beyond it.
+    Names are classified once per distinct spelling. How many there are is known only at run time,
+    so joining the result back is left to adaptive execution: a broadcast when the measured side is
+    small, else a join that splits the partition of an owner holding a large share of the rows.
     """
     named = events.withColumn("owner", F.coalesce(F.col(owner), F.lit("")))
     outcomes = owner_outcomes(named.select("owner").distinct(), keys, rules)
-    return lookup_join(named, outcomes, ["owner"], "left").drop("owner")
+    return named.join(outcomes, "owner", "left").drop("owner")
 
 
 def classify_owner(events: DataFrame, keys: DataFrame, rules: OwnerRules) -> DataFrame:

@@ -360,15 +360,18 @@ class Tables:
     def forecast(self) -> DataFrame:
         return fc.forecast_unpivot(self.forecast_wide, FORECAST_TEAMS)
 
-    def sales(self, recent: bool = False) -> DataFrame:
-        base = fc.sales_base(self.bookings, self.accounts, self.product_offer, self.offers, RULE,
-                             AS_OF, DIVISIONS_L4, "new", ("DIRECT",), MOTION,
-                             max_week_age=13 if recent else None)
-        return fc.product_flags(base, PRODUCTS, recent)
+    @cached_property
+    def sales_base(self) -> DataFrame:
+        return fc.sales_base(self.bookings, self.accounts, self.product_offer, self.offers, RULE,
+                             AS_OF, DIVISIONS_L4, "new", ("DIRECT",), MOTION)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return fc.qtd_sales(self.sales_base, PRODUCTS)
 
     @cached_property
     def runrate(self) -> DataFrame:
-        return fc.runrate_itf(self.sales(recent=True), {
+        return fc.runrate_itf(fc.recent_sales(self.sales_base, PRODUCTS), {
             "Core": "core_flag", "Advanced": "advanced_flag", "Payroll": "payroll_flag"})
 
     @cached_property

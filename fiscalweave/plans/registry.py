@@ -373,7 +373,7 @@ def _(t):
         qtg_open_opps FROM v_measures""")
 def _(t):
     aligned = fc.join_align_teams([
-        fc.team_distinct(t.sales()), fc.filtered_sum(t.forecast, FY, QTR, WEEK),
+        fc.team_distinct(t.sales), fc.filtered_sum(t.forecast, FY, QTR, WEEK),
         fc.conversion_rate(t.pipeline, AS_OF), fc.open_opportunities(t.pipeline)])
     return aligned.select("team", "qtd_sales", "qtd_runrate_sales", "qtd_forecast",
                           "total_finance_fcst", "opp_conv_rate", "qtg_open_opps")
@@ -444,7 +444,7 @@ def _(t):
     SELECT team, product, count(DISTINCT CASE WHEN motion = 'Runrate' THEN account_id END) AS rr_sales,
         count(DISTINCT account_id) AS total_sales FROM v_sales GROUP BY 1, 2""")
 def _(t):
-    return fc.conditional_distinct(t.sales(), ["team", "product"], c("motion") == "Runrate")
+    return fc.conditional_distinct(t.sales, ["team", "product"], c("motion") == "Runrate")
 
 
 @query("calendar_weeks", "SELECT * FROM v_weeks")
@@ -457,7 +457,7 @@ def _(t):
         count(DISTINCT CASE WHEN motion = 'Runrate' THEN account_id END) AS qtd_runrate_sales
     FROM v_sales GROUP BY 1""")
 def _(t):
-    return fc.team_distinct(t.sales())
+    return fc.team_distinct(t.sales)
 
 
 @query("filtered_sum", """
@@ -1025,7 +1025,7 @@ def _(t):
 
 
 def _summary(t: Tables) -> DataFrame:
-    return fc.team_forecast_summary(t.sales(), t.runrate, t.pipeline, t.forecast, RULE, AS_OF, "Core")
+    return fc.team_forecast_summary(t.sales_base, PRODUCTS, t.pipeline, t.forecast, RULE, AS_OF)
 
 
 @query("team_forecast_summary", "SELECT * FROM v_summary")
@@ -1318,7 +1318,7 @@ def _(t):
 
 @query("runrate_itf", "SELECT team, rr_type, rr_sales, total_sales FROM v_runrate")
 def _(t):
-    base = t.sales(recent=True)
+    base = fc.recent_sales(t.sales_base, PRODUCTS)
     return fc.runrate_itf(base, {"Core": "core_flag", "Advanced": "advanced_flag",
                                  "Payroll": "payroll_flag"})
 
@@ -1328,7 +1328,7 @@ def _(t):
         signup_category, promotion, use, motion, advanced_flag, payroll_flag, core_flag, fy, qtr,
         week, week_age FROM v_sales""")
 def _(t):
-    return t.sales().select(
+    return t.sales.select(
         "event_date", "account_id", "parent_company_id", "team", "product", "product_family",
         "offer_id", "signup_category", "promotion", "use", "motion", "advanced_flag", "payroll_flag",
         "core_flag", "fy", "qtr", "week", "week_age")
