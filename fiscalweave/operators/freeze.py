@@ -28,14 +28,16 @@ def not_in_weeks(df: DataFrame, frozen: DataFrame, week: str = "fweek") -> DataF
 
 
 def weekly_freeze(store: DataFrame, fresh: DataFrame, fy: int, qtr: int,
-                  current_week: int | None, week: str = "fweek") -> Frozen:
+                  current_week: int | None, week: str = "fweek",
+                  closed_weeks: DataFrame | None = None) -> Frozen:
     """Merge fresh rows of a quarter with the locked ones.
 
     Closed weeks come from the store; a closed week the store lacks is taken from the fresh rows
     and locked; the open week and later ones are always fresh. ``current_week`` None means the
     quarter is over. Rows without a week drop out. Running it twice changes nothing more.
 
-    A closed week that had no rows leaves no trace in the store, so late rows may still fill it.
+    A closed week that had no rows leaves no trace in the store, so late rows may still fill it,
+    unless ``closed_weeks`` (fy, qtr, week) marks it as recorded.
     """
     cur = ALL_CLOSED if current_week is None else current_week
     columns = fresh.columns
@@ -43,7 +45,10 @@ def weekly_freeze(store: DataFrame, fresh: DataFrame, fy: int, qtr: int,
     locked = store.filter(in_quarter)
     others = store.filter(~F.coalesce(in_quarter, F.lit(False)))
 
-    newly_closed = not_in_weeks(fresh.filter(F.col(week) < cur), locked, week)
+    recorded = locked.select(week)
+    if closed_weeks is not None:
+        recorded = recorded.unionByName(closed_weeks.filter(in_quarter).select(week))
+    newly_closed = not_in_weeks(fresh.filter(F.col(week) < cur), recorded, week)
     closed = locked.filter(F.col(week) < cur).unionByName(newly_closed).select(*columns)
     is_open = fresh.filter(F.col(week) >= cur)
     return Frozen(events=closed.unionByName(is_open),

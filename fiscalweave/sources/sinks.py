@@ -58,29 +58,43 @@ def latest_run(run_meta: DataFrame) -> DataFrame:
             .select("fy", "qtr", "m.*"))
 
 
-def write_freeze(store: DataFrame, target: str, run_id: str, fy: int, qtr: int,
-                 week: str = "fweek") -> None:
-    """Write the closed weeks of one quarter as partitions of a new run.
+RUN_KEYS = ("fy", "qtr", "run_id")
+
 
-    Other quarters are not rewritten, and the run being read is never overwritten. Nothing is
-    visible to ``read_freeze`` before ``append_run_meta`` names the run.
+def write_run(df: DataFrame, target: str, run_id: str, fy: int, qtr: int,
+              partition_by: Sequence[str] = ()) -> None:
+    """Write one quarter's rows of a run as partitions of their own.
+
+    Other quarters are not rewritten and the run being read is never overwritten; repeating a run
+    replaces only its own partitions. Nothing is visible to ``read_run`` before ``append_run_meta``
+    names the run. The rebalance gives even files: small partitions are joined, and one holding a
+    large share of the rows is split over several tasks.
     """
-    (store.filter((F.col("fy") == fy) & (F.col("qtr") == qtr))
-     .withColumn("run_id", F.lit(run_id))
-     .repartition("fy", "qtr", "run_id", week, F.pmod(F.xxhash64(*store.columns), F.lit(32)))
+    keys = [*RUN_KEYS, *partition_by]
+    (df.filter((F.col("fy") == fy) & (F.col("qtr") == qtr))
+     .withColumn("run_id", F.lit(run_id)).hint("rebalance", *keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("fy", "qtr", "run_id", week).parquet(target))
+     .partitionBy(*keys).parquet(target))
 
 
-def read_freeze(spark: SparkSession, target: str, run_meta: DataFrame,
-                schema: T.StructType) -> DataFrame:
-    """The store as of the latest committed run of every quarter."""
+def read_run(spark: SparkSession, target: str, run_meta: DataFrame, schema: T.StructType
+             ) -> DataFrame:
+    """Rows of the latest committed run of every quarter."""
     stored = spark.read.schema(
         T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])).parquet(target)
     # One row per fiscal quarter, and the join key is the partition path: only the live run of
     # each quarter is read.
-    live = latest_run(run_meta).select("fy", "qtr", "run_id")
-    return stored.join(live, ["fy", "qtr", "run_id"]).select(*schema.names)
+    live = latest_run(run_meta).select(*RUN_KEYS)
+    return stored.join(live, list(RUN_KEYS)).select(*schema.names)
+
+
+def write_freeze(store: DataFrame, target: str, run_id: str, fy: int, qtr: int,
+                 week: str = "fweek") -> None:
+    """Replace the closed weeks of one quarter, by way of a new run."""
+    write_run(store, target, run_id, fy, qtr, [week])
+
+
+read_freeze = read_run
 
 
 # -- exports -------------------------------------------------------------------------------------

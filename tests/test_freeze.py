@@ -40,6 +40,9 @@ def test_closed_week_without_rows_can_fill_later(spark):
     first = weekly_freeze(frame(spark, []), frame(spark, []), 26, 4, 45)
     second = weekly_freeze(first.store, frame(spark, [(26, 4, 41, "late")]), 26, 4, 45)
     assert short(second.store) == [(26, 4, 41, "late")]
+    marked = weekly_freeze(first.store, frame(spark, [(26, 4, 41, "late"), (26, 4, 42, "new")]),
+                           26, 4, 45, closed_weeks=frame(spark, [(26, 4, 41, None), (25, 4, 42, None)]))
+    assert short(marked.store) == [(26, 4, 42, "new")]
 
 
 EVENT = some.tuples(some.just(26), some.just(4), some.integers(40, 47), some.sampled_from("abc"))
