@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL_CLOSED = 999
@@ -18,13 +18,18 @@ class Frozen:
     store: DataFrame
 
 
-def not_in_weeks(df: DataFrame, frozen: DataFrame, week: str = "fweek") -> DataFrame:
-    """Rows whose week does not occur in another frame.
+def _occurs(frame: DataFrame, week: str) -> Column:
+    """Is the week among those of another frame?
 
-    The set of weeks is a single scalar value of a few integers, so the rows are never shuffled.
+    The set of weeks is a single scalar value of a few integers, so no row is shuffled for it.
     """
-    weeks = frozen.agg(F.collect_set(F.col(week).try_cast("int")).alias("w")).scalar()
-    return df.filter(~F.array_contains(weeks, F.col(week)))
+    weeks = frame.agg(F.collect_set(F.col(week).try_cast("int")).alias("w")).scalar()
+    return F.array_contains(weeks, F.col(week))
+
+
+def not_in_weeks(df: DataFrame, frozen: DataFrame, week: str = "fweek") -> DataFrame:
+    """Rows whose week does not occur in another frame."""
+    return df.filter(~_occurs(frozen, week))
 
 
 def weekly_freeze(store: DataFrame, fresh: DataFrame, fy: int, qtr: int,
@@ -48,8 +53,8 @@ def weekly_freeze(store: DataFrame, fresh: DataFrame, fy: int, qtr: int,
     recorded = locked.select(week)
     if closed_weeks is not None:
         recorded = recorded.unionByName(closed_weeks.filter(in_quarter).select(week))
-    newly_closed = not_in_weeks(fresh.filter(F.col(week) < cur), recorded, week)
-    closed = locked.filter(F.col(week) < cur).unionByName(newly_closed).select(*columns)
-    is_open = fresh.filter(F.col(week) >= cur)
-    return Frozen(events=closed.unionByName(is_open),
-                  store=others.select(*columns).unionByName(closed))
+    open_or_new = (F.col(week) >= cur) | ((F.col(week) < cur) & ~_occurs(recorded, week))
+    events = (locked.filter(F.col(week) < cur).select(*columns)
+              .unionByName(fresh.filter(open_or_new)))
+    return Frozen(events=events, store=others.select(*columns).unionByName(
+        events.filter(F.col(week) < cur)))

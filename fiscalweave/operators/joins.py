@@ -22,26 +22,30 @@ def planned_bytes(df: DataFrame) -> int | None:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
-                sized_by: DataFrame | None = None,
+                sized_by: DataFrame | None = None, salted: bool = False,
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a fact to a lookup side, broadcast only after a check of its planned size.
 
-    A larger side takes ``salted_join``, so that a key holding a third of the fact is still spread
-    over many tasks. ``sized_by`` names a table with as many rows as ``dim`` or more, for a dim
-    that is itself a join, whose planned size is a product of its inputs.
+    A larger side is joined by shuffle. Adaptive execution then splits a partition that one key
+    fills (see ``session.tune``), at no extra pass over the fact. ``salted`` asks for ``salted_join``
+    instead: worth its extra pass where the fact is a plain table known to have hot keys, but not
+    behind other joins, which it would run again.
+
+    ``sized_by`` names a table with as many rows as ``dim`` or more, for a dim that is itself a
+    join, whose planned size is a product of its inputs.
     """
     size = planned_bytes(dim if sized_by is None else sized_by)
     if size is not None and size <= broadcast_bytes:
         return fact.join(F.broadcast(dim), list(on), how)
-    return salted_join(fact, dim, on, how)
+    return salted_join(fact, dim, on, how) if salted else fact.join(dim, list(on), how)
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
                 hot_keys: int = HOT_KEYS, salts: int = SALTS) -> DataFrame:
     """Exact inner or left equi join that splits the most frequent keys of the fact.
 
-    The ``hot_keys`` most frequent keys come from a map-side-combined count, so their table is
-    bounded by its own limit. Fact rows of a hot key are dealt over ``salts`` buckets and the
+    The ``hot_keys`` most frequent keys come from a map-side-combined count over the key columns of
+    the fact, so their table is bounded by its own limit. Fact rows of a hot key are dealt over ``salts`` buckets and the
     matching dim rows are repeated once per bucket; every other key stays in bucket 0.
     """
     if how not in ("inner", "left"):

@@ -124,22 +124,29 @@ def index_metrics(actual: DataFrame, forecast: DataFrame, prior_year: DataFrame,
 # -- quarter figures ---------------------------------------------------------------------------------
 
 
-def qtd_qtg(cells: DataFrame, week: int, keys: Sequence[str] = ("section", "label", "fy", "qtr")
-            ) -> DataFrame:
+GRID_KEYS = ("section", "label", "fy", "qtr")
+
+
+def quarter_measures(week: int) -> list[Column]:
+    """Aggregates of grid cells: to date, to go, total and weekly average to date."""
+    done = f"week <= {int(week)}"
+    total = "coalesce(sum(coalesce(value, 0.0)) FILTER (WHERE {}), 0.0)"
+    to_date = total.format(done)
+    return [F.expr(x) for x in (
+        f"{to_date} AS qtd", f"{total.format('week > ' + str(int(week)))} AS qtg",
+        "sum(coalesce(value, 0.0)) AS quarter_total",
+        f"coalesce(try_divide({to_date}, CAST(count_if({done}) AS DOUBLE)), 0.0) AS qtd_average")]
+
+
+def qtd_qtg(cells: DataFrame, week: int, keys: Sequence[str] = GRID_KEYS) -> DataFrame:
     """Quarter to date, to go, total and weekly average to date of each grid row."""
-    value = F.coalesce("value", F.lit(0.0))
-    done = F.col("week") <= week
     return (cells.filter(F.col("week").isNotNull()).groupBy(*keys)
-            .agg(F.sum(F.when(done, value).otherwise(0.0)).alias("qtd"),
-                 F.sum(F.when(done, F.lit(0.0)).otherwise(value)).alias("qtg"),
-                 F.sum(value).alias("quarter_total"), F.count_if(done).alias("weeks_done"))
-            .withColumn("qtd_average", safe_div(F.col("qtd"), F.col("weeks_done")))
-            .drop("weeks_done"))
+            .agg(*quarter_measures(week)))
 
 
 def scenario_table(scenarios: DataFrame, quarter: DataFrame,
                    names: Sequence[str] = ("best", "most_likely", "worst", "target"),
-                   keys: Sequence[str] = ("section", "label", "fy", "qtr")) -> DataFrame:
+                   keys: Sequence[str] = GRID_KEYS) -> DataFrame:
     """Scenario columns beside quarter-to-date, to-go and their difference per row."""
     wide = scenarios.groupBy(*keys).pivot("scenario", list(names)).agg(F.sum("value"))
     return (wide.join(quarter.select(*keys, "qtd", "qtg"), list(keys), "left")

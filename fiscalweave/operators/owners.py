@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fiscalweave.config import CancelRules, OwnerRules, RegionRules
@@ -70,7 +71,8 @@ def join_owner_chain(companies: DataFrame, accounts: DataFrame, history: DataFra
              .join(owner_history_rows(history), "account", "left")
              .join(user_names(users, agents, as_of), "user_id", "left")
              .select("firm_id", "start_date", "end_date", "user_id", "agent_name"))
-    return (lookup_join(companies, owned, ["firm_id"], "left")
+    # The companies are a plain table, and one firm may hold a large share of them.
+    return (lookup_join(companies, owned, ["firm_id"], "left", salted=True)
             .withColumn("account_owner", F.coalesce("agent_name", F.lit(unmanaged)))
             .drop("agent_name"))
 
@@ -169,35 +171,6 @@ def roster_keys(roster: DataFrame, rules: OwnerRules) -> DataFrame:
 # -- classification --------------------------------------------------------------------------------
 
 
-def owner_outcomes(owners: DataFrame, keys: DataFrame, rules: OwnerRules) -> DataFrame:
-    """(owner, team, outcome) for distinct owner names; team is NULL when the owner is dropped.
-
-    Precedence: override (which may drop), exact key, token key, service account or the literal
-    'unmanaged'; everybody else is dropped.
-    """
-    override = _lookup({_norm(k): v for k, v in rules.overrides.items()}, F.col("norm"))
-    exact = keys.filter("kind = 'exact'").select(F.col("key").alias("norm"),
-                                                 F.col("team").alias("exact_team"))
-    token = keys.filter("kind = 'token'").select(F.col("key").alias("tok"),
-                                                 F.col("team").alias("token_team"))
-    norm = F.col("norm")
-    system = norm == rules.unmanaged.lower()
-    for marker in rules.system_markers:
-        system = system | F.contains(norm, F.lit(marker))
-    team = (F.when(override == rules.drop, F.lit(None).cast("string"))
-            .when(override.isNotNull(), override)
-            .when(F.col("exact_team").isNotNull(), F.col("exact_team"))
-            .when(F.col("token_team").isNotNull(), F.col("token_team"))
-            .when(system, rules.unmanaged))
-    return (owners.withColumn("norm", normalize_name(F.col("owner")))
-            .withColumn("tok", token_key(F.col("owner")))
-            .join(exact, "norm", "left").join(token, "tok", "left")
-            .select("owner", team.alias("team"))
-            .withColumn("outcome", F.when(F.col("team").isNull(), "dropped")
-                        .when(F.col("team") == rules.unmanaged, "unmanaged")
-                        .otherwise("matched")))
-
-
 def _norm(name: str) -> str:
     """``normalize_name`` for configuration keys."""
     for old, new in ((",", " "), (".", " "), ("'", ""), ("’", "")):
@@ -207,15 +180,31 @@ def _norm(name: str) -> str:
 
 def with_owner_outcome(events: DataFrame, keys: DataFrame, rules: OwnerRules,
                        owner: str = "account_owner") -> DataFrame:
-    """Events with the team and outcome of their owner.
+    """Events with the team of their owner and the outcome; team is NULL when it is dropped.
 
-    Names are classified once per distinct spelling. How many there are is known only at run time,
-    so joining the result back is left to adaptive execution: a broadcast when the measured side is
-    small, else a join that splits the partition of an owner holding a large share of the rows.
+    Precedence: override (which may drop), exact key, token key, service account or the literal
+    'unmanaged'; everybody else is dropped. The keys come from a directory of people, so both
+    lookups are normally broadcast and the events are not shuffled at all.
     """
-    named = events.withColumn("owner", F.coalesce(F.col(owner), F.lit("")))
-    outcomes = owner_outcomes(named.select("owner").distinct(), keys, rules)
-    return named.join(outcomes, "owner", "left").drop("owner")
+    named = events.withColumns({"_norm": normalize_name(F.col(owner)),
+                                "_tok": token_key(F.col(owner))})
+    exact = keys.filter("kind = 'exact'").select(F.col("key").alias("_norm"),
+                                                 F.col("team").alias("_exact"))
+    token = keys.filter("kind = 'token'").select(F.col("key").alias("_tok"),
+                                                 F.col("team").alias("_token"))
+    norm, found = F.col("_norm"), F.coalesce("_exact", "_token")
+    override = _lookup({_norm(k): v for k, v in rules.overrides.items()}, norm)
+    system = norm == rules.unmanaged.lower()
+    for marker in rules.system_markers:
+        system = system | F.contains(norm, F.lit(marker))
+    team = (F.when(override == rules.drop, F.lit(None).cast("string"))
+            .when(override.isNotNull(), override).when(found.isNotNull(), found)
+            .when(system, rules.unmanaged))
+    matched = lookup_join(lookup_join(named, exact, ["_norm"]), token, ["_tok"])
+    outcome = (F.when(F.col("team").isNull(), "dropped")
+               .when(F.col("team") == rules.unmanaged, "unmanaged").otherwise("matched"))
+    return (matched.withColumn("team", team).select(*events.columns, "team")
+            .withColumn("outcome", outcome))
 
 
 def classify_owner(events: DataFrame, keys: DataFrame, rules: OwnerRules) -> DataFrame:
@@ -231,8 +220,9 @@ def classify_audit(classified: DataFrame) -> DataFrame:
         F.count_distinct(F.coalesce("account_owner", F.lit(""))).alias("n_owners"))
 
 
-def top_owners(classified: DataFrame, outcome: str, n: int = 40) -> DataFrame:
-    """Most frequent owner names of one outcome."""
-    return (classified.filter(F.col("outcome") == outcome)
-            .groupBy("account_owner").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "account_owner").limit(n))
+def top_owners(classified: DataFrame, outcomes: Sequence[str], n: int = 40) -> DataFrame:
+    """Most frequent owner names of each outcome, ranked on counts per name."""
+    rank = F.row_number().over(W.partitionBy("outcome").orderBy(F.desc("n"), "account_owner"))
+    return (classified.filter(F.col("outcome").isin(list(outcomes)))
+            .groupBy("outcome", "account_owner").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("rank", rank).filter(F.col("rank") <= n))

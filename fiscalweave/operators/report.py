@@ -10,25 +10,31 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fiscalweave.functions.text import signed
-from fiscalweave.operators.counts import best_worst_week, driver_weeks
-from fiscalweave.operators.kpi import TOTAL, by_team_and_total, qtd_qtg
+from fiscalweave.operators.counts import ANY_TEAM, best_worst_week, driver_weeks
+from fiscalweave.operators.kpi import GRID_KEYS, TOTAL, by_team_and_total, quarter_measures
 
 # -- grids -------------------------------------------------------------------------------------------
 
 
+def week_columns(weeks: Sequence[int], week: str, value: str) -> list[Column]:
+    """One aggregate per listed week: the pivot of a grid with a known column list.
+
+    Written out rather than pivoted so that totals over all weeks share the same aggregate.
+    """
+    return [F.expr(f"max({value}) FILTER (WHERE {week} = {int(w)}) AS w{int(w)}") for w in weeks]
+
+
 def week_grid(cells: DataFrame, weeks: Sequence[int], current_week: int,
-              keys: Sequence[str] = ("section", "label", "fy", "qtr")) -> DataFrame:
+              keys: Sequence[str] = GRID_KEYS) -> DataFrame:
     """One row per label: a column per week, then quarter total, to date, to go and average.
 
     The week list is given, so no extra pass looks for the distinct values. Weeks outside it count
     in the totals but have no column.
     """
-    names = [f"w{w}" for w in weeks]
-    wide = (cells.groupBy(*keys).pivot("week", list(weeks)).agg(F.first("value"))
-            .withColumnsRenamed({str(w): n for w, n in zip(weeks, names)}))
-    totals = qtd_qtg(cells, current_week, keys)
-    return wide.join(totals, list(keys)).select(
-        *keys, *names, "quarter_total", "qtd", "qtg", "qtd_average")
+    wide = (cells.filter(F.col("week").isNotNull()).groupBy(*keys)
+            .agg(*week_columns(weeks, "week", "value"), *quarter_measures(current_week)))
+    return wide.select(*keys, *[f"w{w}" for w in weeks], "quarter_total", "qtd", "qtg",
+                       "qtd_average")
 
 
 def package_grid(counts: DataFrame, rows: Sequence[tuple[str, str]], quarters: Sequence[tuple],
@@ -42,14 +48,12 @@ def package_grid(counts: DataFrame, rows: Sequence[tuple[str, str]], quarters: S
               for i, (t, label) in enumerate(rows, 1)]
     frame = spark.createDataFrame(
         wanted, "row_no INT, table_type STRING, label STRING, fy INT, qtr INT")
-    cells = (counts.filter(F.col("table_type").isin([t for t, _ in rows]) & (F.col("team") != "*"))
-             .groupBy("table_type", "fy", "qtr", "fweek").agg(F.sum("n").alias("n")))
-    wide = (cells.groupBy("table_type", "fy", "qtr").pivot("fweek", list(weeks)).agg(F.first("n"))
-            .withColumnsRenamed({str(w): f"w{w}" for w in weeks}))
-    totals = cells.groupBy("table_type", "fy", "qtr").agg(F.sum("n").alias("quarter_total"))
+    wide = (counts.filter(F.col("table_type").isin([t for t, _ in rows])
+                          & (F.col("team") == ANY_TEAM))
+            .groupBy("table_type", "fy", "qtr")
+            .agg(*week_columns(weeks, "fweek", "n"), F.sum("n").alias("quarter_total")))
     # `frame` is the configured row list: a few dozen rows.
-    return (F.broadcast(frame).join(wide.join(totals, ["table_type", "fy", "qtr"]),
-                                    ["table_type", "fy", "qtr"], "left")
+    return (F.broadcast(frame).join(wide, ["table_type", "fy", "qtr"], "left")
             .select("fy", "qtr", "row_no", "label", "table_type", *[f"w{w}" for w in weeks],
                     F.coalesce("quarter_total", F.lit(0).cast("long")).alias("quarter_total")))
 

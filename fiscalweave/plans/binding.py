@@ -21,7 +21,7 @@ from fiscalweave.operators import counts as cnt
 from fiscalweave.operators import events as ev
 from fiscalweave.operators import forecast as fc
 from fiscalweave.operators import owners as ow
-from fiscalweave.sources.sinks import scratch_path
+from fiscalweave.sources.sinks import rewritten
 from fiscalweave.sources.tables import read_table
 
 AS_OF = dt.date(2000, 6, 15)
@@ -111,9 +111,7 @@ class Tables:
 
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """A written table for a frame that several branches of one query read."""
-        path = scratch_path(self.spark, name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return rewritten(df, name)
 
     # -- facts -------------------------------------------------------------------------------------
 

@@ -83,7 +83,7 @@ def _(t):
 
 def _freeze_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
     """A store with closed weeks, gaps, another quarter and a stale open week; fresh rows."""
-    cancels = t.snapshot_cancels()
+    cancels = t.materialize(t.snapshot_cancels(), "cancels")  # as a store would be: a written table
     key = c("account_id").cast("bigint")
     store = cancels.filter(
         ((c("qtr") == QTR) & ~c("fweek").isin(44, 45) & (key % 5 != 0))
@@ -524,14 +524,12 @@ def _(t):
 
 
 @query("top_owners", """
-    SELECT account_owner, n, outcome FROM (
-        SELECT account_owner, outcome, count(*) AS n,
-            row_number() OVER (PARTITION BY outcome ORDER BY count(*) DESC, account_owner) AS rn
-        FROM v_outcomes WHERE outcome <> 'matched' GROUP BY 1, 2) WHERE rn <= 40""")
+    SELECT * FROM (
+        SELECT account_owner, outcome, count(*) AS n, CAST(row_number() OVER (
+            PARTITION BY outcome ORDER BY count(*) DESC, account_owner) AS INTEGER) AS rank
+        FROM v_outcomes WHERE outcome <> 'matched' GROUP BY 1, 2) WHERE rank <= 40""")
 def _(t):
-    classified = t.classified(t.cancels())
-    return ow.top_owners(classified, "unmanaged").withColumn("outcome", F.lit("unmanaged")).unionByName(
-        ow.top_owners(classified, "dropped").withColumn("outcome", F.lit("dropped")))
+    return ow.top_owners(t.classified(t.cancels()), ["unmanaged", "dropped"])
 
 
 # -- windows and sequences ------------------------------------------------------------------------------
@@ -556,7 +554,7 @@ def _(t):
             AND x.qtr = d.qtr AND x.fweek = d.fweek)
     WINDOW w AS (PARTITION BY table_type, team, fy, qtr ORDER BY fweek)""")
 def _(t):
-    return cnt.wow_change(kpi.team_counts(t.counts), "SALES")
+    return cnt.wow_change(kpi.team_counts(t.saved_counts()), "SALES")
 
 
 @query("qtd_running", """
@@ -588,7 +586,7 @@ _DENSE = """(SELECT k.table_type, k.team, k.fy, k.qtr, w.week AS fweek, coalesce
       ON p.table_type = d.table_type AND p.team = d.team
       AND p.fy * 4 + p.qtr + 1 = d.fy * 4 + d.qtr""")
 def _(t):
-    return cnt.trailing_avg_index(kpi.team_counts(t.counts), t.weeks)
+    return cnt.trailing_avg_index(kpi.team_counts(t.saved_counts()), t.weeks)
 
 
 @query("avg_weekly_l13", """

@@ -101,6 +101,7 @@ def run_week(inputs: WeeklyInputs, config: WeeklyConfig, target: WeeklyTarget, r
         fy, qtr, config.owners.unmanaged)
     cancels = ow.classify_owner(cancels, ow.roster_keys(inputs.roster, config.owners),
                                 config.owners)
+    cancels = sinks.rewritten(cancels, "cancels")  # read three times below
     try:
         frozen = weekly_freeze(target.read(spark, "freeze_store"), cancels, fy, qtr, week)
         sinks.write_freeze(frozen.store, target.path("freeze_store"), run_id, fy, qtr)

@@ -34,6 +34,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def rewritten(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table, for several readers; its lineage ends here."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_snapshot(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> str:
     """Full-refresh replacement of ``target``, created when absent."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")

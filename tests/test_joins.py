@@ -19,8 +19,8 @@ def dims(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("join", [
-    joins.salted_join, joins.lookup_join,
-    lambda *a: joins.lookup_join(*a, broadcast_bytes=0)])
+    joins.salted_join, joins.lookup_join, lambda *a: joins.lookup_join(*a, broadcast_bytes=0),
+    lambda *a: joins.lookup_join(*a, salted=True, broadcast_bytes=0)])
 def test_same_rows_as_a_plain_join(spark, how, join):
     f, d = facts(spark), dims(spark)
     got, want = join(f, d, ["k"], how), f.join(d, ["k"], how)
@@ -45,6 +45,7 @@ def test_size_check_decides(spark):
     d = spark.range(90).select(F.col("id").alias("k"), F.col("id").alias("name"))
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert "_salt" not in plan(joins.lookup_join(facts(spark), d, ["k"]))
-    assert "_salt" in plan(joins.lookup_join(facts(spark), d, ["k"], broadcast_bytes=0))
+    assert "BroadcastHashJoin" in plan(joins.lookup_join(facts(spark), d, ["k"]))
+    assert "_salt" in plan(joins.lookup_join(facts(spark), d, ["k"], salted=True, broadcast_bytes=0))
     with pytest.raises(ValueError):
         joins.salted_join(facts(spark), d, ["k"], "full")
