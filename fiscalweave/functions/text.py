@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def normalize_name(name: Column) -> Column:
     """Lower-case, apostrophes dropped, commas and periods read as blanks, blanks collapsed."""
     text = F.translate(F.coalesce(name, F.lit("")), ",.'’", "  ")
-    return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
+    return F.lower(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")))
 
 
 def token_key(name: Column) -> Column:
@@ -137,6 +137,13 @@ def format_number(text: Column) -> Column:
             .otherwise(half_up(n).cast("string")))
 
 
+def format_whole(text: Column) -> Column:
+    """Text with a decimal point rounded to a whole number; everything else as it is."""
+    n = parse_number(text)
+    return (F.when(text.isNull(), "").when(F.contains(text, F.lit(".")) & n.isNotNull(),
+                                           half_up(n).cast("string")).otherwise(text))
+
+
 def format_thousands(text: Column) -> Column:
     """Cell text: whole numbers with thousands separators, all other text trimmed."""
     n = parse_number(text)
@@ -155,6 +162,6 @@ def signed(n: Column, zero: str = "0") -> Column:
 def signed_variance(actual: Column, forecast: Column) -> Column:
     """Signed difference of two displayed numbers ('+0' when equal), '' when either is not one."""
     diff = F.round(parse_number(actual) - parse_number(forecast), 10)
-    text = F.when(diff == F.floor(diff), diff.cast("long").cast("string")).otherwise(
-        diff.cast("string"))
+    plain = F.regexp_replace(diff.cast("decimal(38,10)").cast("string"), "0+$", "")
+    text = F.when(diff == F.floor(diff), diff.cast("long").cast("string")).otherwise(plain)
     return F.coalesce(F.when(diff >= 0, F.concat(F.lit("+"), text)).when(diff < 0, text), F.lit(""))

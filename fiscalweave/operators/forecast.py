@@ -99,9 +99,13 @@ def with_ages(df: DataFrame, rule: FiscalRule, as_of: dt.date, date: str = "even
         "last_13_week_flag": yes_no(week_age.between(1, 13))})
 
 
-def join_parent_rollup(df: DataFrame, accounts: DataFrame, account: str) -> DataFrame:
-    """Attach the top-level parent's company by way of the account's parent id; inner both times."""
-    child = accounts.select(F.col("company_id").alias(account), F.col("parent_id"))
+def join_parent_rollup(df: DataFrame, accounts: DataFrame, account: str, key: str = "company_id"
+                       ) -> DataFrame:
+    """Attach the top-level parent's company by way of the account's parent id; inner both times.
+
+    ``key`` is the account column that ``account`` refers to: its company or its own id.
+    """
+    child = accounts.select(F.col(key).alias(account), F.col("parent_id"))
     parent = accounts.select(F.col("id").alias("parent_id"),
                              F.col("company_id").alias("parent_company_id"))
     rollup = child.join(parent, "parent_id").drop("parent_id")  # at most one row per account
@@ -276,7 +280,7 @@ def opportunity_pipeline(opps: DataFrame, lines: DataFrame, prices: DataFrame, u
     dated = lookup_join(dated, keyed, ["owner_id"], "inner")
     owned = join_scd_asof(dated, agents.filter(F.col("division_l4").isin(list(divisions))),
                           "agent_id", "close_date", ["division_l3"])
-    owned = join_parent_rollup(owned, accounts, "account_id")
+    owned = join_parent_rollup(owned, accounts, "account_id", key="id")
     priced = (lines.join(prices.select(F.col("id").alias("price_entry_id"),
                                        F.col("name").alias("price_name")),
                          "price_entry_id", "left"))

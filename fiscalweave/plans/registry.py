@@ -800,12 +800,15 @@ _HALF_UP = "CAST(CAST(floor({} + 0.5) AS BIGINT) AS VARCHAR)"
             ELSE {_HALF_UP.format('n')} END AS number_text,
         CASE WHEN txt IS NULL OR trim(txt) IN ('', '.') THEN ''
             WHEN txt NOT LIKE '%\\%%' ESCAPE '\\' AND n = floor(n)
-            THEN format('{{:,}}', CAST(n AS BIGINT)) ELSE trim(txt) END AS cell_text
+            THEN format('{{:,}}', CAST(n AS BIGINT)) ELSE trim(txt) END AS cell_text,
+        CASE WHEN txt IS NULL THEN '' WHEN txt LIKE '%.%' AND n IS NOT NULL
+            THEN {_HALF_UP.format('n')} ELSE txt END AS whole_text
     FROM (SELECT *, {sql.number('txt')} AS n FROM v_texts)""")
 def _(t):
     return _texts(t).select("id", "txt", tx.format_percent(c("txt")).alias("percent_text"),
                             tx.format_number(c("txt")).alias("number_text"),
-                            tx.format_thousands(c("txt")).alias("cell_text"))
+                            tx.format_thousands(c("txt")).alias("cell_text"),
+                            tx.format_whole(c("txt")).alias("whole_text"))
 
 
 @query("signed_delta", f"""

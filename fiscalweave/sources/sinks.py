@@ -21,10 +21,13 @@ from fiscalweave.schemas import RUN_META
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the cluster names it.
 
-    Only a session without one (a local test) gets a folder of its own.
+    Only a local session without one (a test) gets a folder of its own; on a cluster a folder of
+    one machine would be useless to the others.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="fiscalweave-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root

@@ -16,7 +16,7 @@ def apply(spark, values, column, kind="string"):
 
 
 def test_names(spark):
-    names = ["Doe, Jane", "  jane   DOE ", "O'Neil J.", "Anne’s", None, ""]
+    names = ["Doe, Jane", "  jane \u00a0 DOE ", "O'Neil J.", "Anne’s", None, ""]
     assert apply(spark, names, tx.normalize_name(V())) == [
         "doe jane", "jane doe", "oneil j", "annes", "", ""]
     assert apply(spark, names, tx.token_key(V())) == ["doe jane", "doe jane", "j oneil", "annes", "", ""]
@@ -66,6 +66,8 @@ def test_formats(spark):
     texts = ["3.14159", "9.96", "12.5", "7", "1,020", "5%", "n/a", "-2.25", None]
     assert apply(spark, texts, tx.format_number(V())) == [
         "3.1", "10", "13", "7", "1,020", "5%", "n/a", "-2.2", ""]
+    assert apply(spark, ["2.5", "7", "x.y", "-", None, "1,020.4"], tx.format_whole(V())) == [
+        "3", "7", "x.y", "-", "", "1020"]
     texts = ["1234567", "$1,000", "2.5", "45%", " . ", None, "text "]
     assert apply(spark, texts, tx.format_thousands(V())) == [
         "1,234,567", "1,000", "2.5", "45%", "", "", "text"]
@@ -74,9 +76,9 @@ def test_formats(spark):
 def test_signed(spark):
     assert apply(spark, [3, -3, 0, None], tx.signed(V()), "int") == ["+3", "-3", "0", None]
     assert apply(spark, [0], tx.signed(V(), zero="+0"), "int") == ["+0"]
-    pairs = ["1,020", "99", "100", "x", "99.5"]
+    pairs = ["1,020", "99", "100", "x", "99.5", "98765532.1", "100.0000000001"]
     assert apply(spark, pairs, tx.signed_variance(V(), F.lit("100"))) == [
-        "+920", "-1", "+0", "", "-0.5"]
+        "+920", "-1", "+0", "", "-0.5", "+98765432.1", "+0.0000000001"]
 
 
 def test_relabel(spark):
