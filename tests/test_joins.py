@@ -49,3 +49,38 @@ def test_size_check_decides(spark):
     assert "_salt" in plan(joins.lookup_join(facts(spark), d, ["k"], salted=True, broadcast_bytes=0))
     with pytest.raises(ValueError):
         joins.salted_join(facts(spark), d, ["k"], "full")
+
+
+def test_hot_copies_and_accounts_give_whole_results(spark):
+    """A third of the bookings is one row copied, a third is one account: nothing is lost."""
+    import datetime as dt
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+
+    from fiscalweave.config import DEFAULT_REGIONS
+    from fiscalweave.functions.calendar import FiscalRule
+    from fiscalweave.operators import counts, events
+    from fiscalweave.plans.binding import TAG_RULES
+
+    i = F.col("id")
+    copy, varied = i % 3 == 0, lambda n: F.when(i % 3 == 0, 1).otherwise(i % n)
+    pick = lambda n, *xs: F.element_at(F.array(*map(F.lit, xs)), (varied(n) % len(xs) + 1).cast("int"))
+    facts = spark.range(30_000).select(
+        F.date_add(F.lit(dt.date(1999, 8, 1)), varied(366).cast("int")).alias("event_date"),
+        pick(7, "new", "upgrade", "signup").alias("event_type"), pick(5, "F", "O").alias("category"),
+        pick(11, "CORE", "PAY", "PMT").alias("offering"), pick(13, "PROMO", "SMALL", "MEDIUM").alias("product"),
+        pick(17, "hot gear", "Widget", "blue gear").alias("offer_name"), pick(19, "Peru", "Canada").alias("country"),
+        pick(23, "N", "M").alias("team_raw"), F.when(copy | (i % 3 == 1), 7).otherwise(i % 1000).alias("account_id"),
+        varied(20).alias("firm_id"), F.lit(1).cast("bigint").alias("agent_id"),
+        F.lit("c").alias("channel"), F.lit("s").alias("super_channel"))
+    agents = spark.createDataFrame([(1, "A", events.OPEN_END)], "agent_id bigint, full_name string, rec_end date")
+    got = events.weekly_events(facts, agents, FiscalRule(), TAG_RULES, DEFAULT_REGIONS, 2000, excluded_firms=[7])
+    keys = ["event_date", "country", "team_raw", "event_type", "account_id", "firm_id", "product", "offer_name",
+            "offering"]
+    naive = reduce(DataFrame.unionByName, [
+        facts.filter(r.predicate([7])).filter("event_date <= DATE'2000-07-31'").select(*keys).distinct()
+        .select(F.lit(r.tag).alias("table_type")) for r in TAG_RULES])
+    want = dict(map(tuple, naive.groupBy("table_type").count().collect()))
+    assert dict(map(tuple, counts.type_row_counts(got).collect())) == want
+    assert len(want) > 8 and want["SALES"] < 10_000
