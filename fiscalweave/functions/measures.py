@@ -39,14 +39,13 @@ def not_future(d: Column, as_of: dt.date) -> Column:
     return F.to_date(d) <= F.lit(as_of)
 
 
-# Text that stands for "no figure" on the report.
-BLANKS = ("", "-", "n/a", "#DIV/0!")
+# Text that stands for "no figure" on the report, compared without regard to case.
+BLANKS = ("", "-", "n/a", "#div/0!")
 
 
 def _banded_number(text: Column) -> Column:
     trimmed = F.trim(text)
-    blank = trimmed.isin("", "-", "#DIV/0!") | (F.lower(trimmed) == "n/a")
-    return F.when(~blank, parse_number(trimmed))
+    return F.when(~F.lower(trimmed).isin(*BLANKS), parse_number(trimmed))
 
 
 def index_band(text: Column, green: float = 100.0, amber: float = 95.0,

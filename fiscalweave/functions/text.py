@@ -27,8 +27,10 @@ def email_alias(email: Column) -> Column:
 
 # -- week and period labels --------------------------------------------------------------------
 
+# The label forms in use.
 _WEEK = r"(?i)W\s*K?\s*(\d+)"
 _PERIOD = r"(?i)FY\s*(\d+)\s*Q\s*(\d+)"
+_ANY_PERIOD = r"(?i)FY\d+\s*(Q\d+|PKGs|WSB)"
 
 
 def week_number(label: Column) -> Column:
@@ -93,7 +95,7 @@ def relabel_period(label: Column, old: Column, new: Column) -> Column:
 
 def names_other_period(label: Column, old: Column) -> Column:
     """True where a label mentions some period, but not the one being replaced."""
-    mentions = F.regexp_like(label, F.lit(r"(?i)FY\d+\s*(Q\d+|PKGs|WSB)"))
+    mentions = F.regexp_like(label, F.lit(_ANY_PERIOD))
     return mentions & ~F.contains(label, old)
 
 

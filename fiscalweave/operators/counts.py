@@ -40,16 +40,21 @@ def week_team_type_counts(events: DataFrame) -> DataFrame:
                     "table_type", "n"))
 
 
+def relabel_teams(counts: DataFrame, label_map: dict[str, str]) -> DataFrame:
+    """Counts per report label; several teams may share one, teams without a label are left out."""
+    pairs = [F.lit(x) for kv in label_map.items() for x in kv]
+    label = F.try_element_at(F.create_map(*pairs), F.col("team"))
+    return (counts.withColumn("team", label).filter(F.col("team").isNotNull())
+            .groupBy("fy", "qtr", "fweek", "team", "table_type").agg(F.sum("n").alias("n")))
+
+
 def weekly_series(events: DataFrame, label_map: dict[str, str] | None = None) -> DataFrame:
     """Count per type and week, or per type, team label and week through a label map."""
     cells = cell_counts(events)
-    keys = ["table_type", "fy", "qtr", "fweek"]
     if label_map is not None:
-        pairs = [F.lit(x) for kv in label_map.items() for x in kv]
-        cells = (cells.withColumn("label", F.try_element_at(F.create_map(*pairs), F.col("team")))
-                 .filter(F.col("label").isNotNull()))
-        keys = ["table_type", "label", "fy", "qtr", "fweek"]
-    return cells.groupBy(*keys).agg(F.sum("n").alias("n"))
+        return relabel_teams(cells, label_map).select(
+            "table_type", F.col("team").alias("label"), "fy", "qtr", "fweek", "n")
+    return cells.groupBy("table_type", "fy", "qtr", "fweek").agg(F.sum("n").alias("n"))
 
 
 def type_row_counts(events: DataFrame) -> DataFrame:

@@ -189,15 +189,15 @@ def team_distinct(sales: DataFrame, run_rate: str = "Runrate") -> DataFrame:
                           F.col("rr_sales").alias("qtd_runrate_sales"))
 
 
-def with_run_rate(counted: DataFrame, weeks: int = 13) -> DataFrame:
-    """Weekly run-rate, always over the full window length, and run-rate share, per team."""
-    return counted.select("team", (F.col("rr_sales") / F.lit(float(weeks))).alias("avg_weekly_rr"),
-                          safe_div(F.col("rr_sales"), F.col("total_sales")).alias("rr_rate"))
+def run_rate_columns(weeks: int = 13) -> list[Column]:
+    """Weekly run-rate, always over the full window length, and run-rate share of all accounts."""
+    return [(F.col("rr_sales") / F.lit(float(weeks))).alias("avg_weekly_rr"),
+            safe_div(F.col("rr_sales"), F.col("total_sales")).alias("rr_rate")]
 
 
 def avg_weekly_rr(runrate: DataFrame, core: str, weeks: int = 13) -> DataFrame:
     """Run-rate figures of the core product slice."""
-    return with_run_rate(runrate.filter(F.col("rr_type") == core), weeks)
+    return runrate.filter(F.col("rr_type") == core).select("team", *run_rate_columns(weeks))
 
 
 def sales_measures(base: DataFrame, products: ProductRules, run_rate: str = "Runrate",
@@ -215,10 +215,7 @@ def sales_measures(base: DataFrame, products: ProductRules, run_rate: str = "Run
     counted = seen.groupBy("team").agg(
         F.count_if("q").alias("qtd_sales"), F.count_if("q_rr").alias("qtd_runrate_sales"),
         F.count_if("c").alias("total_sales"), F.count_if("c_rr").alias("rr_sales"))
-    return counted.select(
-        "team", "qtd_sales", "qtd_runrate_sales",
-        (F.col("rr_sales") / F.lit(float(weeks))).alias("avg_weekly_rr"),
-        safe_div(F.col("rr_sales"), F.col("total_sales")).alias("rr_rate"))
+    return counted.select("team", "qtd_sales", "qtd_runrate_sales", *run_rate_columns(weeks))
 
 
 # -- opportunities ---------------------------------------------------------------------------------------

@@ -115,7 +115,7 @@ def cancel_events(account_status: DataFrame, company_status: DataFrame, accounts
     """
     # Both sides are cut to the period or the eligible rows before they meet.
     company = in_period(company_status, "cancel_date", rule, fy, qtr)
-    status = account_status.filter(F.col("gns_date").isNotNull()).join(company, "account_id")
+    status = account_status.filter(F.col("sold_date").isNotNull()).join(company, "account_id")
     status = cancel_eligibility(status, rules, as_of)
     # One row per account; which source row wins matters only if a source repeats an account.
     status = status.groupBy("account_id").agg(

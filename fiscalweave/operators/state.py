@@ -17,7 +17,6 @@ from fiscalweave.functions.text import (day_count_label, names_other_period, nex
                                         period_label, period_rank, relabel_period, week_header,
                                         week_number)
 from fiscalweave.operators.calendar import current_week
-from fiscalweave.operators.counts import ANY_TEAM
 
 ACTUAL, FORECAST = "actual", "forecast"
 # Stand-ins for "every week" and "no week"; a fiscal year has 54 weeks at most.
@@ -60,7 +59,8 @@ def actual_or_forecast(grid: DataFrame, counts: DataFrame, caps: DataFrame,
     Manual cells and cells without a week stay as they are. Beyond the cap a cell is a forecast.
     At or before it, a forecast cell whose count is 0 stays a forecast, unless its type writes
     zeros and the cap is reliable; any other cell becomes the actual. ``changed`` marks forecasts
-    turned actual by this run, ``resolved`` is false where a cell is still a forecast.
+    turned actual by this run, ``resolved`` is false where a cell is still a forecast. The teams of
+    ``counts`` are those of the grid's labels; see ``counts.relabel_teams`` where they differ.
     """
     n = counts.select("fy", "qtr", F.col("fweek").alias("week"), F.col("team").alias("label"),
                       "table_type", F.col("n").alias("actual_n"))
@@ -184,8 +184,3 @@ def fill_week_gap(headers: DataFrame, sheet: Sequence[str] = ("sheet",),
         filled = F.when(none_found, F.lit(first_week) + F.row_number().over(w) - 1
                         ).otherwise(filled)
     return numbered.select(*sheet, "pos", "label", filled.cast("int").alias("week"))
-
-
-def grid_total_counts(counts: DataFrame) -> DataFrame:
-    """The '*' rows of ``counts.week_team_type_counts`` only."""
-    return counts.filter(F.col("team") == ANY_TEAM)

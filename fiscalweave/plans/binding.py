@@ -216,7 +216,7 @@ class Tables:
         return self.raw("orders").select(
             k.alias("account_id"), d.alias("first_login"),
             F.when(k % 13 != 0, F.col("o_custkey")).alias("firm_id"),
-            F.when(k % 17 != 0, d).alias("gns_date"))
+            F.when(k % 17 != 0, d).alias("sold_date"))
 
     @cached_property
     def company_status(self) -> DataFrame:

@@ -174,7 +174,7 @@ VIEWS: dict[str, str] = {
     "v_account_status": f"""
         SELECT o_orderkey AS account_id, {_D} AS first_login,
             CASE WHEN o_orderkey % 13 <> 0 THEN o_custkey END AS firm_id,
-            CASE WHEN o_orderkey % 17 <> 0 THEN {_D} END AS gns_date
+            CASE WHEN o_orderkey % 17 <> 0 THEN {_D} END AS sold_date
         FROM orders""",
     "v_company_status": """
         SELECT o_orderkey AS account_id, n_name AS country,
@@ -283,7 +283,7 @@ VIEWS: dict[str, str] = {
         FROM v_activations s LEFT JOIN v_cal c ON s.cancel_date = c.date
         WHERE s.cancel_date IS NOT NULL AND s.cancel_date <= {AS_OF} AND c.fy = 2000""",
     "v_eligible": f"""
-        SELECT q.account_id, q.first_login, q.firm_id, q.gns_date, s.cancel_date, s.country
+        SELECT q.account_id, q.first_login, q.firm_id, q.sold_date, s.cancel_date, s.country
         FROM v_account_status q JOIN v_company_status s ON q.account_id = s.account_id
         WHERE s.country IN ('NATION_1', 'NATION_6', 'NATION_11', 'NATION_16', 'NATION_21',
                             'NATION_3', 'NATION_8', 'NATION_13')
@@ -302,7 +302,7 @@ VIEWS: dict[str, str] = {
         LEFT JOIN v_accounts a ON e.firm_id = a.company_id
         LEFT JOIN v_history h ON a.id = h.account AND h.type = 'Owner' AND h.isdeleted = FALSE
         LEFT JOIN v_names n ON n.user_id = h.user_id
-        WHERE e.gns_date IS NOT NULL""",
+        WHERE e.sold_date IS NOT NULL""",
     "v_cancels": f"""
         SELECT c.fy, c.qtr, c.week AS fweek, o.cancel_date AS event_date,
             CAST(NULL AS VARCHAR) AS super_channel, CAST(NULL AS VARCHAR) AS channel,

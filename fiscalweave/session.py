@@ -12,8 +12,6 @@ _RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hash joins spare the sort of the large side where a shuffled side turns out small per task.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-    # A freeze-store write replaces only the partitions it holds.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

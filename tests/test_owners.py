@@ -97,13 +97,13 @@ def test_latest_owner(spark, rows):
     assert rows(ow.latest_owner(h).select("account", "user_id")) == [(1, 11), (2, 21), (3, 31)]
 
 
-STATUS = ("account_id bigint, first_login date, firm_id bigint, gns_date date, country string, "
+STATUS = ("account_id bigint, first_login date, firm_id bigint, sold_date date, country string, "
           "super_channel string, channel string, subscription_type string, cancel_date date")
 RULES = CancelRules(["Here"], "S", ["a", "b"])
 
 
 def account(i, **kw):
-    base = dict(account_id=i, first_login=D(2000, 1, 1), firm_id=1, gns_date=D(2000, 1, 1),
+    base = dict(account_id=i, first_login=D(2000, 1, 1), firm_id=1, sold_date=D(2000, 1, 1),
                 country="Here", super_channel="S", channel="a", subscription_type="Paid",
                 cancel_date=D(2000, 5, 3))
     return tuple((base | kw).values())
@@ -115,7 +115,7 @@ VARIANTS = [
     account(6, firm_id=None), account(7, cancel_date=None),
     account(8, first_login=D(2000, 5, 3)), account(9, first_login=None),
     account(10, cancel_date=AS_OF), account(11, cancel_date=D(2000, 6, 16)),
-    account(12, gns_date=None), account(13, firm_id=99), account(14, firm_id=2)]
+    account(12, sold_date=None), account(13, firm_id=99), account(14, firm_id=2)]
 
 
 def test_eligibility(spark):
@@ -133,8 +133,8 @@ def test_cancel_events(spark, rows):
     agents = spark.createDataFrame([(70, "Old Name", D(1990, 1, 1), AS_OF), (70, "Ann Lee", D(1990, 1, 1), OPEN),
                                     (80, "Nobody", D(1990, 1, 1), OPEN)],
                                    "agent_id bigint, name string, rec_start date, rec_end date")
-    status = df.select("account_id", "first_login", "firm_id", "gns_date")
-    company = df.drop("first_login", "firm_id", "gns_date")
+    status = df.select("account_id", "first_login", "firm_id", "sold_date")
+    company = df.drop("first_login", "firm_id", "sold_date")
     got = ow.cancel_events(status, company, accounts, h, users, agents, FiscalRule(), RULES,
                            RegionRules({"R": ["Here"]}), AS_OF, 2000)
     assert rows(got.select("account_id", "account_owner", "fweek", "region")) == [

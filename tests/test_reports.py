@@ -39,6 +39,8 @@ def test_series_and_labels(spark, rows):
     assert rows(series.filter("table_type = 'S'").select("fweek", "n")) == [(40, 3), (42, 6)]
     mapped = cnt.weekly_series(e, {"N": "x", "M": "x"}).filter("table_type = 'S'")
     assert rows(mapped.select("label", "fweek", "n")) == [("x", 40, 3), ("x", 42, 5)]
+    relabelled = cnt.relabel_teams(cnt.week_team_type_counts(e), {"N": "x", "M": "x", "Z": "z"})
+    assert rows(relabelled.filter("table_type = 'P'").select("team", "fweek", "n")) == [("x", 42, 1)]
     best = {r.table_type: r for r in cnt.best_worst_week(series).collect()}
     assert (best["C"].best_week, best["C"].worst_week) == (41, 41)        # tie: earliest
     assert (best["S"].best_week, best["S"].worst_week) == (40, 42)
