@@ -268,10 +268,15 @@ def join_role_playing(df: DataFrame, ext: DataFrame) -> DataFrame:
 
 
 def opportunity_pipeline(opps: DataFrame, lines: DataFrame, prices: DataFrame, users: DataFrame,
-                         agents: DataFrame, accounts: DataFrame, ext: DataFrame, as_of: dt.date,
-                         divisions: Sequence[str], rules: OpportunityRules) -> DataFrame:
+                         agents: DataFrame, accounts: DataFrame, ext: DataFrame,
+                         rule: FiscalRule, as_of: dt.date, divisions: Sequence[str],
+                         rules: OpportunityRules) -> DataFrame:
     """Opportunity lines of this and the last fiscal year with team, parent and product group."""
-    dated = join_role_playing(opps, ext).filter(F.col("created_year_age").isin(0, 1))
+    # The two years by creation date, as a range the scan can use, before the calendar says so too.
+    fy = rule.position(as_of)[0]
+    recent = opps.filter(F.col("created_date").between(F.lit(rule.bounds(fy - 1)[0]),
+                                                       F.lit(rule.bounds(fy)[1])))
+    dated = join_role_playing(recent, ext).filter(F.col("created_year_age").isin(0, 1))
     keyed = users.select(F.col("id").alias("owner_id"),
                          F.col("federation_id").try_cast("bigint").alias("agent_id"))
     dated = lookup_join(dated, keyed, ["owner_id"], "inner")

@@ -376,7 +376,7 @@ class Tables:
     def pipeline(self) -> DataFrame:
         return fc.opportunity_pipeline(
             self.opportunities, self.opportunity_lines, self.price_entries, self.users, self.agents,
-            self.accounts, self.date_ext, AS_OF, DIVISIONS_L4, OPPORTUNITIES)
+            self.accounts, self.date_ext, RULE, AS_OF, DIVISIONS_L4, OPPORTUNITIES)
 
     def grid(self) -> DataFrame:
         """Forecast grid of the current quarter: SALES and ADV_UPGRADES rows per team.
