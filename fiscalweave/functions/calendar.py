@@ -100,6 +100,11 @@ class FiscalRule:
         week = ((day - start).days + offset) // 7 + 1
         return fy, (day.month - self.start_month) % 12 // 3 + 1, week
 
+    def weeks(self, fy: int, qtr: int | None = None) -> list[int]:
+        """The week numbers of a fiscal year or quarter."""
+        first, last = (self.position(d)[2] for d in self.bounds(fy, qtr))
+        return list(range(first, last + 1))
+
     def bounds(self, fy: int, qtr: int | None = None) -> tuple[dt.date, dt.date]:
         """First and last day of a fiscal year or quarter."""
         def month_at(n: int) -> dt.date:

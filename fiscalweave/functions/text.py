@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ def email_alias(email: Column) -> Column:
 # The label forms in use.
 _WEEK = r"(?i)W\s*K?\s*(\d+)"
 _PERIOD = r"(?i)FY\s*(\d+)\s*Q\s*(\d+)"
-_ANY_PERIOD = r"(?i)FY\d+\s*(Q\d+|PKGs|WSB)"
+_QUARTER = r"Q\d+"
 
 
 def week_number(label: Column) -> Column:
@@ -93,9 +95,13 @@ def relabel_period(label: Column, old: Column, new: Column) -> Column:
     return F.replace(label, old, new)
 
 
-def names_other_period(label: Column, old: Column) -> Column:
-    """True where a label mentions some period, but not the one being replaced."""
-    mentions = F.regexp_like(label, F.lit(_ANY_PERIOD))
+def names_other_period(label: Column, old: Column, also: Sequence[str] = ()) -> Column:
+    """True where a label mentions some period, but not the one being replaced.
+
+    A period is a fiscal year before a quarter, or before one of the words in ``also``, which are
+    regular expressions.
+    """
+    mentions = F.regexp_like(label, F.lit(rf"(?i)FY\d+\s*({'|'.join([_QUARTER, *also])})"))
     return mentions & ~F.contains(label, old)
 
 

@@ -21,9 +21,13 @@ def date_spine(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
         F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"))
 
 
-def date_spine_of(df: DataFrame, date: Column) -> DataFrame:
-    """One row per day between the first and last date found in a table."""
-    return (df.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+def date_spine_of(df: DataFrame, date: Column, until: dt.date | None = None) -> DataFrame:
+    """One row per day from the first to the last date found in a table, or to ``until`` if later.
+
+    For reports on the calendar of a table; what reads a fact anyway takes ``date_spine``.
+    """
+    last = F.max(date) if until is None else F.greatest(F.max(date), F.lit(until))
+    return (df.agg(F.min(date).alias("lo"), last.alias("hi"))
             .filter(F.col("lo").isNotNull())
             .select(F.explode(F.sequence("lo", "hi")).alias("date")))
 

@@ -88,16 +88,21 @@ def _unfold(df: DataFrame, rules: Sequence[TagRule], conditions: Sequence[str])
     return df.withColumn("table_type", F.expr(f"explode(array_compact(array({cases})))"))
 
 
-def tag_mask(rules: Sequence[TagRule], excluded_firms: Sequence = ()) -> Column:
-    """Bit i set where rule i matches."""
-    if len(rules) > 63:
-        raise ValueError("more than 63 rules do not fit one mask; split them over several calls")
-    return F.expr(" | ".join(f"CASE WHEN {r.condition(excluded_firms)} THEN {1 << i}L ELSE 0L END"
-                             for i, r in enumerate(rules)))
+#: Rules per mask column; a long has one more bit, its sign.
+MASK_BITS = 63
 
 
-def explode_mask(df: DataFrame, rules: Sequence[TagRule], mask: str = "mask") -> DataFrame:
-    return _unfold(df, rules, [f"({mask} & {1 << i}L) <> 0" for i in range(len(rules))])
+def tag_masks(rules: Sequence[TagRule], excluded_firms: Sequence = ()) -> dict[str, Column]:
+    """Mask columns mask0, mask1, ...: bit i of a mask is set where its rule i matches."""
+    return {f"mask{k // MASK_BITS}": F.expr(" | ".join(
+        f"CASE WHEN {r.condition(excluded_firms)} THEN {1 << i}L ELSE 0L END"
+        for i, r in enumerate(rules[k:k + MASK_BITS])))
+        for k in range(0, len(rules), MASK_BITS)}
+
+
+def explode_masks(df: DataFrame, rules: Sequence[TagRule]) -> DataFrame:
+    return _unfold(df, rules, [f"(mask{i // MASK_BITS} & {1 << i % MASK_BITS}L) <> 0"
+                               for i in range(len(rules))])
 
 
 # -- the event table -------------------------------------------------------------------------------
@@ -107,25 +112,35 @@ EVENT_KEYS = ("fy", "qtr", "week", "event_date", "super_channel", "channel", "co
               "offering")
 
 
-def in_period(df: DataFrame, date: str, rule: FiscalRule, fy: int, qtr: int | None) -> DataFrame:
-    """Rows of a fiscal year or quarter, as a date range the scan can use."""
-    first, last = rule.bounds(fy, qtr)
+def in_period(df: DataFrame, date: str, rule: FiscalRule, fy: int, qtr: int | None,
+              years: int = 1) -> DataFrame:
+    """Rows of a fiscal year or quarter, or of ``years`` years up to it, as a date range the scan
+    can use."""
+    first, last = _range(rule, fy, qtr, years)
     return df.filter(F.col(date).between(F.lit(first), F.lit(last)))
 
 
+def _range(rule: FiscalRule, fy: int, qtr: int | None, years: int):
+    if years > 1 and qtr is not None:
+        raise ValueError("several years or one quarter, not both")
+    return rule.bounds(fy - years + 1, qtr)[0], rule.bounds(fy, qtr)[1]
+
+
 def join_calendar(fact: DataFrame, calendar: DataFrame, fy: int, qtr: int | None = None,
-                  date: str = "event_date") -> DataFrame:
+                  date: str = "event_date", years: int = 1) -> DataFrame:
     """Attach fy, qtr and week by date, keeping the given period only."""
-    wanted = F.col("fy") == fy
+    wanted = F.col("fy").between(fy - years + 1, fy)
     if qtr is not None:
         wanted = wanted & (F.col("qtr") == qtr)
     cal = calendar.withColumnRenamed("date", date)
     return fact.join(cal, date, "left").filter(wanted)
 
 
-def period_calendar(df: DataFrame, rule: FiscalRule, fy: int, qtr: int | None) -> DataFrame:
-    """Calendar of one fiscal period: at most 366 rows, so it is always safe to broadcast."""
-    return F.broadcast(fiscal_calendar(date_spine(df.sparkSession, *rule.bounds(fy, qtr)), rule))
+def period_calendar(df: DataFrame, rule: FiscalRule, fy: int, qtr: int | None, years: int = 1
+                    ) -> DataFrame:
+    """Calendar of the period: at most 366 rows a year, so it is always safe to broadcast."""
+    days = date_spine(df.sparkSession, *_range(rule, fy, qtr, years))
+    return F.broadcast(fiscal_calendar(days, rule))
 
 
 def current_version(dim: DataFrame, open_end: dt.date = OPEN_END) -> DataFrame:
@@ -148,22 +163,25 @@ def dedupe_event_rows(df: DataFrame, keys: Sequence[str], output: Sequence[str])
 
 def weekly_events(bookings: DataFrame, agents: DataFrame, rule: FiscalRule,
                   rules: Sequence[TagRule], regions: RegionRules, fy: int, qtr: int | None = None,
-                  teams: Sequence[str] | None = None, excluded_firms: Sequence = ()) -> DataFrame:
+                  teams: Sequence[str] | None = None, excluded_firms: Sequence = (),
+                  years: int = 1) -> DataFrame:
     """The flat event table for every rule, from one scan of the bookings.
 
     Rows are distinct per tag over ``EVENT_KEYS``. That is the same as OR-ing the tag bits of all
     rows sharing the keys, so each key combination is shuffled once, after a map-side combine,
-    however many tags or copies it has; tags are unfolded only afterwards.
+    however many tags or copies it has; tags are unfolded only afterwards. ``years`` fiscal years
+    up to ``fy`` come from the same scan.
     """
-    fact = in_period(bookings, "event_date", rule, fy, qtr)
+    fact = in_period(bookings, "event_date", rule, fy, qtr, years)
     if teams is not None:
         fact = filter_allowlist(fact, "team_raw", teams)
     fact = fact.filter(any_rule(rules, excluded_firms))
-    fact = fact.withColumn("mask", tag_mask(rules, excluded_firms))
-    fact = join_calendar(fact, period_calendar(fact, rule, fy, qtr), fy, qtr)
+    masks = tag_masks(rules, excluded_firms)
+    fact = fact.withColumns(masks)
+    fact = join_calendar(fact, period_calendar(fact, rule, fy, qtr, years), fy, qtr, years=years)
     fact = join_scd_current(fact, agents)
-    merged = fact.groupBy(*EVENT_KEYS).agg(F.bit_or("mask").alias("mask"))
-    return as_contract(region_bucket(explode_mask(merged, rules), regions))
+    merged = fact.groupBy(*EVENT_KEYS).agg(*[F.bit_or(m).alias(m) for m in masks])
+    return as_contract(region_bucket(explode_masks(merged, rules), regions))
 
 
 def as_contract(df: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from fiscalweave.config import MotionRules, OpportunityRules, ProductRules
 from fiscalweave.functions.calendar import FiscalRule
 from fiscalweave.functions.measures import flag, recency, safe_div, yes_no
-from fiscalweave.operators.joins import lookup_join
 from fiscalweave.schemas import require_columns
 
 log = logging.getLogger(__name__)
@@ -109,15 +108,18 @@ def join_parent_rollup(df: DataFrame, accounts: DataFrame, account: str, key: st
     parent = accounts.select(F.col("id").alias("parent_id"),
                              F.col("company_id").alias("parent_company_id"))
     rollup = child.join(parent, "parent_id").drop("parent_id")  # at most one row per account
-    return lookup_join(df, rollup, [account], "inner", sized_by=accounts)
+    return df.join(rollup, account)
 
 
 def sales_base(bookings: DataFrame, accounts: DataFrame, product_offer: DataFrame,
                offers: DataFrame, rule: FiscalRule, as_of: dt.date, divisions: Sequence[str],
                event_type: str, super_channels: Sequence[str], motion: MotionRules,
-               weeks: int = 13) -> DataFrame:
+               weeks: int = 13, company: str = "account_id") -> DataFrame:
     """Completed weeks of the current fiscal year with parent account, offer and motion.
 
+    ``company`` names the booking column that the parent roll-up goes by; what the measures count
+    is ``account_id``, which may be another one.
+
     Holds the rows of the current quarter (``in_qtd``) and of the last ``weeks`` weeks
     (``in_recent``), so both windows come from one scan. Bookings are cut by a plain date range
     before any join.
@@ -137,11 +139,10 @@ def sales_base(bookings: DataFrame, accounts: DataFrame, product_offer: DataFram
           .filter("in_qtd OR in_recent"))
     offer_of = (product_offer.select("offer_key", "src_offer_id")
                 .withColumn("offer_id", F.col("src_offer_id").cast("string")))
-    df = lookup_join(df, offer_of, ["offer_key"], "inner")
-    df = join_parent_rollup(df, accounts, "account_id")
-    df = lookup_join(df, offers.select(F.col("offer_id").cast("string").alias("offer_id"),
-                                       "signup_category", "promotion", "use"),
-                     ["offer_id"], "left")
+    df = df.join(offer_of, "offer_key")
+    df = join_parent_rollup(df, accounts, company)
+    df = df.join(offers.select(F.col("offer_id").cast("string").alias("offer_id"),
+                               "signup_category", "promotion", "use"), "offer_id", "left")
     return df.withColumn("motion", motion_type(F.col("division_name"), F.col("offer_id"),
                                                F.col("signup_category"), motion)
                          ).withColumn("team", F.col("division_l3"))
@@ -279,17 +280,20 @@ def opportunity_pipeline(opps: DataFrame, lines: DataFrame, prices: DataFrame, u
     dated = join_role_playing(recent, ext).filter(F.col("created_year_age").isin(0, 1))
     keyed = users.select(F.col("id").alias("owner_id"),
                          F.col("federation_id").try_cast("bigint").alias("agent_id"))
-    dated = lookup_join(dated, keyed, ["owner_id"], "inner")
+    dated = dated.join(keyed, "owner_id")
     owned = join_scd_asof(dated, agents.filter(F.col("division_l4").isin(list(divisions))),
                           "agent_id", "close_date", ["division_l3"])
     owned = join_parent_rollup(owned, accounts, "account_id", key="id")
-    priced = (lines.join(prices.select(F.col("id").alias("price_entry_id"),
-                                       F.col("name").alias("price_name")),
-                         "price_entry_id", "left"))
-    live = filter_live_lines(owned.join(priced, owned["id"] == priced["opp_id"], "left"),
-                             excluded=rules.excluded_name_part)
+    # A line without a name is dropped, so both joins are inner; the lines meet the opportunities of
+    # the two years first, and only those that are left meet the prices.
+    sold = lines.select(F.col("opp_id").alias("id"), "price_entry_id", "quantity", "total",
+                        "isdeleted")
+    priced = owned.join(sold, "id").join(
+        prices.select(F.col("id").alias("price_entry_id"), F.col("name").alias("price_name")),
+        "price_entry_id")
+    live = filter_live_lines(priced, excluded=rules.excluded_name_part)
     return live.select(
-        owned["id"].alias("id"), "account_id", "parent_company_id", "stage", "amount",
+        "id", "account_id", "parent_company_id", "stage", "amount",
         "probability", "close_date", "isclosed", "iswon", "created_date", "agent_id",
         F.col("division_l3").alias("team"),
         F.when(F.col("stage").isin(list(rules.closed_stages)), "Closed").otherwise("Open")

@@ -3,69 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-BROADCAST_BYTES = 8 * 1024 * 1024
-HOT_KEYS = 64
-SALTS = 32
 
+def left_lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    """A left join for a lookup side that may repeat one key very often.
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """Size of a frame as the optimizer plans it; None where the session does not expose it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # a remote session has no planner handle
-        return None
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
-                sized_by: DataFrame | None = None, salted: bool = False,
-                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Join a fact to a lookup side, broadcast only after a check of its planned size.
-
-    A larger side is joined by shuffle. Adaptive execution then splits a partition that one key
-    fills (see ``session.tune``), at no extra pass over the fact. ``salted`` asks for ``salted_join``
-    instead: worth its extra pass where the fact is a plain table known to have hot keys, but not
-    behind other joins, which it would run again.
-
-    ``sized_by`` names a table with as many rows as ``dim`` or more, for a dim that is itself a
-    join, whose planned size is a product of its inputs.
-    """
-    size = planned_bytes(dim if sized_by is None else sized_by)
-    if size is not None and size <= broadcast_bytes:
-        return fact.join(F.broadcast(dim), list(on), how)
-    return salted_join(fact, dim, on, how) if salted else fact.join(dim, list(on), how)
-
-
-def salted_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
-                hot_keys: int = HOT_KEYS, salts: int = SALTS) -> DataFrame:
-    """Exact inner or left equi join that splits the most frequent keys of the fact.
-
-    The ``hot_keys`` most frequent keys come from a map-side-combined count over the key columns of
-    the fact, so their table is bounded by its own limit. Fact rows of a hot key are dealt over ``salts`` buckets and the
-    matching dim rows are repeated once per bucket; every other key stays in bucket 0.
+    Adaptive execution splits a hot key on both sides of an inner join, but only on the left of a
+    left one. So the rows with a match are joined inner, and those without one are found by an anti
+    join against the distinct keys. Whether a side is broadcast is left to measured sizes.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"salted_join supports inner and left joins, not {how}")
     on = list(on)
-    hot = (fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-           .orderBy(F.desc("_n"), *on).limit(hot_keys)
-           .filter(F.col("_n") > 1).select(*on, F.lit(True).alias("_hot")))
-    hot = F.broadcast(hot)  # at most `hot_keys` rows
-    # Row content plus the input partition: equal rows from different tasks part, and a re-run of
-    # a lost task deals its rows as before.
-    deal = F.pmod(F.xxhash64(*fact.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    # A row without a key matches nothing, so it may sit in any bucket.
-    keyless = reduce(Column.__or__, [F.col(c).isNull() for c in on])
-    dealt = (fact.withColumn("_deal", deal).join(hot, on, "left")
-             .withColumn("_salt", F.when(F.col("_hot") | keyless, F.col("_deal")).otherwise(0))
-             .drop("_hot", "_deal"))
-    repeated = (dim.join(hot, on, "left")
-                .withColumn("_salt", F.explode(F.when(
-                    F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))
-                ).otherwise(F.array(F.lit(0)))))
-                .drop("_hot"))
-    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
+    matched = fact.join(dim, on)
+    missing = fact.join(dim.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(missing, allowMissingColumns=True)

@@ -43,6 +43,29 @@ def _to_date(*keys: str) -> W:
             .rowsBetween(W.unboundedPreceding, W.currentRow))
 
 
+def on_calendar(cells: DataFrame, weeks: DataFrame, keys: Sequence[str],
+                missing: Mapping[str, Column]) -> DataFrame:
+    """The cells of each (keys, team) on all weeks of its quarter, and on any other weeks it has.
+
+    ``weeks`` is the calendar (fy, qtr, week); ``missing`` lists the measures and what they are in
+    a week without a cell. The cells of a team and quarter, a few dozen, meet in one map, so the
+    counts behind them are computed once.
+    """
+    by = [*keys, "team"]
+    none = F.lit(-1)  # stands for a cell without a week
+    packed = cells.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.coalesce("week", none).alias("week"), F.struct(*missing).alias("m")))).alias("cells"))
+    listed = weeks.groupBy("fy", "qtr").agg(F.collect_set("week").alias("listed"))
+    all_ = F.array_union(F.map_keys("cells"), F.coalesce("listed", F.array().cast("array<int>")))
+    spread = (packed.join(listed, ["fy", "qtr"], "left")
+              .select(*by, "cells", F.explode(all_).alias("week"))
+              .withColumn("m", F.try_element_at("cells", F.col("week"))))
+    return spread.select(
+        *by, F.nullif("week", none).alias("week"),
+        *[F.when(F.col("m").isNull(), value).otherwise(F.col(f"m.{name}")).alias(name)
+          for name, value in missing.items()])
+
+
 # -- shares ------------------------------------------------------------------------------------------
 
 
@@ -61,11 +84,16 @@ def share_within(counts: DataFrame, types: Sequence[str]) -> DataFrame:
     return cells.withColumn("share", safe_div(F.col("n"), F.sum("n").over(week)))
 
 
-def attach_rate(counts: DataFrame, attached: str, core: str) -> DataFrame:
-    """Attached over core sales per team and total, for the week and quarter to date."""
+def attach_rate(counts: DataFrame, attached: str, core: str, weeks: DataFrame) -> DataFrame:
+    """Attached over core sales per team and total, for the week and quarter to date.
+
+    On every calendar week of the quarter: a week without a sale still has its figures to date.
+    """
     sums = by_team_and_total(team_counts(counts), ["fy", "qtr", "fweek"],
                              {"attached_n": _of_type(attached), "core_n": _of_type(core)}
                              ).withColumnRenamed("fweek", "week")
+    zero = F.lit(0).cast("long")
+    sums = on_calendar(sums, weeks, ["fy", "qtr"], {"attached_n": zero, "core_n": zero})
     upto = _to_date("fy", "qtr", "team")
     return (sums.withColumn("attach", safe_div(F.col("attached_n"), F.col("core_n")))
             .withColumn("attach_qtd", safe_div(F.sum("attached_n").over(upto),
@@ -84,12 +112,13 @@ def combined_sales_upgrades(counts: DataFrame, sales: str, upgrades: str) -> Dat
 
 
 def index_metrics(actual: DataFrame, forecast: DataFrame, prior_year: DataFrame,
-                  keys: Sequence[str] = ("metric", "fy", "qtr")) -> DataFrame:
+                  weeks: DataFrame, keys: Sequence[str] = ("metric", "fy", "qtr")) -> DataFrame:
     """Actual, forecast, variance, index to forecast and to prior year; week and quarter to date.
 
     Inputs are long frames of (keys, team, week, value); ``prior_year`` already carries the fiscal
     year it is compared with. They are stacked and regrouped in one shuffle. An index over a
-    missing or zero base is NULL.
+    missing or zero base is NULL. ``weeks`` is the calendar: every week of a quarter has a row, so
+    a team without a sale in a week keeps its figures to date.
     """
     keys = list(keys)
 
@@ -107,6 +136,9 @@ def index_metrics(actual: DataFrame, forecast: DataFrame, prior_year: DataFrame,
         stacked, [*keys, "week"],
         {"actual": F.coalesce(total("actual"), F.lit(0.0)), "forecast": total("forecast"),
          "prior": total("prior")})
+    nothing = F.lit(None).cast("double")
+    cells = on_calendar(cells, weeks, keys,
+                        {"actual": F.lit(0.0), "forecast": nothing, "prior": nothing})
     upto = _to_date(*keys, "team")
     cells = cells.withColumns({f"{c}_qtd": F.sum(c).over(upto)
                                for c in ("actual", "forecast", "prior")})

@@ -15,7 +15,7 @@ from fiscalweave.functions.measures import not_future
 from fiscalweave.functions.text import email_alias, normalize_name, token_key
 from fiscalweave.operators.events import (OPEN_END, cancel_contract, in_period, join_calendar,
                                           period_calendar)
-from fiscalweave.operators.joins import lookup_join
+from fiscalweave.operators.joins import left_lookup
 from fiscalweave.sources.tables import sheet_as_table
 
 # -- ownership -------------------------------------------------------------------------------------
@@ -67,12 +67,12 @@ def join_owner_chain(companies: DataFrame, accounts: DataFrame, history: DataFra
 
     A company without an account, interval, user or agent is 'Unmanaged'.
     """
-    owned = (accounts.select(F.col("company_id").alias("firm_id"), F.col("id").alias("account"))
-             .join(owner_history_rows(history), "account", "left")
+    # One account may hold a large share of the history, one firm of the companies.
+    keyed = accounts.select(F.col("company_id").alias("firm_id"), F.col("id").alias("account"))
+    owned = (left_lookup(keyed, owner_history_rows(history), ["account"])
              .join(user_names(users, agents, as_of), "user_id", "left")
              .select("firm_id", "start_date", "end_date", "user_id", "agent_name"))
-    # The companies are a plain table, and one firm may hold a large share of them.
-    return (lookup_join(companies, owned, ["firm_id"], "left", salted=True)
+    return (left_lookup(companies, owned, ["firm_id"])
             .withColumn("account_owner", F.coalesce("agent_name", F.lit(unmanaged)))
             .drop("agent_name"))
 
@@ -120,8 +120,7 @@ def cancel_events(account_status: DataFrame, company_status: DataFrame, accounts
     # One row per account; which source row wins matters only if a source repeats an account.
     status = status.groupBy("account_id").agg(
         F.max(F.struct("cancel_date", "firm_id", "country")).alias("s")).select("account_id", "s.*")
-    owned = lookup_join(status, firm_owners(accounts, history, users, agents, as_of),
-                        ["firm_id"], "left", sized_by=accounts)
+    owned = status.join(firm_owners(accounts, history, users, agents, as_of), "firm_id", "left")
     owned = owned.withColumn("account_owner", F.coalesce("agent_name", F.lit(unmanaged)))
     owned = join_calendar(owned, period_calendar(owned, rule, fy, qtr), fy, qtr, "cancel_date")
     return cancel_contract(owned.withColumn("team_raw", F.lit(None).cast("string")), regions)
@@ -200,7 +199,7 @@ def with_owner_outcome(events: DataFrame, keys: DataFrame, rules: OwnerRules,
     team = (F.when(override == rules.drop, F.lit(None).cast("string"))
             .when(override.isNotNull(), override).when(found.isNotNull(), found)
             .when(system, rules.unmanaged))
-    matched = lookup_join(lookup_join(named, exact, ["_norm"]), token, ["_tok"])
+    matched = named.join(exact, "_norm", "left").join(token, "_tok", "left")
     outcome = (F.when(F.col("team").isNull(), "dropped")
                .when(F.col("team") == rules.unmanaged, "unmanaged").otherwise("matched"))
     return (matched.withColumn("team", team).select(*events.columns, "team")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -24,14 +25,22 @@ def week_columns(weeks: Sequence[int], week: str, value: str) -> list[Column]:
     return [F.expr(f"max({value}) FILTER (WHERE {week} = {int(w)}) AS w{int(w)}") for w in weeks]
 
 
+def _listed(week: str, weeks: Sequence[int]) -> Column:
+    """The week itself; a week that has no column is an error, as it would vanish from the grid."""
+    message = F.concat(F.lit("week without a column: "), F.col(week).cast("string"))
+    return F.when(F.col(week).isin(list(weeks)), F.col(week)).otherwise(
+        F.raise_error(message).cast("int"))
+
+
 def week_grid(cells: DataFrame, weeks: Sequence[int], current_week: int,
               keys: Sequence[str] = GRID_KEYS) -> DataFrame:
     """One row per label: a column per week, then quarter total, to date, to go and average.
 
-    The week list is given, so no extra pass looks for the distinct values. Weeks outside it count
-    in the totals but have no column.
+    ``weeks`` are those of the quarters shown (``FiscalRule.weeks``), so no extra pass looks for the
+    distinct values; a cell of any other week is an error.
     """
-    wide = (cells.filter(F.col("week").isNotNull()).groupBy(*keys)
+    wide = (cells.filter(F.col("week").isNotNull())
+            .withColumn("week", _listed("week", weeks)).groupBy(*keys)
             .agg(*week_columns(weeks, "week", "value"), *quarter_measures(current_week)))
     return wide.select(*keys, *[f"w{w}" for w in weeks], "quarter_total", "qtd", "qtg",
                        "qtd_average")
@@ -42,14 +51,18 @@ def package_grid(counts: DataFrame, rows: Sequence[tuple[str, str]], quarters: S
     """Package rows and sub-rows over the weeks of one or more quarters, in a fixed row order.
 
     ``rows`` lists (table_type, label); a row without sales still shows, with empty cells.
+    ``weeks`` are those of the quarters; a count of any other week in them is an error.
     """
     spark = counts.sparkSession
     wanted = [(i, t, label, fy, qtr) for fy, qtr in quarters
               for i, (t, label) in enumerate(rows, 1)]
     frame = spark.createDataFrame(
         wanted, "row_no INT, table_type STRING, label STRING, fy INT, qtr INT")
-    wide = (counts.filter(F.col("table_type").isin([t for t, _ in rows])
-                          & (F.col("team") == ANY_TEAM))
+    shown = reduce(Column.__or__, [(F.col("fy") == fy) & (F.col("qtr") == qtr)
+                                   for fy, qtr in quarters])
+    wide = (counts.filter(F.col("table_type").isin([t for t, _ in rows]) & shown
+                          & (F.col("team") == ANY_TEAM) & F.col("fweek").isNotNull())
+            .withColumn("fweek", _listed("fweek", weeks))
             .groupBy("table_type", "fy", "qtr")
             .agg(*week_columns(weeks, "fweek", "n"), F.sum("n").alias("quarter_total")))
     # `frame` is the configured row list: a few dozen rows.

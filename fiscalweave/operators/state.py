@@ -122,12 +122,13 @@ def close_through_cap(grid: DataFrame, caps: DataFrame) -> DataFrame:
                         close.alias("closed_now"))
 
 
-def quarter_rollover(grid: DataFrame, weeks: DataFrame, fy: int, qtr: int,
-                     max_weeks: int = 14) -> DataFrame:
+def quarter_rollover(grid: DataFrame, weeks: DataFrame, fy: int, qtr: int, max_weeks: int = 14,
+                     period_words: Sequence[str] = ()) -> DataFrame:
     """The grid of the quarter after (fy, qtr).
 
     Rows are carried over by week position; managed cells restart as forecasts, manual ones keep
-    their state, labels naming the old period are renamed and labels naming another one flagged.
+    their state, labels naming the old period are renamed and labels naming another one flagged
+    (see ``text.names_other_period`` for ``period_words``).
     Fails when the calendar lacks the next quarter or it does not fit the grid.
     """
     next_fy, next_qtr = (fy, qtr + 1) if qtr < 4 else (fy + 1, 1)
@@ -163,7 +164,8 @@ def quarter_rollover(grid: DataFrame, weeks: DataFrame, fy: int, qtr: int,
         week_header(F.col("week"), F.col("week_start_date"), F.col("week_end_date"), days)
         .alias("week_header"),
         day_count_label(days).alias("day_label"),
-        names_other_period(F.col("label"), F.col("old_tag")).alias("needs_review"))
+        names_other_period(F.col("label"), F.col("old_tag"), period_words)
+        .alias("needs_review"))
 
 
 def fill_week_gap(headers: DataFrame, sheet: Sequence[str] = ("sheet",),

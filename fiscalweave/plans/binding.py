@@ -27,6 +27,8 @@ from fiscalweave.sources.tables import read_table
 AS_OF = dt.date(2000, 6, 15)
 RULE = FiscalRule()
 FY, QTR, WEEK = RULE.position(AS_OF)
+# First and last day of the calendar: all years the data may name, and the next one.
+CALENDAR = RULE.bounds(FY - 5)[0], RULE.bounds(FY + 2)[1]
 
 TEAMS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 EXCLUDED_FIRMS = (7, 13)
@@ -145,22 +147,33 @@ class Tables:
 
     # -- calendar ------------------------------------------------------------------------------------
 
-    @cached_property
-    def days(self) -> DataFrame:
-        return cal.date_spine_of(self.raw("orders"), F.to_date("o_orderdate"))
-
     @cached_property
     def calendar(self) -> DataFrame:
-        return cal.fiscal_calendar(self.days, RULE)
+        return cal.fiscal_calendar(cal.date_spine(self.spark, *CALENDAR), RULE)
 
     @cached_property
     def date_ext(self) -> DataFrame:
-        return cal.date_ext(self.days, RULE, AS_OF)
+        return cal.date_ext(cal.date_spine(self.spark, *CALENDAR), RULE, AS_OF)
 
     @cached_property
     def weeks(self) -> DataFrame:
         return cal.calendar_weeks(self.calendar, FY - 1, FY + 1)
 
+    @cached_property
+    def order_days(self) -> DataFrame:
+        """The calendar that the orders span, carried on to the end of the next fiscal year; for
+        reports on the calendar itself."""
+        return cal.date_spine_of(self.raw("orders"), F.to_date("o_orderdate"),
+                                 RULE.bounds(FY + 1)[1])
+
+    @cached_property
+    def order_ext(self) -> DataFrame:
+        return cal.date_ext(self.order_days, RULE, AS_OF)
+
+    @cached_property
+    def order_weeks(self) -> DataFrame:
+        return cal.calendar_weeks(cal.fiscal_calendar(self.order_days, RULE), FY - 1, FY + 1)
+
     # -- dimensions ----------------------------------------------------------------------------------
 
     @cached_property
@@ -325,9 +338,10 @@ class Tables:
 
     # -- derived -----------------------------------------------------------------------------------------
 
-    def events(self, fy: int = FY, qtr: int | None = None, rules=TAG_RULES) -> DataFrame:
+    def events(self, fy: int = FY, qtr: int | None = None, rules=TAG_RULES, years: int = 1
+               ) -> DataFrame:
         return ev.weekly_events(self.bookings, self.agents, RULE, rules, REGIONS, fy, qtr, TEAMS,
-                                EXCLUDED_FIRMS)
+                                EXCLUDED_FIRMS, years)
 
     def cancels(self, fy: int = FY, qtr: int | None = None) -> DataFrame:
         """Live cancel events, before owners are classified."""

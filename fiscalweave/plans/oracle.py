@@ -126,8 +126,15 @@ VIEWS: dict[str, str] = {
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         JOIN part ON l_partkey = p_partkey""",
     "v_days": f"""
-        SELECT CAST(unnest(generate_series(min({_D}), max({_D}), INTERVAL 1 DAY)) AS DATE) AS date
+        SELECT CAST(unnest(generate_series(min({_D}), greatest(max({_D}), DATE '2001-07-31'),
+            INTERVAL 1 DAY)) AS DATE) AS date
         FROM orders""",
+    "v_span": """
+        SELECT CAST(unnest(generate_series(DATE '1994-08-01', DATE '2002-07-31', INTERVAL 1 DAY))
+            AS DATE) AS date""",
+    "v_place": f"""
+        SELECT date, {fy('date')} AS fy, {qtr('date')} AS qtr,
+            {fy(AS_OF)} - {fy('date')} AS fiscal_year_age FROM v_span""",
     "v_cal": f"""
         SELECT date, {fy('date')} AS fy, {qtr('date')} AS qtr, {week('date')} AS week FROM v_days""",
     "v_ext": f"""
@@ -458,8 +465,8 @@ VIEWS: dict[str, str] = {
         JOIN v_users u ON o.owner_id = u.id
         JOIN v_accounts c ON o.account_id = c.company_id
         JOIN v_accounts p ON c.parent_id = p.id
-        JOIN v_ext cc ON o.close_date = cc.date
-        JOIN v_ext dd ON o.created_date = dd.date
+        JOIN v_place cc ON o.close_date = cc.date
+        JOIN v_place dd ON o.created_date = dd.date
         LEFT JOIN v_lines l ON o.id = l.opp_id
         JOIN v_agents a ON TRY_CAST(u.federation_id AS BIGINT) = a.agent_id
           AND o.close_date BETWEEN a.rec_start AND a.rec_end
@@ -536,12 +543,20 @@ VIEWS: dict[str, str] = {
                       AND category = 'F')
               GROUP BY 2, 3, 4, 5)
         GROUP BY 1, 2, 3, 4, 5""",
-    "v_metric_total": """
+    "v_metric_some": """
         SELECT metric, fy, qtr, team, week, coalesce(actual, 0) AS actual, forecast, prior
         FROM v_metric_cells
         UNION ALL
         SELECT metric, fy, qtr, 'TOTAL', week, coalesce(sum(actual), 0), sum(forecast), sum(prior)
         FROM v_metric_cells GROUP BY metric, fy, qtr, week""",
+    "v_metric_total": """
+        SELECT * FROM v_metric_some
+        UNION ALL
+        SELECT k.metric, k.fy, k.qtr, k.team, w.week, 0, NULL, NULL
+        FROM (SELECT DISTINCT metric, fy, qtr, team FROM v_metric_some) k
+        JOIN v_weeks w ON w.fy = k.fy AND w.qtr = k.qtr
+        WHERE NOT EXISTS (SELECT 1 FROM v_metric_some s WHERE s.metric = k.metric AND s.fy = k.fy
+            AND s.qtr = k.qtr AND s.team = k.team AND s.week = w.week)""",
     "v_index": f"""
         SELECT metric, fy, qtr, team, week, actual, forecast, actual - forecast AS variance,
             {index('actual', 'forecast')} AS itf, {index('actual', 'prior')} AS itpy,

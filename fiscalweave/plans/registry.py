@@ -97,13 +97,21 @@ def _freeze_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
 def _(t):
     store, fresh = _freeze_inputs(t)
     target, meta = (sinks.scratch_path(t.spark, n) for n in ("freeze", "freeze-meta"))
-    for qtr in (3, QTR):
-        sinks.write_freeze(store, target, "first", FY, qtr)
-        sinks.append_run_meta(t.spark, meta, "first", FY, qtr, dt.datetime(2000, 6, 8))
     read = lambda: sinks.read_freeze(
         t.spark, target, t.spark.read.schema(RUN_META).parquet(meta), WEEKLY_EVENTS)
-    sinks.write_freeze(fz.weekly_freeze(read(), fresh, FY, QTR, WEEK).store, target, "second", FY, QTR)
-    sinks.append_run_meta(t.spark, meta, "second", FY, QTR, dt.datetime(2000, 6, 15))
+
+    def run(rows: DataFrame, run_id: str, qtr: int, day: int) -> None:
+        attempt = sinks.new_attempt(run_id)
+        sinks.write_freeze(rows, target, attempt, FY, qtr)
+        sinks.append_run_meta(t.spark, meta, run_id, FY, qtr, dt.datetime(2000, 6, day),
+                              attempt=attempt, store_attempt=attempt)
+
+    for qtr in (3, QTR):
+        run(store, "first", qtr, 8)
+    for _ in range(2):  # a run that is repeated extends the store that it has replaced
+        run(fz.weekly_freeze(read(), fresh, FY, QTR, WEEK).store, "second", QTR, 15)
+    # A later run whose freeze failed commits without moving the store.
+    sinks.append_run_meta(t.spark, meta, "third", FY, QTR, dt.datetime(2000, 6, 22))
     return read()
 
 
@@ -114,6 +122,7 @@ def _run_meta(t: Tables) -> DataFrame:
                                     RULE.quarter(d).alias("qtr"))
             .agg(F.max("o_orderdate").cast("timestamp").alias("finished_at"),
                  F.count(F.lit(1)).cast("string").alias("summary_text"))
+            .withColumns({"attempt": c("run_id"), "store_attempt": F.lit(None).cast("string")})
             .select(*RUN_META.names))
 
 
@@ -307,7 +316,7 @@ def _(t):
 @query("relative_age", """
     SELECT date, fiscal_year_age, fiscal_qtr_age, week_age FROM v_ext""")
 def _(t):
-    return t.date_ext.select("date", "fiscal_year_age", "fiscal_qtr_age", "week_age")
+    return t.order_ext.select("date", "fiscal_year_age", "fiscal_qtr_age", "week_age")
 
 
 # -- joins -------------------------------------------------------------------------------------------
@@ -317,7 +326,8 @@ def _(t):
     SELECT fy, qtr, week, event_type, count(*) AS n FROM v_bookings
     LEFT JOIN v_cal ON event_date = date WHERE fy = 2000 GROUP BY 1, 2, 3, 4""")
 def _(t):
-    return _n(ev.join_calendar(t.bookings, t.calendar, FY), "fy", "qtr", "week", "event_type")
+    booked = ev.in_period(t.bookings, "event_date", RULE, FY, None)
+    return _n(ev.join_calendar(booked, t.calendar, FY), "fy", "qtr", "week", "event_type")
 
 
 @query("join_scd_current", """
@@ -374,7 +384,7 @@ def _(t):
 def _(t):
     aligned = fc.join_align_teams([
         fc.team_distinct(t.sales), fc.filtered_sum(t.forecast, FY, QTR, WEEK),
-        fc.conversion_rate(t.pipeline, AS_OF), fc.open_opportunities(t.pipeline)])
+        fc.pipeline_measures(t.pipeline, AS_OF)])
     return aligned.select("team", "qtd_sales", "qtd_runrate_sales", "qtd_forecast",
                           "total_finance_fcst", "opp_conv_rate", "qtg_open_opps")
 
@@ -382,7 +392,8 @@ def _(t):
 @query("join_role_playing", """
     SELECT cc.fy AS close_fy, cc.qtr AS close_qtr, dd.fiscal_year_age AS created_year_age,
         count(*) AS n
-    FROM v_opps o JOIN v_ext cc ON o.close_date = cc.date JOIN v_ext dd ON o.created_date = dd.date
+    FROM v_opps o JOIN v_place cc ON o.close_date = cc.date
+    JOIN v_place dd ON o.created_date = dd.date
     GROUP BY 1, 2, 3""")
 def _(t):
     return _n(fc.join_role_playing(t.opportunities, t.date_ext), "close_fy", "close_qtr",
@@ -449,7 +460,7 @@ def _(t):
 
 @query("calendar_weeks", "SELECT * FROM v_weeks")
 def _(t):
-    return t.weeks
+    return t.order_weeks
 
 
 @query("team_distinct", """
@@ -600,7 +611,7 @@ def _(t):
 def _headers(t: Tables) -> DataFrame:
     """Week headers per quarter: some blank, some in the WK form, some carrying dates."""
     w = c("week").cast("string")
-    return t.weeks.select(
+    return t.order_weeks.select(
         F.concat(F.lit("FY"), c("fy").cast("string"), F.lit(" Q"), c("qtr").cast("string"))
         .alias("sheet"),
         F.row_number().over(W.partitionBy("fy", "qtr").orderBy("week")).alias("pos"),
@@ -645,12 +656,12 @@ def _(t):
 
 @query("quarter_weeks", "SELECT * FROM v_weeks WHERE fy = 2000 AND qtr = 4")
 def _(t):
-    return cal.quarter_weeks(t.weeks, FY, QTR)
+    return cal.quarter_weeks(t.order_weeks, FY, QTR)
 
 
 @query("current_week", "SELECT fy, qtr, week FROM v_now")
 def _(t):
-    return cal.current_week(t.weeks, AS_OF)
+    return cal.current_week(t.order_weeks, AS_OF)
 
 
 @query("driver_weeks", """
@@ -756,7 +767,7 @@ def _(t):
             AS day_label
     FROM v_weeks""")
 def _(t):
-    return t.weeks.select(
+    return t.order_weeks.select(
         "fy", "qtr", "week",
         tx.date_range_label(c("week_start_date"), c("week_end_date")).alias("range_label"),
         tx.day_count_label(c("day_count_in_qtr")).alias("day_label"))
@@ -846,7 +857,7 @@ def _(t):
             AS weeks_remaining
     FROM v_ext WHERE date = {sql.AS_OF}""")
 def _(t):
-    return cal.progress(t.date_ext, AS_OF)
+    return cal.progress(t.order_ext, AS_OF)
 
 
 def _band_sql(zero: str = "FALSE") -> str:
@@ -895,7 +906,7 @@ def _(t):
     old = F.lit("FY26 Q4")
     return t.raw("part").select(c("p_partkey").alias("id"), label.alias("label")).select(
         "id", "label", tx.relabel_period(c("label"), old, F.lit("FY27 Q1")).alias("relabelled"),
-        tx.names_other_period(c("label"), old).alias("needs_review"))
+        tx.names_other_period(c("label"), old, ["PKGs", "WSB"]).alias("needs_review"))
 
 
 # -- composite operators ------------------------------------------------------------------------------------
@@ -949,7 +960,7 @@ def _(t):
 
 @query("week_cap", "SELECT fy, qtr, cap, reliable FROM v_caps")
 def _(t):
-    return t.caps
+    return st.week_cap(t.order_weeks, t.weeks, AS_OF)
 
 
 def _resolved(t: Tables) -> DataFrame:
@@ -1044,11 +1055,13 @@ def _index(t: Tables) -> DataFrame:
                 .select(label[c("table_type")].alias("metric"), (c("fy") + shift).alias("fy"), "qtr",
                         "team", c("fweek").alias("week"), c("n").alias("value")))
 
-    last_year = cnt.week_team_type_counts(t.events(FY - 1, rules=TAG_RULES[:1]))
+    # Both years from one scan; last year only its sales are compared with.
+    counts = cnt.week_team_type_counts(t.events(years=2))
+    last_year = counts.filter((c("fy") == FY - 1) & (c("table_type") == TAG_RULES[0].tag))
     plan = (t.forecast.filter(c("fy") == FY)
             .withColumn("metric", F.explode(F.array(F.lit("sales"), F.lit("upgrades"))))
             .select("metric", "fy", "qtr", "team", "week", c("forecast").alias("value")))
-    return kpi.index_metrics(long(t.counts, 0), plan, long(last_year, 1))
+    return kpi.index_metrics(long(counts.filter(c("fy") == FY), 0), plan, long(last_year, 1), t.weeks)
 
 
 @query("index_metrics", "SELECT * FROM v_index")
@@ -1062,11 +1075,15 @@ def _(t):
     FROM (SELECT fy, qtr, fweek AS week, CASE WHEN team = '*' THEN 'TOTAL' ELSE team END AS team,
             CAST(coalesce(sum(n) FILTER (table_type = 'PAYROLL'), 0) AS BIGINT) AS attached_n,
             CAST(coalesce(sum(n) FILTER (table_type = 'SALES'), 0) AS BIGINT) AS core_n
-          FROM v_counts GROUP BY 1, 2, 3, 4)
+          FROM (SELECT fy, qtr, fweek, team, table_type, n FROM v_counts
+                UNION ALL
+                SELECT k.fy, k.qtr, w.week, k.team, 'SALES', 0
+                FROM (SELECT DISTINCT fy, qtr, team FROM v_counts) k
+                JOIN v_weeks w ON w.fy = k.fy AND w.qtr = k.qtr) GROUP BY 1, 2, 3, 4)
     WINDOW w AS (PARTITION BY fy, qtr, team ORDER BY week
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def _(t):
-    return kpi.attach_rate(t.counts, "PAYROLL", "SALES")
+    return kpi.attach_rate(t.counts, "PAYROLL", "SALES", t.weeks)
 
 
 @query("combined_sales_upgrades", """
@@ -1103,7 +1120,7 @@ def _(t):
     return kpi.scenario_table(_scenarios(t), kpi.qtd_qtg(_resolved(t), WEEK))
 
 
-_WEEKS = tuple(range(40, 54))
+_WEEKS = RULE.weeks(FY, QTR)
 
 
 @query("week_grid", f"""
@@ -1116,7 +1133,7 @@ def _(t):
     return rp.week_grid(_resolved(t).filter(c("week").isNotNull()), _WEEKS, WEEK)
 
 
-_ALL_WEEKS = tuple(range(27, 54))
+_ALL_WEEKS = sorted({*RULE.weeks(FY, 3), *RULE.weeks(FY, QTR)})
 
 
 @query("package_grid", f"""

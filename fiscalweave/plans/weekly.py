@@ -7,12 +7,12 @@ than their tasks.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,27 +71,38 @@ class WeeklyTarget:
         return f"{self.root.rstrip('/')}/{name}"
 
     def run_meta(self, spark: SparkSession) -> DataFrame:
-        try:
-            return spark.read.schema(RUN_META).parquet(self.path("run_meta"))
-        except AnalysisException:  # nothing has been published yet
+        """All committed runs; empty before the first one."""
+        if not sinks.exists(spark, self.path("run_meta")):
             return spark.createDataFrame([], RUN_META)
+        return spark.read.schema(RUN_META).parquet(self.path("run_meta"))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         """A published event table; empty before the first run."""
-        try:
-            return sinks.read_run(spark, self.path(name), self.run_meta(spark), WEEKLY_EVENTS)
-        except AnalysisException:
-            return spark.createDataFrame([], WEEKLY_EVENTS)
+        reader = sinks.read_freeze if name == "freeze_store" else sinks.read_run
+        return reader(spark, self.path(name), self.run_meta(spark), WEEKLY_EVENTS)
+
+    def calendar_weeks(self, spark: SparkSession) -> DataFrame:
+        """The calendar of the latest run that wrote one."""
+        runs = self.run_meta(spark).filter(F.col("attempt").isNotNull())
+        stored = spark.read.parquet(self.path("calendar_weeks"))
+        live = (runs.join(stored.select("attempt").distinct(), "attempt")
+                .agg(F.max_by("attempt", F.struct("finished_at", "run_id", "attempt")).alias("a")))
+        return stored.filter(F.col("attempt") == live.scalar()).drop("attempt")
 
 
 def run_week(inputs: WeeklyInputs, config: WeeklyConfig, target: WeeklyTarget, run_id: str,
              finished_at: dt.datetime | None = None) -> DataFrame:
     """Publish the current quarter as of ``config.as_of``; returns row counts per table_type.
 
-    A failing freeze does not stop the run: the cancels are then published as queried.
+    All that a run writes carries the name of this attempt, and one row of run metadata publishes
+    it in the end. Whatever fails before that leaves readers with the last published state, and the
+    run can be repeated. A failing freeze does not stop the run: the cancels are then published as
+    queried, and the store stays with the last run that wrote it. Neither does a failing calendar
+    or summary.
     """
     spark = inputs.bookings.sparkSession
     fy, qtr, week = config.rule.position(config.as_of)
+    attempt = sinks.new_attempt(run_id)
 
     sales = ev.weekly_events(inputs.bookings, inputs.agents, config.rule, config.tags,
                              config.regions, fy, qtr, config.teams, config.excluded_firms)
@@ -101,33 +112,49 @@ def run_week(inputs: WeeklyInputs, config: WeeklyConfig, target: WeeklyTarget, r
         fy, qtr, config.owners.unmanaged)
     cancels = ow.classify_owner(cancels, ow.roster_keys(inputs.roster, config.owners),
                                 config.owners)
-    cancels = sinks.rewritten(cancels, "cancels")  # read three times below
+    scratch = sinks.scratch_path(spark, "cancels")
+    cancels.write.parquet(scratch)  # read three times below
+    cancels = spark.read.schema(cancels.schema).parquet(scratch)
     try:
-        frozen = weekly_freeze(target.read(spark, "freeze_store"), cancels, fy, qtr, week)
-        sinks.write_freeze(frozen.store, target.path("freeze_store"), run_id, fy, qtr)
-        cancels = frozen.events
-    except Exception as error:  # noqa: BLE001 - by design, see above
-        log.warning("freeze skipped: %s", error)
-
-    sinks.write_run(sales.unionByName(cancels), target.path("weekly_events"), run_id, fy, qtr,
-                    ["table_type"])
-    days = cal.date_spine(spark, config.rule.bounds(fy - 1)[0], config.rule.bounds(fy + 1)[1])
-    sinks.write_snapshot(cal.calendar_weeks(cal.fiscal_calendar(days, config.rule), fy - 1, fy + 1)
-                         .coalesce(1), target.path("calendar_weeks"))
-
-    schema = T.StructType([*WEEKLY_EVENTS.fields, T.StructField("run_id", T.StringType())])
-    published = (spark.read.schema(schema)
-                 .parquet(target.path("weekly_events"))
-                 .filter((F.col("fy") == fy) & (F.col("qtr") == qtr) & (F.col("run_id") == run_id)))
-    cells_path = target.path(f"cell_counts/run_id={run_id}")
+        store_attempt = None
+        with _tolerated("freeze"):
+            frozen = weekly_freeze(target.read(spark, "freeze_store"), cancels, fy, qtr, week)
+            sinks.write_freeze(frozen.store, target.path("freeze_store"), attempt, fy, qtr)
+            cancels, store_attempt = frozen.events, attempt
+        sinks.write_run(sales.unionByName(cancels), target.path("weekly_events"), attempt, fy,
+                        qtr, ["table_type"])
+    finally:
+        sinks.remove(spark, scratch)
+    with _tolerated("calendar"):
+        days = cal.date_spine(spark, config.rule.bounds(fy - 1)[0], config.rule.bounds(fy + 1)[1])
+        weeks = cal.calendar_weeks(cal.fiscal_calendar(days, config.rule), fy - 1, fy + 1)
+        sinks.write_snapshot(weeks.coalesce(1), target.path(f"calendar_weeks/attempt={attempt}"))
+
+    schema = T.StructType([*WEEKLY_EVENTS.fields, T.StructField("attempt", T.StringType())])
+    published = (spark.read.schema(schema).parquet(target.path("weekly_events"))
+                 .filter((F.col("fy") == fy) & (F.col("qtr") == qtr)
+                         & (F.col("attempt") == attempt)))
+    cells_path = target.path(f"cell_counts/attempt={attempt}")
     sinks.write_snapshot(cnt.cell_counts(published), cells_path)
     cells = spark.read.parquet(cells_path)
+    text = ""
+    with _tolerated("summary"):
+        text = summary_text(cells, config)
     sinks.append_run_meta(spark, target.path("run_meta"), run_id, fy, qtr,
-                          finished_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                          summary_text(cells, config))
+                          finished_at or dt.datetime.now(dt.timezone.utc), text, attempt,
+                          store_attempt)
     return cells.groupBy("table_type").agg(F.sum("n").alias("n"))
 
 
+@contextlib.contextmanager
+def _tolerated(step: str):
+    """A step that may fail without stopping the run."""
+    try:
+        yield
+    except Exception as error:  # noqa: BLE001 - by design
+        log.warning("%s skipped: %s", step, error)
+
+
 def summary_text(cells: DataFrame, config: WeeklyConfig) -> str:
     """The fact lines of a run as one text; a few dozen lines by construction."""
     series = cells.groupBy("table_type", "fy", "qtr", "fweek").agg(F.sum("n").alias("n"))

@@ -24,11 +24,9 @@ WEEKLY_EVENTS = _struct(
     "region STRING, team_raw STRING, account_owner STRING, event STRING, account_id STRING, "
     "firm_id STRING, sku STRING, offer_name STRING, product STRING, cnt INT, table_type STRING")
 
-WEEK_GRID = _struct(
-    "section STRING, table_type STRING, label STRING, fy INT, qtr INT, week INT, value DOUBLE, "
-    "state STRING, is_manual BOOLEAN")
-
-RUN_META = _struct("run_id STRING, fy INT, qtr INT, finished_at TIMESTAMP, summary_text STRING")
+RUN_META = _struct(
+    "run_id STRING, fy INT, qtr INT, finished_at TIMESTAMP, summary_text STRING, attempt STRING, "
+    "store_attempt STRING")
 
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:

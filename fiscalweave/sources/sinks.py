@@ -1,7 +1,8 @@
 """Snapshots, the freeze store, run metadata and text exports.
 
-Every writer goes to a new location or a partition of its own and is made visible by a run_meta
-row, so a job that dies half way never damages what readers see.
+Every writer goes to a new location or to partitions of an attempt of its own. One appended row of
+run metadata makes an attempt visible, so a job that dies half way never changes what readers see,
+and repeating a run never touches the files that it reads.
 """
 
 from __future__ import annotations
@@ -17,20 +18,25 @@ from pyspark.sql import types as T
 
 from fiscalweave.schemas import RUN_META
 
+_own: dict[str, tempfile.TemporaryDirectory] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, as the cluster names it.
+    """The shared folder for intermediate tables, as the session names it.
 
-    Only a local session without one (a test) gets a folder of its own; on a cluster a folder of
-    one machine would be useless to the others.
+    Only a local session without one (a test) gets a folder of its own, which goes when Python
+    ends; on a cluster a folder of one machine would be useless to the others. The session's
+    settings stay as they are.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="fiscalweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    app = spark.conf.get("spark.app.id", "local")
+    if app not in _own:
+        _own[app] = tempfile.TemporaryDirectory(prefix="fiscalweave-", ignore_cleanup_errors=True)
+    return _own[app].name
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -53,58 +59,88 @@ def write_snapshot(df: DataFrame, target: str, partition_by: Sequence[str] = ())
     return target
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data; nothing happens where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.sc().hadoopConfiguration()).exists(target)
+
+
 def append_run_meta(spark: SparkSession, target: str, run_id: str, fy: int, qtr: int,
-                    finished_at: dt.datetime, summary_text: str = "") -> None:
-    """Record that a run has completed; this is also what commits its freeze-store partitions."""
-    row = [(run_id, fy, qtr, finished_at, summary_text)]
+                    finished_at: dt.datetime, summary_text: str = "", attempt: str | None = None,
+                    store_attempt: str | None = None) -> None:
+    """Record that a run has completed. This one row is the commit: it makes the event partitions
+    of ``attempt`` visible (the run id where none is given) and, if the run wrote the freeze store,
+    moves the store to ``store_attempt``. Naive times count as UTC.
+    """
+    if finished_at.tzinfo is None:
+        finished_at = finished_at.replace(tzinfo=dt.timezone.utc)
+    row = [(run_id, fy, qtr, finished_at, summary_text, attempt or run_id, store_attempt)]
     spark.createDataFrame(row, RUN_META).coalesce(1).write.mode("append").parquet(target)
 
 
-def latest_run(run_meta: DataFrame) -> DataFrame:
-    """The most recently finished run per fiscal quarter."""
-    order = F.struct("finished_at", "run_id")
-    return (run_meta.groupBy("fy", "qtr")
-            .agg(F.max_by(F.struct("run_id", "finished_at", "summary_text"), order).alias("m"))
-            .select("fy", "qtr", "m.*"))
+def latest_run(run_meta: DataFrame, pointer: str = "attempt") -> DataFrame:
+    """The most recently finished run per fiscal quarter, of those that moved ``pointer``."""
+    order = F.struct("finished_at", "run_id", "attempt")
+    found = F.struct("run_id", "finished_at", "summary_text", "attempt", "store_attempt")
+    return (run_meta.filter(F.col(pointer).isNotNull()).groupBy("fy", "qtr")
+            .agg(F.max_by(found, order).alias("m")).select("fy", "qtr", "m.*"))
+
+
+RUN_KEYS = ("fy", "qtr", "attempt")
 
 
-RUN_KEYS = ("fy", "qtr", "run_id")
+def new_attempt(run_id: str) -> str:
+    """A name that no earlier attempt of the run has used."""
+    return f"{run_id}-{uuid.uuid4().hex}"
 
 
-def write_run(df: DataFrame, target: str, run_id: str, fy: int, qtr: int,
+def write_run(df: DataFrame, target: str, attempt: str, fy: int, qtr: int,
               partition_by: Sequence[str] = ()) -> None:
-    """Write one quarter's rows of a run as partitions of their own.
+    """Write one quarter's rows of an attempt as partitions of their own.
 
-    Other quarters are not rewritten and the run being read is never overwritten; repeating a run
-    replaces only its own partitions. Nothing is visible to ``read_run`` before ``append_run_meta``
-    names the run. The rebalance gives even files: small partitions are joined, and one holding a
-    large share of the rows is split over several tasks.
+    Other quarters and attempts are not touched, so ``df`` may read the table it extends. Nothing
+    is visible to ``read_run`` before ``append_run_meta`` names the attempt. The rebalance gives
+    even files: small partitions are joined, and one holding a large share of the rows is split
+    over several tasks.
     """
     keys = [*RUN_KEYS, *partition_by]
     (df.filter((F.col("fy") == fy) & (F.col("qtr") == qtr))
-     .withColumn("run_id", F.lit(run_id)).hint("rebalance", *keys)
+     .withColumn("attempt", F.lit(attempt)).hint("rebalance", *keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(target))
 
 
-def read_run(spark: SparkSession, target: str, run_meta: DataFrame, schema: T.StructType
-             ) -> DataFrame:
-    """Rows of the latest committed run of every quarter."""
+def read_run(spark: SparkSession, target: str, run_meta: DataFrame, schema: T.StructType,
+             pointer: str = "attempt") -> DataFrame:
+    """Rows of the attempt that each quarter's latest committed pointer names.
+
+    A table of which nothing has been written is empty; other read errors are raised.
+    """
+    if not exists(spark, target):
+        return spark.createDataFrame([], schema)
     stored = spark.read.schema(
-        T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])).parquet(target)
-    # One row per fiscal quarter, and the join key is the partition path: only the live run of
+        T.StructType([*schema.fields, T.StructField("attempt", T.StringType())])).parquet(target)
+    # One row per fiscal quarter, and the join key is the partition path: only the live attempt of
     # each quarter is read.
-    live = latest_run(run_meta).select(*RUN_KEYS)
+    live = latest_run(run_meta, pointer).select("fy", "qtr", F.col(pointer).alias("attempt"))
     return stored.join(live, list(RUN_KEYS)).select(*schema.names)
 
 
-def write_freeze(store: DataFrame, target: str, run_id: str, fy: int, qtr: int,
+def write_freeze(store: DataFrame, target: str, attempt: str, fy: int, qtr: int,
                  week: str = "fweek") -> None:
-    """Replace the closed weeks of one quarter, by way of a new run."""
-    write_run(store, target, run_id, fy, qtr, [week])
+    """The closed weeks of one quarter, as a new version of the store."""
+    write_run(store, target, attempt, fy, qtr, [week])
 
 
-read_freeze = read_run
+def read_freeze(spark: SparkSession, target: str, run_meta: DataFrame, schema: T.StructType
+                ) -> DataFrame:
+    """The store as the latest run left it that wrote it; runs whose freeze failed do not count."""
+    return read_run(spark, target, run_meta, schema, "store_attempt")
 
 
 # -- exports -------------------------------------------------------------------------------------

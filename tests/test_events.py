@@ -173,3 +173,20 @@ def test_one_fact_scan_and_no_python(spark):
     assert plan.count("lineitem.parquet") == 1
     assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
     assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_seventy_rules_in_one_pass(spark):
+    rules = [TagRule(f"T{i}", event_type="new", offer_contains=(f"gear{i}x",)) for i in range(70)]
+    rows = bookings(spark, *[dict(offer_name=f"gear{i}x", account_id=i) for i in range(70)],
+                    dict(offer_name="gear0x gear69x", account_id=99))
+    got = ev.weekly_events(rows, agents(spark, CURRENT), RULE, rules, DEFAULT_REGIONS, 2000)
+    n = {r.table_type: r["count"] for r in got.groupBy("table_type").count().collect()}
+    assert n == {f"T{i}": 2 if i in (0, 69) else 1 for i in range(70)}
+
+
+def test_two_years_from_one_scan(spark):
+    rows = bookings(spark, dict(event_date=D(1999, 5, 1)), dict(event_date=D(2000, 5, 1)),
+                    dict(event_date=D(1998, 5, 1)))
+    got = ev.weekly_events(rows, agents(spark, CURRENT), RULE, TAG_RULES[:1], DEFAULT_REGIONS, 2000,
+                           years=2)
+    assert sorted(r.fy for r in got.collect()) == [1999, 2000]

@@ -68,12 +68,14 @@ def test_store_on_disk(spark, tmp_path):
 
     for qtr in (3, 4):
         sinks.write_freeze(frame(spark, STORE), store, "r1", 26, qtr)
-        sinks.append_run_meta(spark, meta, "r1", 26, qtr, dt.datetime(2026, 6, 1))
+        sinks.append_run_meta(spark, meta, "r1", 26, qtr, dt.datetime(2026, 6, 1),
+                              store_attempt="r1")
     assert short(read()) == sorted(STORE)
     new = weekly_freeze(read(), frame(spark, FRESH), 26, 4, 45)
     sinks.write_freeze(new.store, store, "r2", 26, 4)   # reads the store it extends
     assert short(read()) == sorted(STORE)               # not visible before its commit
-    sinks.append_run_meta(spark, meta, "r2", 26, 4, dt.datetime(2026, 6, 8), "done")
+    sinks.append_run_meta(spark, meta, "r2", 26, 4, dt.datetime(2026, 6, 8), "done",
+                          store_attempt="r2")
     want = short(weekly_freeze(frame(spark, STORE), frame(spark, FRESH), 26, 4, 45).store)
     assert short(read()) == want
     sinks.write_freeze(new.store, store, "r2", 26, 4)   # a repeated write replaces its own run

@@ -85,7 +85,7 @@ def test_relabel(spark):
     old, new = F.lit("FY26 Q4"), F.lit("FY27 Q1")
     labels = ["FY26 Q4 Sales", "FY26 Q3 Sales", "FY25  PKGs", "National"]
     assert apply(spark, labels, tx.relabel_period(V(), old, new))[0] == "FY27 Q1 Sales"
-    assert apply(spark, labels, tx.names_other_period(V(), old)) == [False, True, True, False]
+    assert apply(spark, labels, tx.names_other_period(V(), old, ["PKGs", "WSB"])) == [False, True, True, False]
 
 
 BANDS = ["100", "99.9", "95", "94.9", "97%", "1,020", "-", "n/a", "N/A", "#DIV/0!", "", None, "0"]

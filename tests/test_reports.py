@@ -90,26 +90,45 @@ def test_indexes(spark):
     a = spark.createDataFrame([("m", 26, 4, "N", 40, 10.0), ("m", 26, 4, "M", 40, 5.0), ("m", 26, 4, "N", 41, 20.0)], LONG)
     f = spark.createDataFrame([("m", 26, 4, "N", 40, 20.0), ("m", 26, 4, "N", 41, 20.0), ("m", 26, 4, "M", 41, 0.0)], LONG)
     p = spark.createDataFrame([("m", 26, 4, "N", 40, 5.0)], LONG)
-    got = {(r.team, r.week): r for r in kpi.index_metrics(a, f, p).collect()}
+    w = weeks(spark)
+    got = {(r.team, r.week): r for r in kpi.index_metrics(a, f, p, w).collect()}
     n = got["N", 41]
     assert (n.variance, n.itf, n.itpy, n.actual_qtd, n.itf_qtd, n.itpy_qtd) == (0.0, 100.0, None, 30.0, 75.0, 600.0)
     assert got["M", 40].itf is None and got["M", 41].actual == 0.0 and got["M", 41].itf is None
     assert (got["TOTAL", 40].actual, got["TOTAL", 40].forecast, got["TOTAL", 40].itf) == (15.0, 20.0, 75.0)
-    card = report.team_scorecard(kpi.index_metrics(a, f, p), 40, {"m": ("actual", "itf"), "gone": ("actual",)})
+    card = report.team_scorecard(kpi.index_metrics(a, f, p, w), 40, {"m": ("actual", "itf"), "gone": ("actual",)})
     lines = {(r.team, r.measure): (r.this_week, r.qtd) for r in card.collect()}
     assert lines["N", "itf"] == (50.0, 50.0) and ("N", "itpy") not in lines
-    empty = kpi.index_metrics(a.withColumn("value", F.lit(None).cast("double")), f, p)
+    empty = kpi.index_metrics(a.withColumn("value", F.lit(None).cast("double")), f, p, w)
     only = report.team_scorecard(empty, 40, {"m": ("itf",)})
     assert {r.team for r in only.collect()} == {"N", "TOTAL"}          # team M has no figure at all
-    s = report.template_summary(kpi.index_metrics(a, f, p), 40, "m", ["N", "M"]).first()
+    s = report.template_summary(kpi.index_metrics(a, f, p, w), 40, "m", ["N", "M"]).first()
     assert (s.total_variance, s.at_or_over, s.below) == ("-5", "M", "N")
 
 
+def weeks(spark):
+    return spark.createDataFrame([(26, 4, w) for w in (40, 41, 42)], "fy int, qtr int, week int")
+
+
+def test_a_team_without_a_sale_this_week_keeps_its_figures_to_date(spark):
+    a = spark.createDataFrame([("m", 26, 4, "N", 40, 10.0), ("m", 26, 4, "M", 42, 5.0),
+                               ("m", 26, 4, "M", None, 3.0)], LONG)
+    none = a.limit(0)
+    index = kpi.index_metrics(a, none, none, weeks(spark))
+    got = {(r.team, r.week): (r.actual, r.actual_qtd) for r in index.collect()}
+    assert len(got) == 3 * 3 + 2 and got["N", 42] == (0.0, 10.0)
+    card = report.team_scorecard(index, 42, {"m": ("actual",)})
+    assert {r.team: r.qtd for r in card.collect()}["N"] == 10.0
+    c = cnt.week_team_type_counts(events(spark, *SALES))
+    attach = {(r.week, r.team) for r in kpi.attach_rate(c, "P", "S", weeks(spark)).collect()}
+    assert {(w, "TOTAL") for w in (40, 41, 42)} <= attach
+
+
 def test_mix_attach_combined(spark):
     c = cnt.week_team_type_counts(events(spark, *SALES))
     mix = {(r.fweek, r.team): r.share for r in kpi.mix_share(c, "P", "S").collect()}
     assert mix[42, "M"] == 0.0 and mix[42, "TOTAL"] == 1 / 6
-    attach = {(r.week, r.team): r.attach_qtd for r in kpi.attach_rate(c, "P", "S").collect()}
+    attach = {(r.week, r.team): r.attach_qtd for r in kpi.attach_rate(c, "P", "S", weeks(spark)).collect()}
     assert attach[42, "TOTAL"] == 1 / 9 and attach[42, "M"] == 1.0
     both = {(r.fweek, r.team): r.combined_n for r in kpi.combined_sales_upgrades(c, "S", "C").collect()}
     assert both[42, "N"] == 7 and both[42, "TOTAL"] == 8

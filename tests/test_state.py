@@ -6,10 +6,12 @@ from fiscalweave.functions.calendar import FiscalRule
 from fiscalweave.operators import calendar as cal
 from fiscalweave.operators import kpi, report
 from fiscalweave.operators import state as st
-from fiscalweave.schemas import WEEK_GRID
 
 D = dt.date
 
+WEEK_GRID = ("section STRING, table_type STRING, label STRING, fy INT, qtr INT, week INT, "
+             "value DOUBLE, state STRING, is_manual BOOLEAN")
+
 
 @pytest.fixture(scope="module")
 def weeks(spark):
@@ -108,7 +110,7 @@ def test_rollover_then_future_cap(spark, weeks):
     assert (by["FY27 Q1 a", 1].week_header, by["FY27 Q1 a", 1].day_label) == ("W1 Aug 1-1", "1 days")
     assert (by["FY27 Q1 a", 2].week_header, by["FY27 Q1 a", 2].day_label) == ("W2", "")
     future = st.week_cap(new, weeks, D(2026, 6, 3))
-    state = st.actual_or_forecast(new.select(*WEEK_GRID.names), counts(spark), future)
+    state = st.actual_or_forecast(new.select(*[c.split()[0] for c in WEEK_GRID.split(", ")]), counts(spark), future)
     assert {r.state for r in state.collect() if not r.is_manual} == {"forecast"}
     with pytest.raises(ValueError, match="0 weeks"):
         st.quarter_rollover(src, weeks, 2027, 4)
@@ -132,10 +134,21 @@ def test_qtd_plus_qtg_is_the_quarter(spark):
     r = kpi.qtd_qtg(g, 45).first()
     assert (r.qtd, r.qtg, r.quarter_total, r.qtd_average) == (3.0, 4.0, 7.0, 1.5)
     assert r.qtd + r.qtg == r.quarter_total
-    wide = report.week_grid(g, [40, 41, 45, 46], 45).first()
+    wide = report.week_grid(g, [40, 41, 45, 46, 47], 45).first()
     assert (wide.w40, wide.w41, wide.w45, wide.w46, wide.quarter_total) == (1.0, None, 2.0, 4.0, 7.0)
 
 
+def test_grid_of_a_first_quarter_and_a_week_without_a_column(spark):
+    rule = FiscalRule()
+    assert rule.weeks(2027, 1)[0] == 1 and len(rule.weeks(2027, 1)) == 14
+    assert rule.weeks(2026, 4) == list(range(40, 54))
+    g = grid(spark, dict(fy=2027, qtr=1, week=2, value=5.0))
+    row = report.week_grid(g, rule.weeks(2027, 1), 3).first()
+    assert (row.w2, row.w14, row.qtd) == (5.0, None, 5.0)
+    with pytest.raises(Exception, match="week without a column: 2"):
+        report.week_grid(g, rule.weeks(2026, 4), 45).collect()
+
+
 def test_scenarios(spark):
     g = grid(spark, dict(week=40, value=3.0), dict(week=50, value=4.0))
     inputs = spark.createDataFrame([("S", "a", 2026, 4, s, v) for s, v in (("best", 9.0), ("target", 8.0))],
