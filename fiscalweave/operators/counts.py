@@ -6,7 +6,7 @@ all run on those counts, whose number is set by weeks x teams x types rather tha
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -40,11 +40,13 @@ def week_team_type_counts(events: DataFrame) -> DataFrame:
                     "table_type", "n"))
 
 
-def relabel_teams(counts: DataFrame, label_map: dict[str, str]) -> DataFrame:
-    """Counts per report label; several teams may share one, teams without a label are left out."""
-    pairs = [F.lit(x) for kv in label_map.items() for x in kv]
-    label = F.try_element_at(F.create_map(*pairs), F.col("team"))
-    return (counts.withColumn("team", label).filter(F.col("team").isNotNull())
+def relabel_teams(counts: DataFrame, label_map: Mapping[str, str | Sequence[str]]) -> DataFrame:
+    """Counts per report label. Several teams may share a label, a team may count under several of
+    them, and teams without a label are left out."""
+    pairs = [x for team, labels in label_map.items() for x in (F.lit(team), F.array(*[
+        F.lit(v) for v in ([labels] if isinstance(labels, str) else labels)]))]
+    labels = F.try_element_at(F.create_map(*pairs), F.col("team"))
+    return (counts.withColumn("team", F.explode(labels))
             .groupBy("fy", "qtr", "fweek", "team", "table_type").agg(F.sum("n").alias("n")))
 
 

@@ -239,14 +239,21 @@ def narrative_facts(series: DataFrame, teams: DataFrame, cancel_teams: DataFrame
             .unionByName(lines(no_trend, 4, F.lit("(no data)"))))
 
 
-def template_summary(indexes: DataFrame, week: int, metric: str, teams: Sequence[str]) -> DataFrame:
-    """Deterministic summary per quarter: total against forecast, teams at or over, teams below."""
+def template_summary(indexes: DataFrame, week: int, metric: str, teams: Sequence[str],
+                     advanced: str = "advanced", upgrades: str = "upgrades",
+                     payroll: str = "payroll") -> DataFrame:
+    """Deterministic summary per quarter: figures of the week and to date, and a text of them.
+
+    Total against forecast and last year, teams at or over and below their forecast, the other
+    metrics of the week, and the quarter to date. An index without a base reads 'n/a'.
+    """
     c = F.col
-    row = indexes.filter((c("week") == week) & (c("metric") == metric))
+    rows = indexes.filter((c("week") == week)
+                          & c("metric").isin(metric, advanced, upgrades, payroll))
     listed = {t: i for i, t in enumerate(teams)}
     order = F.create_map(*[F.lit(x) for kv in listed.items() for x in kv])
     over = c("actual") >= F.coalesce("forecast", F.lit(0.0))
-    is_team = c("team").isin(list(teams))
+    is_team = (c("metric") == metric) & c("team").isin(list(teams))
 
     def names(condition: Column) -> Column:
         picked = F.array_sort(F.collect_list(F.when(
@@ -255,12 +262,36 @@ def template_summary(indexes: DataFrame, week: int, metric: str, teams: Sequence
         text = F.array_join(F.transform(picked, lambda x: x["name"]), ", ")
         return F.when(text == "", "none").otherwise(text)
 
-    def of_total(name: str) -> Column:
-        return F.max(F.when(c("team") == TOTAL, c(name)))
+    def of_total(name: str, kind: str = metric) -> Column:
+        return F.max(F.when((c("team") == TOTAL) & (c("metric") == kind), c(name)))
+
+    def whole(value: Column) -> Column:
+        return F.bround(value, 0).cast("long")
 
-    return row.groupBy("fy", "qtr").agg(
+    sums = rows.groupBy("fy", "qtr").agg(
         of_total("actual").cast("long").alias("total_actual"),
         of_total("forecast").cast("long").alias("total_forecast"),
         signed(F.coalesce(of_total("variance"), F.lit(0.0)).cast("long"), zero="+0")
         .alias("total_variance"),
-        names(over).alias("at_or_over"), names(~over).alias("below"))
+        whole(of_total("itf")).alias("itf"), whole(of_total("itpy")).alias("itpy"),
+        names(over).alias("at_or_over"), names(~over).alias("below"),
+        *[F.coalesce(of_total("actual", kind), F.lit(0.0)).cast("long").alias(name)
+          for kind, name in ((advanced, "advanced_actual"), (upgrades, "upgrades_actual"),
+                             (payroll, "payroll_actual"))],
+        of_total("actual_qtd").cast("long").alias("qtd_actual"),
+        whole(of_total("itf_qtd")).alias("qtd_itf"),
+        F.count_if(c("metric") == metric).alias("rows")).filter("rows > 0").drop("rows")
+    mix = F.when(c("total_actual") > 0, whole(100.0 * c("advanced_actual") / c("total_actual"))
+                 ).otherwise(F.lit(0).cast("long"))
+    shown = lambda name: F.coalesce(c(name).cast("string"), F.lit("n/a"))
+    line = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    text = F.concat_ws(
+        "\n",
+        line(f"Week {week}: ", shown("total_actual"), " against a forecast of ",
+             shown("total_forecast"), " (", c("total_variance"), "), index ", shown("itf"),
+             ", to last year ", shown("itpy")),
+        line("Advanced ", shown("advanced_actual"), " (", shown("advanced_mix"), " %), upgrades ",
+             shown("upgrades_actual"), ", payroll ", shown("payroll_actual"), "; to date ",
+             shown("qtd_actual"), " (index ", shown("qtd_itf"), ")"),
+        line("Bright: ", c("at_or_over")), line("Hot: ", c("below")))
+    return sums.withColumn("advanced_mix", mix).withColumn("text", text)

@@ -23,6 +23,7 @@ from fiscalweave.operators import kpi
 from fiscalweave.operators import owners as ow
 from fiscalweave.operators import report as rp
 from fiscalweave.operators import state as st
+from fiscalweave.plans import dashboard as db
 from fiscalweave.plans import oracle as sql
 from fiscalweave.plans.binding import (AS_OF, CANCELS, DIVISIONS_L4, EXCLUDED_FIRMS, FORECAST_TEAMS,
                                        FY, MOTION, OPPORTUNITIES, OWNERS, PACKAGE_ROWS, PRODUCTS,
@@ -167,13 +168,21 @@ _WHOLE = ("qtd_sales", "qtd_forecast", "qtd_runrate_sales", "qtd_pipeline_sales"
           "total_finance_fcst", "total_fcst_sales", "fcst_gap")
 
 
-@query("export_rounded", f"""
-    SELECT team, {_RATIOS}, {', '.join(f'CAST(round_even({m}, 0) AS BIGINT) AS {m}' for m in _WHOLE)}
-    FROM v_summary""")
+_ROUNDED = (f"SELECT team, {_RATIOS}, "
+            f"{', '.join(f'CAST(round_even({m}, 0) AS BIGINT) AS {m}' for m in _WHOLE)} FROM v_summary")
+
+
+@query("export_rounded", _ROUNDED)
 def _(t):
     return sinks.round_for_export(_summary(t), fc.RATIOS, ["team"])
 
 
+@query("forecast_summary_run", _ROUNDED)
+def _(t):
+    return db.publish_forecast_summary(t.sales_base, PRODUCTS, t.pipeline, t.forecast, RULE, AS_OF,
+                                       sinks.scratch_path(t.spark, "summary"))
+
+
 # -- projections, filters, predicates ------------------------------------------------------------------
 
 
@@ -983,11 +992,70 @@ def _(t):
     return st.resolve_state_only(t.grid(), t.caps)
 
 
-@query("completed_week_flags", """
-    SELECT fy, qtr, week, bool_and(resolved) AS complete FROM v_resolved WHERE week IS NOT NULL
+_BOARD = """(
+    SELECT * FROM v_resolved
+    UNION ALL
+    SELECT section, table_type, label, fy, qtr, week, value,
+        CASE WHEN future THEN 'forecast' WHEN was AND filled THEN 'actual' ELSE state END AS state,
+        is_manual, was AND filled AS changed, NOT (future OR (was AND NOT filled)) AS resolved
+    FROM (SELECT *, state = 'forecast' AND NOT is_manual AND NOT future AS was,
+            coalesce(value <> 0, FALSE) AS filled
+          FROM (SELECT * REPLACE ('Outside' AS section, CASE WHEN week % 3 = 0 THEN 0.0
+                    ELSE value * 2 END AS value),
+                  coalesce(week > 46, FALSE) AND NOT is_manual AS future
+                FROM v_grid WHERE section = 'Sales')))"""
+
+
+def _board(t: Tables) -> db.Dashboard:
+    """The grid filled from counts, beside rows that come with their values."""
+    outside = t.grid().filter(c("section") == "Sales").withColumns({
+        "section": F.lit("Outside"), "value": F.when(c("week") % 3 == 0, 0.0).otherwise(c("value") * 2)})
+    return db.dashboard_run(t.grid(), outside, kpi.team_counts(t.counts), t.caps, ["ADV_UPGRADES"])
+
+
+@query("completed_week_flags", f"""
+    SELECT fy, qtr, week, bool_and(resolved) AS complete FROM {_BOARD} WHERE week IS NOT NULL
     GROUP BY 1, 2, 3""")
 def _(t):
-    return st.completed_week_flags(_resolved(t))
+    return _board(t).weeks
+
+
+@query("dashboard_run", f"""
+    SELECT section, table_type, label, b.fy, b.qtr, b.week, value,
+        CASE WHEN hit THEN 'actual' ELSE state END AS state, is_manual, changed, resolved,
+        hit AS closed_now, coalesce(w.complete, FALSE) AS complete
+    FROM (SELECT *, coalesce(week <= 46 AND NOT is_manual AND state = 'forecast', FALSE) AS hit
+          FROM {_BOARD}) b
+    LEFT JOIN (SELECT fy, qtr, week, bool_and(resolved) AS complete FROM {_BOARD}
+               WHERE week IS NOT NULL GROUP BY 1, 2, 3) w
+      ON w.fy = b.fy AND w.qtr = b.qtr AND w.week = b.week""")
+def _(t):
+    return db.cells_with_markers(_board(t))
+
+
+_LABELS = {TEAMS[0]: ("First", "All"), TEAMS[1]: ("First", "All"), TEAMS[2]: "All"}
+
+
+@query("grid_label_counts", f"""
+    SELECT g.fy, g.qtr, g.week, g.label, g.forecast, coalesce(n.n, 0) AS actual
+    FROM (SELECT fy, qtr, week, x.label, sum(forecast) AS forecast FROM v_forecast f
+          JOIN (VALUES {', '.join(f"('{k}', '{x}')" for k, v in _LABELS.items()
+                                  for x in ([v] if isinstance(v, str) else v))}) AS x(team, label)
+            ON x.team = f.team WHERE fy = 2000 AND qtr = 4 AND week IS NOT NULL GROUP BY 1, 2, 3, 4) g
+    LEFT JOIN (SELECT fy, qtr, fweek, x.label, CAST(sum(n) AS BIGINT) AS n FROM v_teams f
+          JOIN (VALUES {', '.join(f"('{k}', '{x}')" for k, v in _LABELS.items()
+                                  for x in ([v] if isinstance(v, str) else v))}) AS x(team, label)
+            ON x.team = f.team WHERE table_type = 'SALES' GROUP BY 1, 2, 3, 4) n
+      ON n.fy = g.fy AND n.qtr = g.qtr AND n.fweek = g.week AND n.label = g.label""")
+def _(t):
+    plan = (t.forecast.filter((c("fy") == FY) & (c("qtr") == QTR) & c("week").isNotNull())
+            .select("fy", "qtr", c("week").alias("fweek"), "team", F.lit("SALES").alias("table_type"),
+                    c("forecast").alias("n")))
+    grid = cnt.relabel_teams(plan, _LABELS).withColumnRenamed("n", "forecast")
+    sales = kpi.team_counts(t.counts).filter(c("table_type") == "SALES")
+    both = grid.join(cnt.relabel_teams(sales, _LABELS), ["fy", "qtr", "fweek", "team", "table_type"], "left")
+    return both.select("fy", "qtr", c("fweek").alias("week"), c("team").alias("label"), "forecast",
+                       F.coalesce("n", F.lit(0).cast("long")).alias("actual"))
 
 
 @query("transition_audit", """
@@ -1307,17 +1375,40 @@ def _(t):
         _CANCEL_LABELS)
 
 
-@query("template_summary", """
-    SELECT fy, qtr, CAST(max(actual) FILTER (team = 'TOTAL') AS BIGINT) AS total_actual,
-        CAST(max(forecast) FILTER (team = 'TOTAL') AS BIGINT) AS total_forecast,
-        CASE WHEN max(variance) FILTER (team = 'TOTAL') >= 0 THEN '+' ELSE '' END
-            || CAST(CAST(max(variance) FILTER (team = 'TOTAL') AS BIGINT) AS VARCHAR)
-            AS total_variance,
-        coalesce(string_agg(team, ', ' ORDER BY team)
-            FILTER (team <> 'TOTAL' AND actual >= coalesce(forecast, 0)), 'none') AS at_or_over,
-        coalesce(string_agg(team, ', ' ORDER BY team)
-            FILTER (team <> 'TOTAL' AND actual < forecast), 'none') AS below
-    FROM v_index WHERE week = 46 AND metric = 'sales' GROUP BY 1, 2""")
+_N = "coalesce(CAST({} AS VARCHAR), 'n/a')"
+
+
+@query("template_summary", f"""
+    SELECT *, 'Week 46: ' || {_N.format('total_actual')} || ' against a forecast of '
+            || {_N.format('total_forecast')} || ' (' || total_variance || '), index '
+            || {_N.format('itf')} || ', to last year ' || {_N.format('itpy')} || chr(10)
+            || 'Advanced ' || advanced_actual || ' (' || advanced_mix || ' %), upgrades '
+            || upgrades_actual || ', payroll ' || payroll_actual || '; to date '
+            || {_N.format('qtd_actual')} || ' (index ' || {_N.format('qtd_itf')} || ')' || chr(10)
+            || 'Bright: ' || at_or_over || chr(10) || 'Hot: ' || below AS text
+    FROM (SELECT *, CASE WHEN total_actual > 0 THEN CAST(round_even(
+                100.0::DOUBLE * advanced_actual / total_actual, 0) AS BIGINT) ELSE 0 END AS advanced_mix
+          FROM (SELECT fy, qtr,
+            CAST(max(actual) FILTER (t AND s) AS BIGINT) AS total_actual,
+            CAST(max(forecast) FILTER (t AND s) AS BIGINT) AS total_forecast,
+            CASE WHEN max(variance) FILTER (t AND s) >= 0 THEN '+' ELSE '' END
+                || CAST(CAST(max(variance) FILTER (t AND s) AS BIGINT) AS VARCHAR) AS total_variance,
+            CAST(round_even(max(itf) FILTER (t AND s), 0) AS BIGINT) AS itf,
+            CAST(round_even(max(itpy) FILTER (t AND s), 0) AS BIGINT) AS itpy,
+            coalesce(string_agg(team, ', ' ORDER BY team)
+                FILTER (s AND NOT t AND actual >= coalesce(forecast, 0)), 'none') AS at_or_over,
+            coalesce(string_agg(team, ', ' ORDER BY team)
+                FILTER (s AND NOT t AND actual < forecast), 'none') AS below,
+            CAST(coalesce(max(actual) FILTER (t AND metric = 'advanced'), 0) AS BIGINT)
+                AS advanced_actual,
+            CAST(coalesce(max(actual) FILTER (t AND metric = 'upgrades'), 0) AS BIGINT)
+                AS upgrades_actual,
+            CAST(coalesce(max(actual) FILTER (t AND metric = 'payroll'), 0) AS BIGINT)
+                AS payroll_actual,
+            CAST(max(actual_qtd) FILTER (t AND s) AS BIGINT) AS qtd_actual,
+            CAST(round_even(max(itf_qtd) FILTER (t AND s), 0) AS BIGINT) AS qtd_itf
+          FROM (SELECT *, team = 'TOTAL' AS t, metric = 'sales' AS s FROM v_index WHERE week = 46)
+          GROUP BY 1, 2 HAVING bool_or(s)))""")
 def _(t):
     return rp.template_summary(_index(t), WEEK, "sales", TEAMS)
 
