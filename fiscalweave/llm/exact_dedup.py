@@ -13,6 +13,8 @@ from fiscalweave.llm.store import Scratch, free_name
 HOT_SHARE = 0.002
 #: A hot text is dealt over this many sort keys.
 SALTS = 64
+#: Leading characters of a text in the range key, which is what Spark samples to the driver.
+HEAD = 64
 
 
 def lower_ascii(text: Column) -> Column:
@@ -27,9 +29,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  keep: str = "max", partitions: int | None = None) -> DataFrame:
     """One row per input row: (id, keep_id, group_size long, kept, text_sha256).
 
-    The sort key is the normalised text. Spark samples it for splitters, range-partitions the rows
-    and sorts each range (spilling to disk where needed); equal texts are then neighbours, are
-    compared in full and fold to one row per group. Texts that hold ``HOT_SHARE`` of all rows are
+    The sort key is the normalised text: its first ``HEAD`` characters and a 64-bit fingerprint,
+    which Spark samples for splitters and range-partitions by, then the whole text. Each range is
+    sorted (spilling to disk where needed); equal texts are then neighbours, are compared in full
+    and fold to one row per group. Texts that hold ``HOT_SHARE`` of all rows are
     found first by a count per 64-bit fingerprint, get a salt behind the text in the sort key, and
     their few partial groups are folded once more by full text. The rows find their group again by
     the SHA-256 of the text, so texts cross the network once.
@@ -43,23 +46,25 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     best = F.max if keep == "max" else F.min
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).alias("id"), lower_ascii(F.col(text_col)).alias("text"))
+    marked = rows.withColumn("mark", F.xxhash64("text"))
     scratch = Scratch(spark, "exact")
 
-    counts = rows.groupBy(F.xxhash64("text").alias("mark")).agg(F.count("*").alias("n"))
+    counts = marked.groupBy("mark").agg(F.count("*").alias("n"))
     counts = scratch.write(counts, "marks")
     total = counts.agg(F.sum("n")).first()[0] or 0
     floor = max(2, int(total * HOT_SHARE))
     hot = [r.mark for r in counts.filter(F.col("n") >= floor).select("mark").collect()]
     scratch.drop(counts)
 
-    is_hot = F.xxhash64("text").isin(hot) if hot else F.lit(False)
-    salted = rows.withColumn(
-        "salt", F.when(is_hot, F.pmod(F.xxhash64("id"), F.lit(SALTS)) + 1).otherwise(0))
-    # Range partitioning by (text, salt) already holds equal keys together, so this adds no
-    # exchange; first() of a string makes it a sort-based fold of neighbours.
-    folded = (salted.repartitionByRange(parts, "text", "salt")
-              .sortWithinPartitions("text", "salt")
-              .groupBy("text", "salt")
+    is_hot = F.col("mark").isin(hot) if hot else F.lit(False)
+    salt = F.when(is_hot, F.pmod(F.xxhash64("id"), F.lit(SALTS)) + 1).otherwise(0)
+    salted = marked.withColumns({"salt": salt, "head": F.left("text", F.lit(HEAD))})
+    key = ["head", "mark", "salt"]
+    # The ranges already hold equal keys together, so the grouping adds no exchange; first() of a
+    # string makes it a sort-based fold of neighbours.
+    folded = (salted.repartitionByRange(parts, *key)
+              .sortWithinPartitions(*key, "text")
+              .groupBy(*key, "text")
               .agg(best("id").alias("keep_id"), F.count("*").alias("group_size"),
                    F.first(F.sha2("text", 256)).alias("text_sha256")))
     if hot:
@@ -73,8 +78,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         cols = ["keep_id", "group_size", "text_sha256"]
         folded = once.select(cols).unionByName(again.select(cols))
     groups = folded.select("keep_id", "group_size", "text_sha256")
-    marked = rows.select("id", F.sha2("text", 256).alias("text_sha256"))
-    return (marked.join(groups, "text_sha256")
+    found = rows.select("id", F.sha2("text", 256).alias("text_sha256"))
+    return (found.join(groups, "text_sha256")
             .select(F.col("id").alias(id_col), F.col("keep_id"), F.col("group_size"),
                     F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
 
