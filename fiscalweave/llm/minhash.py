@@ -171,14 +171,31 @@ def first_pairs(members: DataFrame) -> DataFrame:
     return best.select((-F.col("x.col2")).alias("a"), "b")
 
 
-def later_pairs(members: DataFrame, sigs: DataFrame, roots: DataFrame, lo: int, hi: int,
+def _sets(column, words: int) -> list[np.ndarray]:
+    """The sorted shingle set of each text."""
+    out = []
+    for block in tb.blocks(column, True):
+        text, values = shingle_sets(block, words)
+        cuts = np.searchsorted(text, np.arange(block.n + 1))
+        out += [values[cuts[i]:cuts[i + 1]] for i in range(block.n)]
+    return out
+
+
+def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    at = np.searchsorted(one, two)
+    at[at == len(one)] = 0
+    common = int((one[at] == two).sum())
+    return 100 * common >= percent * (len(one) + len(two) - common)
+
+
+def later_links(members: DataFrame, sigs: DataFrame, texts: DataFrame, roots: DataFrame,
                 s: Settings) -> DataFrame:
-    """Candidate pairs across groups within buckets, from rank ``lo`` to ``hi`` by agreement.
+    """Links across groups within buckets, one at most for a document, tile and foreign group.
 
-    Members of a bucket are dealt into tiles. Those outside the bucket's largest group go to every
-    tile and are compared there, signature by signature, with the members of other groups; a pair
-    counts when enough values agree. Ranks are per document, tile and foreign group; as a tile has
-    about ``tile`` members, three rounds of growing ranks cover every pair.
+    Members of a bucket are dealt into tiles. Those outside the bucket's largest group are dealt
+    into parts of the same size, and every part meets every tile. A document is compared there with
+    the members of other groups whose signatures agree enough, on the full sets and the most similar
+    first, until a link with their group is found. No pair leaves the task unless it is a link.
     """
     named = (members.join(roots, "id", "left")
              .select("bucket", "id", F.coalesce("root", F.col("id")).alias("root")))
@@ -188,38 +205,41 @@ def later_pairs(members: DataFrame, sigs: DataFrame, roots: DataFrame, lo: int,
                   F.max(F.struct("n", "root")).alias("top"))
              .filter("groups > 1")
              .select("bucket", F.col("top.root").alias("main"),
-                     F.ceil(F.col("all") / s.tile).cast("int").alias("tiles")))
-    held = named.join(split, "bucket").join(sigs, "id")
+                     F.ceil(F.col("all") / s.tile).cast("int").alias("tiles"),
+                     F.ceil((F.col("all") - F.col("top.n")) / s.tile).cast("int").alias("parts")))
+    held = named.join(split, "bucket").join(sigs, "id").join(texts, "id")
+    cols = ["bucket", "tile", "part", "id", "root", "sig", "text"]
     tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    cols = ["bucket", "tile", "id", "root", "sig"]
-    here = held.withColumn("tile", tile).select(*cols)
-    asks = (held.filter("root <> main")
-            .withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select(*[F.col(c).alias(c) for c in cols]))
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    here = held.withColumn("tile", tile).withColumn("part", every("parts")).select(*cols)
+    asks = (held.filter("root <> main").withColumn("part", part)
+            .withColumn("tile", every("tiles")).select(*[F.col(c).alias(c) for c in cols]))
     need = s.agree * 2 * s.permutations
 
     def look(key, mine, others):
         a, b = [], []
         if mine.num_rows and others.num_rows:
             sig = _signature_table(others.column("sig").combine_chunks())
-            ids, roots_ = np.array(others.column("id")), np.array(others.column("root"))
-            for one, id_, root in zip(mine.column("sig"), mine.column("id").to_pylist(),
-                                      mine.column("root").to_pylist(), strict=True):
+            ids, groups = (np.array(others.column(c)) for c in ("id", "root"))
+            sets = _sets(others.column("text"), s.words)
+            own = _sets(mine.column("text"), s.words)
+            for row, (one, id_, root) in enumerate(zip(
+                    mine.column("sig"), mine.column("id").to_pylist(),
+                    mine.column("root").to_pylist(), strict=True)):
                 score = agreement(np.frombuffer(one.as_buffer(), np.uint8), sig)
-                fit = np.flatnonzero((score >= need) & (roots_ != root))
-                if not len(fit):
-                    continue
-                fit = fit[np.lexsort((ids[fit], -score[fit], roots_[fit]))]
-                new = np.flatnonzero(np.diff(roots_[fit], prepend=roots_[fit][0] - 1) != 0)
-                rank = np.arange(len(fit)) - np.repeat(new, np.diff(np.append(new, len(fit))))
-                fit = fit[(rank >= lo) & (rank < hi)]
-                a.append(np.minimum(ids[fit], id_))
-                b.append(np.maximum(ids[fit], id_))
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"a": pa.array(np.concatenate(a or none)),
-                         "b": pa.array(np.concatenate(b or none))})
-
-    return (asks.groupBy("bucket", "tile").cogroup(here.groupBy("bucket", "tile"))
+                fit = np.flatnonzero((score >= need) & (groups != root))
+                done = set()
+                for i in fit[np.argsort(-score[fit], kind="stable")]:
+                    if groups[i] not in done and len(sets[i]) and _linked(
+                            own[row], sets[i], s.percent):
+                        done.add(groups[i])
+                        a.append(min(int(ids[i]), id_))
+                        b.append(max(int(ids[i]), id_))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    keys = ["bucket", "tile", "part"]
+    return (asks.groupBy(*keys).cogroup(here.groupBy(*keys))
             .applyInArrow(look, "a long, b long").distinct())
 
 
@@ -259,14 +279,9 @@ def near_groups(docs: DataFrame, settings: Settings = Settings(), id_col: str =
     found = scratch.write(same.unionByName(
         confirmed(scratch.write(first_pairs(members), "pairs"), texts, s)), "links")
     roots = scratch.write(components(found, scratch), "roots")
-    for lo, hi in ((0, 8), (8, 64), (64, 1 << 30)):
-        pairs = scratch.write(later_pairs(members, sigs, roots, lo, hi, s), "pairs")
-        if pairs.isEmpty():
-            break
-        more = scratch.write(confirmed(pairs, texts, s), "links")
-        if not more.isEmpty():
-            found = scratch.write(found.unionByName(more), "links")
-            roots = scratch.write(components(found, scratch), "roots")
+    more = scratch.write(later_links(members, sigs, texts, roots, s), "links")
+    if not more.isEmpty():
+        roots = scratch.write(components(found.unionByName(more), scratch), "roots")
     scratch.drop(texts, members)
     root = F.coalesce("root", F.col("id"))
     return drawn.select("id", "n").join(roots, "id", "left").select(
