@@ -40,7 +40,7 @@ class Settings:
     pair_weight: float = 0.4
     max_bytes: int = 1 << 29
     hot_words: int = 1 << 18
-    shard_bytes: int = 24 << 20
+    shard_bytes: int = 6 << 20
     flush: int = 3_000_000
 
     def values(self) -> np.ndarray:
@@ -75,6 +75,18 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts[order], at) if len(keys) else counts
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in the narrowest of three widths that holds them all."""
+    top = int(counts.max(initial=0))
+    return counts.astype(np.uint8 if top < 1 << 8 else np.uint32 if top < 1 << 32 else np.int64
+                         ).tobytes()
+
+
+def unpacked(data, n: int) -> np.ndarray:
+    kind = {1: np.uint8, 4: np.uint32, 8: np.int64}[len(data) // max(n, 1)]
+    return np.frombuffer(data, kind).astype(np.int64)
+
+
 def _bit_places(keys: np.ndarray, level: int, sizes: np.ndarray, probes: int) -> np.ndarray:
     """Bit numbers within filters of the given sizes, one row of places for each probe."""
     h = tb.mix(keys + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -139,7 +151,7 @@ def count_ngrams(texts: DataFrame, s: Settings, shard_bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(full, pa.int32()), pa.array([pairs] * len(full), pa.bool_()),
                     pa.array([keys[edges[i]:edges[i + 1]].tobytes() for i in full], pa.binary()),
-                    pa.array([n[edges[i]:edges[i + 1]].tobytes() for i in full], pa.binary()),
+                    pa.array([packed(n[edges[i]:edges[i + 1]]) for i in full], pa.binary()),
                 ], ["shard", "pairs", "keys", "counts"])
 
         held = 0
@@ -178,9 +190,10 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[dict, Data
             if not len(at):
                 continue
             part = table.take(pa.array(at))
-            keys, counts = summed(*(
-                np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in part.column(c)])
-                for c, kind in (("keys", np.uint64), ("counts", np.int64))))
+            keys = [np.frombuffer(v.as_buffer(), np.uint64) for v in part.column("keys")]
+            counts = [unpacked(v.as_buffer(), len(k)) for k, v in zip(keys, part.column("counts"),
+                                                                      strict=True)]
+            keys, counts = summed(np.concatenate(keys), np.concatenate(counts))
             levels = int((np.searchsorted(s.values(), counts, "right") - 1).sum())
             rows.append((shard, pairs, levels, keys, counts))
         return pa.table({
@@ -188,7 +201,7 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[dict, Data
             "pairs": pa.array([r[1] for r in rows], pa.bool_()),
             "levels": pa.array([r[2] for r in rows], pa.int64()),
             "keys": pa.array([r[3].tobytes() for r in rows], pa.binary()),
-            "counts": pa.array([r[4].tobytes() for r in rows], pa.binary())})
+            "counts": pa.array([packed(r[4]) for r in rows], pa.binary())})
 
     counted = scratch.write(
         count_ngrams(texts, s, shard_bits).repartition(shards, "shard").groupBy("shard")
@@ -201,7 +214,7 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[dict, Data
         for batch in batches:
             for i in range(batch.num_rows):
                 keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
-                counts = np.frombuffer(batch.column("counts")[i].as_buffer(), np.int64)
+                counts = unpacked(batch.column("counts")[i].as_buffer(), len(keys))
                 data = build_filter(keys, counts, s, bits)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("shard")[i:i + 1], batch.column("pairs")[i:i + 1],
@@ -224,7 +237,7 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[dict, Data
         for batch in batches:
             for i in range(batch.num_rows):
                 keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
-                counts = np.frombuffer(batch.column("counts")[i].as_buffer(), np.int64)
+                counts = unpacked(batch.column("counts")[i].as_buffer(), len(keys))
                 real = keys != BEGIN
                 for lo in range(0, len(keys), 1 << 16):
                     at = slice(lo, lo + (1 << 16))
