@@ -189,13 +189,14 @@ def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
 
 
 def later_links(members: DataFrame, sigs: DataFrame, texts: DataFrame, roots: DataFrame,
-                s: Settings) -> DataFrame:
-    """Links across groups within buckets, one at most for a document, tile and foreign group.
+                s: Settings, across: bool) -> DataFrame:
+    """Links across groups within buckets: a task returns fewer links than it holds groups.
 
-    Members of a bucket are dealt into tiles. Those outside the bucket's largest group are dealt
-    into parts of the same size, and every part meets every tile. A document is compared there with
+    Members of a bucket are dealt into tiles. Those outside the bucket's largest group meet the
+    members of their own tile; with ``across`` they are dealt into parts of the same size instead,
+    and every part meets every tile of the buckets with more than one. A document is compared with
     the members of other groups whose signatures agree enough, on the full sets and the most similar
-    first, until a link with their group is found. No pair leaves the task unless it is a link.
+    first. A link makes two groups of the task one, so only links that join groups leave it.
     """
     named = (members.join(roots, "id", "left")
              .select("bucket", "id", F.coalesce("root", F.col("id")).alias("root")))
@@ -207,33 +208,39 @@ def later_links(members: DataFrame, sigs: DataFrame, texts: DataFrame, roots: Da
              .select("bucket", F.col("top.root").alias("main"),
                      F.ceil(F.col("all") / s.tile).cast("int").alias("tiles"),
                      F.ceil((F.col("all") - F.col("top.n")) / s.tile).cast("int").alias("parts")))
+    if across:
+        split = split.filter("tiles > 1")
     held = named.join(split, "bucket").join(sigs, "id").join(texts, "id")
     cols = ["bucket", "tile", "part", "id", "root", "sig", "text"]
     tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    here = held.withColumn("tile", tile).withColumn("part", every("parts")).select(*cols)
-    asks = (held.filter("root <> main").withColumn("part", part)
-            .withColumn("tile", every("tiles")).select(*[F.col(c).alias(c) for c in cols]))
+    here = held.withColumn("tile", tile).withColumn("part", every("parts") if across else F.lit(0))
+    asks = (held.filter("root <> main").withColumn("part", part if across else F.lit(0))
+            .withColumn("tile", every("tiles") if across else tile))
+    here, asks = (x.select(*[F.col(c).alias(c) for c in cols]) for x in (here, asks))
     need = s.agree * 2 * s.permutations
 
     def look(key, mine, others):
         a, b = [], []
         if mine.num_rows and others.num_rows:
             sig = _signature_table(others.column("sig").combine_chunks())
-            ids, groups = (np.array(others.column(c)) for c in ("id", "root"))
+            ids, groups = (others.column(c).to_numpy().copy() for c in ("id", "root"))
             sets = _sets(others.column("text"), s.words)
             own = _sets(mine.column("text"), s.words)
+            now: dict[int, int] = {}  # the group that a joined group is part of
             for row, (one, id_, root) in enumerate(zip(
                     mine.column("sig"), mine.column("id").to_pylist(),
                     mine.column("root").to_pylist(), strict=True)):
                 score = agreement(np.frombuffer(one.as_buffer(), np.uint8), sig)
+                root = now.get(root, root)
                 fit = np.flatnonzero((score >= need) & (groups != root))
-                done = set()
                 for i in fit[np.argsort(-score[fit], kind="stable")]:
-                    if groups[i] not in done and len(sets[i]) and _linked(
-                            own[row], sets[i], s.percent):
-                        done.add(groups[i])
+                    if groups[i] != root and len(sets[i]) and _linked(own[row], sets[i], s.percent):
+                        gone = int(groups[i])
+                        groups[groups == gone] = root
+                        now.update({k: root for k, v in now.items() if v == gone})
+                        now[gone] = root
                         a.append(min(int(ids[i]), id_))
                         b.append(max(int(ids[i]), id_))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -279,9 +286,11 @@ def near_groups(docs: DataFrame, settings: Settings = Settings(), id_col: str =
     found = scratch.write(same.unionByName(
         confirmed(scratch.write(first_pairs(members), "pairs"), texts, s)), "links")
     roots = scratch.write(components(found, scratch), "roots")
-    more = scratch.write(later_links(members, sigs, texts, roots, s), "links")
-    if not more.isEmpty():
-        roots = scratch.write(components(found.unionByName(more), scratch), "roots")
+    for across in (False, True):
+        more = scratch.write(later_links(members, sigs, texts, roots, s, across), "links")
+        if not more.isEmpty():
+            found = scratch.write(found.unionByName(more), "links")
+            roots = scratch.write(components(found, scratch), "roots")
     scratch.drop(texts, members)
     root = F.coalesce("root", F.col("id"))
     return drawn.select("id", "n").join(roots, "id", "left").select(
