@@ -149,20 +149,19 @@ def repeated_spans(docs: DataFrame, length: int = 35, text_col: str = "text",
                 got = anchors(block, length)
                 if got is None:
                     continue
-                anchor, owner, place, lo, hi, around = got
+                anchor, owner, _, lo, hi, around = got
                 slot = _slot(anchor)
                 twice = (sent.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
                 anchor, owner, around = anchor[twice], owner[twice], around[twice]
                 base = block.first[owner]
-                place, lo, hi = ((x[twice] - base).astype(np.int32) for x in (place, lo, hi))
+                lo, hi = ((x[twice] - base).astype(np.int32) for x in (lo, hi))
                 row = pa.array(owner + block.rows.start)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tb.signed(anchor)), pa.array(tb.signed(around)),
                      batch.column(0).take(row), batch.column(1).take(row),
-                     pa.array(place), pa.array(lo), pa.array(hi)],
-                    ["anchor", "around", *keys, "place", "lo", "hi"])
+                     pa.array(lo), pa.array(hi)], ["anchor", "around", *keys, "lo", "hi"])
 
-    ints = "place int, lo int, hi int"
+    ints = "lo int, hi int"
     seeds = scratch.write(rows.mapInArrow(
         occurrences, f"anchor long, around long, {keys[0]} long, {keys[1]} long, {ints}"), "seeds")
     scratch.drop(found)
@@ -213,8 +212,10 @@ def repeated_spans(docs: DataFrame, length: int = 35, text_col: str = "text",
     twice = tried.groupBy("run", "run2").agg(F.count("*").alias("n")).filter("n > 1")
     single = (tried.filter("alone").join(twice.select("run", "run2"), ["run", "run2"])
               .select(*keys, "lo", F.col("lo").alias("hi")))
-    return (whole.unionByName(single).groupBy(*keys)
-            .agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
+    spans = scratch.write(whole.unionByName(single).groupBy(*keys).agg(
+        F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans")
+    scratch.drop(seeds, classes, tried)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, result: Callable, made: T.StructType, length: int = 35,
