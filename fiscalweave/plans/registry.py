@@ -1033,17 +1033,17 @@ def _(t):
     return db.cells_with_markers(_board(t))
 
 
-_LABELS = {TEAMS[0]: ("First", "All"), TEAMS[1]: ("First", "All"), TEAMS[2]: "All"}
+_GRID_LABELS = {TEAMS[0]: ("First", "All"), TEAMS[1]: ("First", "All"), TEAMS[2]: "All"}
 
 
 @query("grid_label_counts", f"""
     SELECT g.fy, g.qtr, g.week, g.label, g.forecast, coalesce(n.n, 0) AS actual
     FROM (SELECT fy, qtr, week, x.label, sum(forecast) AS forecast FROM v_forecast f
-          JOIN (VALUES {', '.join(f"('{k}', '{x}')" for k, v in _LABELS.items()
+          JOIN (VALUES {', '.join(f"('{k}', '{x}')" for k, v in _GRID_LABELS.items()
                                   for x in ([v] if isinstance(v, str) else v))}) AS x(team, label)
             ON x.team = f.team WHERE fy = 2000 AND qtr = 4 AND week IS NOT NULL GROUP BY 1, 2, 3, 4) g
     LEFT JOIN (SELECT fy, qtr, fweek, x.label, CAST(sum(n) AS BIGINT) AS n FROM v_teams f
-          JOIN (VALUES {', '.join(f"('{k}', '{x}')" for k, v in _LABELS.items()
+          JOIN (VALUES {', '.join(f"('{k}', '{x}')" for k, v in _GRID_LABELS.items()
                                   for x in ([v] if isinstance(v, str) else v))}) AS x(team, label)
             ON x.team = f.team WHERE table_type = 'SALES' GROUP BY 1, 2, 3, 4) n
       ON n.fy = g.fy AND n.qtr = g.qtr AND n.fweek = g.week AND n.label = g.label""")
@@ -1051,9 +1051,9 @@ def _(t):
     plan = (t.forecast.filter((c("fy") == FY) & (c("qtr") == QTR) & c("week").isNotNull())
             .select("fy", "qtr", c("week").alias("fweek"), "team", F.lit("SALES").alias("table_type"),
                     c("forecast").alias("n")))
-    grid = cnt.relabel_teams(plan, _LABELS).withColumnRenamed("n", "forecast")
+    grid = cnt.relabel_teams(plan, _GRID_LABELS).withColumnRenamed("n", "forecast")
     sales = kpi.team_counts(t.counts).filter(c("table_type") == "SALES")
-    both = grid.join(cnt.relabel_teams(sales, _LABELS), ["fy", "qtr", "fweek", "team", "table_type"], "left")
+    both = grid.join(cnt.relabel_teams(sales, _GRID_LABELS), ["fy", "qtr", "fweek", "team", "table_type"], "left")
     return both.select("fy", "qtr", c("fweek").alias("week"), c("team").alias("label"), "forecast",
                        F.coalesce("n", F.lit(0).cast("long")).alias("actual"))
 
