@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalweave.llm import (bloom_lm, bpe, exact_dedup, kdtree, minhash, mixing, shards,
-                             substring_dedup, token_counts, toxicity)
+from fiscalweave.llm import (bloom_lm, bpe, exact_dedup, hard_negatives, kdtree, minhash, mixing,
+                             prefix_trie, shards, substring_dedup, token_counts, toxicity, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,10 +64,29 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids, label = F.col("vec_id"), F.col("label")
+    moved = F.when(ids % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), ids % 50 == 0, moved)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    return prefix_trie.conversation_trie(
+        _table(spark, sf_dir, "conversations"), base=conv - conv % 20,
+        taken=(F.crc32(conv.cast("string").cast("binary")) % 4).cast("int"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_source_mixing, op3_lm_scores, op4_substring_dedup, op5_minhash,
-        op6_exact_dedup, op7_sharding, op8_top_k, op9_token_counts, op10_bpe)}
+        op6_exact_dedup, op7_sharding, op8_top_k, op9_token_counts, op10_bpe,
+        op11_hard_negatives, op12_prefix_trie, op13_warc)}
 
 
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -99,6 +118,90 @@ SQL = {
                        ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
             FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding,
+                       lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))
+                        AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+            WHERE a.vec_id % 50 = 0),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+            FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (
+                   PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
+                   AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+            AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3""",
+    "op12_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id AS c, coalesce(text, '') AS text,
+                   length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS x,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                      coalesce(role, ''), coalesce(text, '')) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        k AS (
+            SELECT c, c - c % 20 AS base, xor(list_reduce(list_prepend(4294967295,
+                       list_transform(string_split(CAST(c AS VARCHAR), ''),
+                                      lambda d: CAST(ascii(d) AS BIGINT))),
+                   lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(8) AS BIGINT[])),
+                       lambda u, i: CASE WHEN u % 2 = 1 THEN xor(u >> 1, 3988292384)
+                                         ELSE u >> 1 END)), 4294967295) % 4 AS h
+            FROM (SELECT DISTINCT c FROM t)),
+        r AS (
+            SELECT k.c, t.pos AS o, t.x, t.text FROM k JOIN t ON t.c = k.base AND t.pos <= k.h
+            UNION ALL
+            SELECT k.c, 10 + t.pos, t.x, t.text FROM k JOIN t ON t.c = k.c AND t.pos > k.h),
+        q AS (
+            SELECT c, CAST(0 AS BIGINT) AS d, CAST([] AS VARCHAR[]) AS p, 0 AS w FROM k
+            UNION ALL
+            SELECT c, row_number() OVER (PARTITION BY c ORDER BY o),
+                   list(x) OVER (PARTITION BY c ORDER BY o),
+                   len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))
+            FROM r),
+        n AS (SELECT p, d, min(c) AS conv_id, count(*) AS n, any_value(w) AS w FROM q GROUP BY p, d),
+        kids AS (SELECT p[:d - 1] AS p, d - 1 AS d, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1, 2),
+        m AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN kids USING (p, d)),
+        sub AS (
+            SELECT p[:j] AS p, j AS d, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS leaves,
+                   sum((n - 1) * w) AS saved
+            FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM m) GROUP BY 1, 2),
+        e AS (
+            SELECT p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends
+            FROM (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY c ORDER BY d DESC) = 1)
+            GROUP BY p)
+        SELECT m.conv_id, m.d AS depth, up.conv_id AS parent_conv_id, m.n AS n_convs,
+               m.kids AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+               CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+        FROM m JOIN sub ON sub.p = m.p AND sub.d = m.d
+        LEFT JOIN m AS up ON up.d = m.d - 1 AND up.p = m.p[:m.d - 1]
+        LEFT JOIN e ON e.p = m.p""",
+    "op13_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+            FROM pages),
+        d AS (
+            SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr(
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(sha1(html),
+                       1 + 5 * CAST(i // 4 AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31
+                       AS INTEGER), 1)), '') AS digest
+            FROM p)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END
+                   AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM d""",
 }
 
 

@@ -1,5 +1,6 @@
 """Plain-Python versions of what the operators compute, for small inputs."""
 
+import base64
 import hashlib
 import math
 import re
@@ -118,3 +119,62 @@ def top(vectors, k, step):
                           for j, w in q.items() if j != i)[:k]
             out += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
     return out
+
+
+def negatives(rows, positives=5, negatives_=3):
+    """(anchor, positive, rank, negative, positive score, negative score) from all pairs of rows."""
+    live = [(i, (m + 1) % 10 if i % 7 == 0 else m, [math.floor(256 * float(x)) for x in v])
+            for i, v, m in rows if i is not None and m is not None and v is not None
+            and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for n, (a, mark, va) in enumerate(live):
+        if a % 50:
+            continue
+        scored = [(-sum(x * y for x, y in zip(va, v)), i, c == mark)
+                  for k, (i, c, v) in enumerate(live) if k != n and len(v) == len(va)]
+        for p, i, _ in sorted(s for s in scored if s[2])[:positives]:
+            fit = sorted(s for s in scored if not s[2] and -50 * p <= -100 * s[0] <= -95 * p)
+            out += [(a, i, r, j, -p, -q) for r, (q, j, _) in enumerate(fit[:negatives_], 1)]
+    return out
+
+
+def trie(rows, opening=True):
+    """Nodes of the trie over (conv, turn, role, text), from every prefix of every conversation."""
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    plain = {c: [t[2:] for t in sorted(ts)] for c, ts in convs.items()}
+    full = {}
+    for c, ts in plain.items():
+        h = crc(c) % 4 if opening else 0
+        full[c] = plain.get(c - c % 20, [])[:h] + ts[h:]
+    at, ends = {}, {}
+    for c, ts in full.items():
+        for d in range(len(ts) + 1):
+            at.setdefault(tuple(ts[:d]), []).append(c)
+        ends.setdefault(tuple(ts), []).append(c)
+    kids = Counter(p[:-1] for p in at if p)
+    leaves, saved = Counter(), Counter()
+    for p, members in at.items():
+        n_words = len(words(p[-1][1])) if p else 0
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not kids[p]
+            saved[p[:d]] += (len(members) - 1) * n_words
+    return [(min(m), len(p), min(at[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p],
+             sha(",".join(map(str, sorted(ends.get(p, [])))))) for p, m in at.items()]
+
+
+def archive(rows):
+    """(page, payload bytes, payload digest, record type, refers to) of (page, html)."""
+    first = {}
+    for i, html in rows:
+        if i is not None:
+            first[html or ""] = min(i, first.get(html or "", i))
+    out = []
+    for i, html in rows:
+        data, best = (html or "").encode(), first.get(html or "")
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        out.append((i, len(data), digest, "response" if best == i else "revisit",
+                    None if best == i else best))
+    return out
