@@ -54,4 +54,4 @@ def publish_forecast_summary(base: DataFrame, products: ProductRules, pipeline:
     summary = fc.team_forecast_summary(base, products, pipeline, forecast, rule, as_of)
     rounded = sinks.round_for_export(summary, fc.RATIOS, ["team"])
     sinks.write_snapshot(rounded, target)
-    return base.sparkSession.read.schema(rounded.schema).parquet(target)
+    return sinks.read_snapshot(base.sparkSession, target)

@@ -94,7 +94,7 @@ TAGS = {
 }
 TEAMS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
-_KEYS = ("fy, qtr, week, event_date, super_channel, channel, country, team_raw, full_name, "
+EVENT_KEYS = ("fy, qtr, week, event_date, super_channel, channel, country, team_raw, full_name, "
          "event_type, account_id, firm_id, product, offer_name, offering")
 
 CONTRACT = ("fy, qtr, fweek, event_date, super_channel, channel, region, team_raw, account_owner, "
@@ -270,7 +270,7 @@ VIEWS: dict[str, str] = {
             CAST(firm_id AS VARCHAR) AS firm_id, product AS sku, offer_name, offering AS product,
             1 AS cnt, table_type FROM ("""
                 + " UNION ALL ".join(
-                    f"SELECT DISTINCT {_KEYS}, '{tag}' AS table_type FROM v_dated WHERE {cond}"
+                    f"SELECT DISTINCT {EVENT_KEYS}, '{tag}' AS table_type FROM v_dated WHERE {cond}"
                     for tag, cond in TAGS.items()) + ")",
     "v_counts": """
         SELECT fy, qtr, fweek, coalesce(team_raw, '') AS team, table_type, count(*) AS n

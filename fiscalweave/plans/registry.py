@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -14,11 +15,14 @@ from pyspark.sql import functions as F
 
 from fiscalweave.functions import measures as ms
 from fiscalweave.functions import text as tx
+from fiscalweave.operators import asof
+from fiscalweave.operators import bitmaps as bm
 from fiscalweave.operators import calendar as cal
 from fiscalweave.operators import counts as cnt
 from fiscalweave.operators import events as ev
 from fiscalweave.operators import forecast as fc
 from fiscalweave.operators import freeze as fz
+from fiscalweave.operators import incremental as inc
 from fiscalweave.operators import kpi
 from fiscalweave.operators import owners as ow
 from fiscalweave.operators import report as rp
@@ -28,6 +32,7 @@ from fiscalweave.plans import oracle as sql
 from fiscalweave.plans.binding import (AS_OF, CANCELS, DIVISIONS_L4, EXCLUDED_FIRMS, FORECAST_TEAMS,
                                        FY, MOTION, OPPORTUNITIES, OWNERS, PACKAGE_ROWS, PRODUCTS,
                                        QTR, REGIONS, RULE, TAG_RULES, TEAMS, WEEK, Tables)
+from fiscalweave.plans.increment import CountStore, apply_changes
 from fiscalweave.schemas import RUN_META, WEEKLY_EVENTS
 from fiscalweave.session import tune
 from fiscalweave.sources import sinks
@@ -79,7 +84,7 @@ def _(t):
     target = sinks.scratch_path(t.spark, "snapshot")
     sinks.write_snapshot(t.owner_history.filter("isdeleted"), target)
     sinks.write_snapshot(t.owner_history, target)  # replaces the first one
-    return t.spark.read.schema(t.owner_history.schema).parquet(target)
+    return sinks.read_snapshot(t.spark, target)
 
 
 def _freeze_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -98,14 +103,14 @@ def _freeze_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
 def _(t):
     store, fresh = _freeze_inputs(t)
     target, meta = (sinks.scratch_path(t.spark, n) for n in ("freeze", "freeze-meta"))
-    read = lambda: sinks.read_freeze(
-        t.spark, target, t.spark.read.schema(RUN_META).parquet(meta), WEEKLY_EVENTS)
+    log = sinks.run_log(t.spark, meta)
+    read = lambda: sinks.read_freeze(t.spark, target, log.read(), WEEKLY_EVENTS)
 
     def run(rows: DataFrame, run_id: str, qtr: int, day: int) -> None:
-        attempt = sinks.new_attempt(run_id)
+        attempt, base = sinks.new_attempt(run_id), log.head()
         sinks.write_freeze(rows, target, attempt, FY, qtr)
         sinks.append_run_meta(t.spark, meta, run_id, FY, qtr, dt.datetime(2000, 6, day),
-                              attempt=attempt, store_attempt=attempt)
+                              attempt=attempt, store_attempt=attempt, base=base)
 
     for qtr in (3, QTR):
         run(store, "first", qtr, 8)
@@ -133,16 +138,63 @@ _META = f"""(SELECT o_orderpriority AS run_id, {sql.fy(_D)} AS fy, {sql.qtr(_D)}
     FROM orders GROUP BY 1, 2, 3)"""
 
 
+_STEP = "fy, qtr, fweek, team, table_type"
+_TAGGED = " UNION ALL ".join(
+    f"SELECT fy, qtr, week AS fweek, coalesce(team_raw, '') AS team, '{tag}' AS table_type, "
+    f"({sql.EVENT_KEYS}) AS event, l_orderkey % 4 AS part, firm_id FROM v_dated "
+    f"WHERE {cond} AND qtr >= 2" for tag, cond in sql.TAGS.items())
+
+
+def _state(upto: int) -> str:
+    return (f"(SELECT {_STEP}, event FROM all{upto} GROUP BY {_STEP}, event HAVING sum(change) > 0)")
+
+
+def _open(weeks: int, upto: int) -> str:
+    return (f"(fweek >= {weeks} OR (fy, qtr, fweek) NOT IN (SELECT (fy, qtr, fweek) "
+            f"FROM {_state(upto)} s WHERE s.fweek < {weeks}))")
+
+
+@query("incremental_week_counts", f"""
+    WITH tagged AS ({_TAGGED}),
+    all1 AS (SELECT *, 1 AS change FROM tagged WHERE part < 2),
+    all2 AS (SELECT * FROM all1 UNION ALL
+             SELECT * FROM (SELECT *, 1 AS change FROM tagged WHERE part = 2 UNION ALL
+                            SELECT *, -1 FROM tagged WHERE part < 2 AND firm_id % 10 = 3)
+             WHERE {_open(30, 1)}),
+    all3 AS (SELECT * FROM all2 UNION ALL
+             SELECT *, 1 FROM tagged WHERE part = 3 AND {_open(42, 2)})
+    SELECT {_STEP}, count(*) AS n FROM {_state(3)} GROUP BY ALL""")
+def _(t):
+    store = CountStore(sinks.scratch_path(t.spark, "counts"))
+    part = c("l_orderkey") % 4
+    start = RULE.bounds(FY, 2)[0]
+    facts = t.materialize(ev.in_period(t.bookings, "event_date", RULE, FY, None)
+                          .filter(c("event_date") >= F.lit(start)), "bookings")
+    taken_back = facts.filter((part < 2) & (c("firm_id") % 10 == 3))
+    batches = [  # (rows, their sign, current week of the run)
+        ([(facts.filter(part < 2), 1)], 30),
+        ([(facts.filter(part == 2), 1), (taken_back, -1)], 42),
+        ([(facts.filter(part == 3), 1)], WEEK)]
+    for i, (rows, week) in enumerate(batches):
+        signed = reduce(DataFrame.unionByName,
+                        [df.withColumn("change", F.lit(sign)) for df, sign in rows])
+        changes = inc.event_changes(signed, t.agents, RULE, TAG_RULES, FY, None, TEAMS,
+                                    EXCLUDED_FIRMS)
+        apply_changes(store, changes, f"run{i}", FY, week)
+    return store.cells(t.spark)
+
+
 @query("run_meta_append", f"""
     SELECT fy, qtr, run_id, CAST(finished_at AS DATE) AS finished_on, summary_text
     FROM (SELECT *, row_number() OVER (PARTITION BY fy, qtr ORDER BY finished_at DESC, run_id DESC)
           AS rn FROM {_META}) WHERE rn = 1""")
 def _(t):
-    target = sinks.scratch_path(t.spark, "run-meta")
+    log = sinks.run_log(t.spark, sinks.scratch_path(t.spark, "run-meta"))
     runs = _run_meta(t)
-    runs.filter(c("run_id") < "3").write.mode("append").parquet(target)
-    runs.filter(c("run_id") >= "3").write.mode("append").parquet(target)
-    latest = sinks.latest_run(t.spark.read.schema(RUN_META).parquet(target))
+    early = c("fy") < 1999
+    log.commit(runs.filter(early), 0)
+    log.commit(runs.filter(~early), 0)  # starts from the same state, but shares no quarter with it
+    latest = sinks.latest_run(log.read())
     return latest.select("fy", "qtr", "run_id", F.to_date("finished_at").alias("finished_on"),
                          "summary_text")
 
@@ -355,6 +407,13 @@ def _(t):
               "division_l3", "event_type")
 
 
+@query("join_scd_asof_sorted", _SQL["join_scd_asof"])
+def _(t):
+    facts = t.bookings.select("agent_id", "event_date", "event_type")
+    return _n(asof.join_scd_asof_sorted(facts, t.agents, "agent_id", "event_date",
+                                        ["division_l3"]), "division_l3", "event_type")
+
+
 @query("join_parent_rollup", """
     SELECT p.company_id AS parent_company_id, count(*) AS n,
         count(DISTINCT b.account_id) AS accounts
@@ -460,6 +519,36 @@ def _(t):
     return cnt.distinct_accounts(ev.region_bucket(df, REGIONS), _A2)
 
 
+_KNOWN = "(SELECT DISTINCT fy, qtr, week, team_raw, account_id FROM v_dated WHERE qtr = 4)"
+
+
+@query("distinct_accounts_bitmap", f"""
+    WITH k AS {_KNOWN},
+    t AS (SELECT fy, qtr, week, team_raw AS team, account_id FROM k
+          UNION ALL SELECT fy, qtr, week, '*', account_id FROM k),
+    first AS (SELECT fy, qtr, team, account_id, min(week) AS week FROM t GROUP BY ALL),
+    w AS (SELECT fy, qtr, team, week, count(DISTINCT account_id) AS accounts FROM t GROUP BY ALL)
+    SELECT w.fy, w.qtr, w.team, w.week, w.accounts,
+        (SELECT count(*) FROM first f WHERE f.team = w.team AND f.fy = w.fy AND f.qtr = w.qtr
+             AND f.week <= w.week) AS accounts_to_date,
+        (SELECT count(*) FROM first f WHERE f.team = w.team AND f.fy = w.fy AND f.qtr = w.qtr)
+            AS accounts_in_quarter
+    FROM w""")
+def _(t):
+    df = ev.in_period(t.bookings, "event_date", RULE, FY, QTR)
+    df = ev.join_calendar(df, ev.period_calendar(df, RULE, FY, QTR), FY, QTR)
+    df = ev.join_scd_current(df, t.agents)
+    keys = ["fy", "qtr", "team", "week"]
+    facts = t.materialize(df.select("fy", "qtr", c("team_raw").alias("team"), "week", "account_id")
+                          .distinct(), "accounts")  # the one scan of the facts
+    maps = bm.account_bitmaps(facts, bm.dense_ids(facts, "account_id"), keys)
+    whole = bm.merged(maps.withColumn("team", F.lit("*")), keys)
+    maps = t.materialize(maps.unionByName(whole), "bitmaps")
+    quarter = bm.counted(maps, keys[:3], "accounts_in_quarter")
+    return (bm.counted(maps, keys).join(bm.counted_to_date(maps, keys[:3], "week"), keys)
+            .join(quarter, keys[:3]))
+
+
 @query("conditional_distinct", """
     SELECT team, product, count(DISTINCT CASE WHEN motion = 'Runrate' THEN account_id END) AS rr_sales,
         count(DISTINCT account_id) AS total_sales FROM v_sales GROUP BY 1, 2""")
@@ -1432,6 +1521,21 @@ def _(t):
                                  "Payroll": "payroll_flag"})
 
 
+@query("runrate_bitmap", _SQL["runrate_itf"])
+def _(t):
+    slices = {"Core": "core_flag", "Advanced": "advanced_flag", "Payroll": "payroll_flag"}
+    tags = F.array_compact(F.array(*[F.when(c(flag) == 1, F.lit(k)) for k, flag in slices.items()]))
+    tagged = fc.recent_sales(t.sales_base, PRODUCTS).withColumn("rr_type", F.explode(tags))
+    facts = t.materialize(tagged.select("team", "rr_type", "motion", "account_id").distinct(),
+                          "accounts")  # the one scan of the facts
+    maps = bm.account_bitmaps(facts, bm.dense_ids(facts, "account_id"),
+                              ["team", "rr_type", "motion"])
+    keys = ["team", "rr_type"]
+    run_rate = bm.counted(maps.filter(c("motion") == MOTION.run_rate), keys, "rr_sales")
+    return bm.counted(maps, keys, "total_sales").join(run_rate, keys, "left").select(
+        *keys, F.coalesce("rr_sales", F.lit(0)).alias("rr_sales"), "total_sales")
+
+
 @query("qtd_motion_events", """
     SELECT event_date, account_id, parent_company_id, team, product, product_family, offer_id,
         signup_category, promotion, use, motion, advanced_flag, payroll_flag, core_flag, fy, qtr,

@@ -25,7 +25,7 @@ from fiscalweave.operators import events as ev
 from fiscalweave.operators import owners as ow
 from fiscalweave.operators import report as rp
 from fiscalweave.operators.freeze import weekly_freeze
-from fiscalweave.schemas import RUN_META, WEEKLY_EVENTS
+from fiscalweave.schemas import WEEKLY_EVENTS
 from fiscalweave.sources import sinks
 
 log = logging.getLogger(__name__)
@@ -70,23 +70,31 @@ class WeeklyTarget:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def run_meta(self, spark: SparkSession) -> DataFrame:
-        """All committed runs; empty before the first one."""
-        if not sinks.exists(spark, self.path("run_meta")):
-            return spark.createDataFrame([], RUN_META)
-        return spark.read.schema(RUN_META).parquet(self.path("run_meta"))
+    def version(self, spark: SparkSession) -> int:
+        """The number of the last commit; 0 before the first run."""
+        return sinks.run_log(spark, self.path("run_meta")).head()
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        """A published event table; empty before the first run."""
+    def run_meta(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """All runs committed up to a version; empty before the first one."""
+        return sinks.run_log(spark, self.path("run_meta")).read(version)
+
+    def read(self, spark: SparkSession, name: str, version: int | None = None) -> DataFrame:
+        """A published event table, as a version left it; empty before the first run."""
         reader = sinks.read_freeze if name == "freeze_store" else sinks.read_run
-        return reader(spark, self.path(name), self.run_meta(spark), WEEKLY_EVENTS)
+        return reader(spark, self.path(name), self.run_meta(spark, version), WEEKLY_EVENTS)
+
+    def clean(self, spark: SparkSession, keep: int = 1, older_than: float = 7 * 86400) -> list[str]:
+        """Delete attempts that no kept run names, see ``sinks.clean_runs``."""
+        tables = ("weekly_events", "freeze_store", "calendar_weeks", "cell_counts")
+        return sinks.clean_runs(spark, self.path("run_meta"), [self.path(t) for t in tables], keep,
+                                older_than)
 
     def calendar_weeks(self, spark: SparkSession) -> DataFrame:
         """The calendar of the latest run that wrote one."""
         runs = self.run_meta(spark).filter(F.col("attempt").isNotNull())
         stored = spark.read.parquet(self.path("calendar_weeks"))
         live = (runs.join(stored.select("attempt").distinct(), "attempt")
-                .agg(F.max_by("attempt", F.struct("finished_at", "run_id", "attempt")).alias("a")))
+                .agg(F.max_by("attempt", F.struct("version", "finished_at")).alias("a")))
         return stored.filter(F.col("attempt") == live.scalar()).drop("attempt")
 
 
@@ -94,15 +102,16 @@ def run_week(inputs: WeeklyInputs, config: WeeklyConfig, target: WeeklyTarget, r
              finished_at: dt.datetime | None = None) -> DataFrame:
     """Publish the current quarter as of ``config.as_of``; returns row counts per table_type.
 
-    All that a run writes carries the name of this attempt, and one row of run metadata publishes
-    it in the end. Whatever fails before that leaves readers with the last published state, and the
-    run can be repeated. A failing freeze does not stop the run: the cancels are then published as
+    All that a run writes carries the name of this attempt, and one numbered commit publishes it in
+    the end. Whatever fails before that leaves readers with the last published state, and the run
+    can be repeated. So it does when another run of the quarter has committed since this one read
+    the store: the commit then raises ``CommitConflict``. A failing freeze does not stop the run: the cancels are then published as
     queried, and the store stays with the last run that wrote it. Neither does a failing calendar
     or summary.
     """
     spark = inputs.bookings.sparkSession
     fy, qtr, week = config.rule.position(config.as_of)
-    attempt = sinks.new_attempt(run_id)
+    attempt, base = sinks.new_attempt(run_id), target.version(spark)
 
     sales = ev.weekly_events(inputs.bookings, inputs.agents, config.rule, config.tags,
                              config.regions, fy, qtr, config.teams, config.excluded_firms)
@@ -118,7 +127,8 @@ def run_week(inputs: WeeklyInputs, config: WeeklyConfig, target: WeeklyTarget, r
     try:
         store_attempt = None
         with _tolerated("freeze"):
-            frozen = weekly_freeze(target.read(spark, "freeze_store"), cancels, fy, qtr, week)
+            store = target.read(spark, "freeze_store", base)
+            frozen = weekly_freeze(store, cancels, fy, qtr, week)
             sinks.write_freeze(frozen.store, target.path("freeze_store"), attempt, fy, qtr)
             cancels, store_attempt = frozen.events, attempt
         sinks.write_run(sales.unionByName(cancels), target.path("weekly_events"), attempt, fy,
@@ -128,21 +138,21 @@ def run_week(inputs: WeeklyInputs, config: WeeklyConfig, target: WeeklyTarget, r
     with _tolerated("calendar"):
         days = cal.date_spine(spark, config.rule.bounds(fy - 1)[0], config.rule.bounds(fy + 1)[1])
         weeks = cal.calendar_weeks(cal.fiscal_calendar(days, config.rule), fy - 1, fy + 1)
-        sinks.write_snapshot(weeks.coalesce(1), target.path(f"calendar_weeks/attempt={attempt}"))
+        weeks.coalesce(1).write.parquet(target.path(f"calendar_weeks/attempt={attempt}"))
 
     schema = T.StructType([*WEEKLY_EVENTS.fields, T.StructField("attempt", T.StringType())])
     published = (spark.read.schema(schema).parquet(target.path("weekly_events"))
                  .filter((F.col("fy") == fy) & (F.col("qtr") == qtr)
                          & (F.col("attempt") == attempt)))
     cells_path = target.path(f"cell_counts/attempt={attempt}")
-    sinks.write_snapshot(cnt.cell_counts(published), cells_path)
+    cnt.cell_counts(published).write.parquet(cells_path)
     cells = spark.read.parquet(cells_path)
     text = ""
     with _tolerated("summary"):
         text = summary_text(cells, config)
     sinks.append_run_meta(spark, target.path("run_meta"), run_id, fy, qtr,
                           finished_at or dt.datetime.now(dt.timezone.utc), text, attempt,
-                          store_attempt)
+                          store_attempt, base)
     return cells.groupBy("table_type").agg(F.sum("n").alias("n"))
 
 

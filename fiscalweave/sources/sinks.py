@@ -1,22 +1,27 @@
 """Snapshots, the freeze store, run metadata and text exports.
 
-Every writer goes to a new location or to partitions of an attempt of its own. One appended row of
-run metadata makes an attempt visible, so a job that dies half way never changes what readers see,
-and repeating a run never touches the files that it reads.
+Every writer goes to a new location or to partitions of an attempt of its own. One numbered commit
+(see ``commits``) makes it visible, so a job that dies half way never changes what readers see,
+repeating a run never touches the files that it reads, and of two runs that start from one state
+only one is published.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import tempfile
+import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fiscalweave.schemas import RUN_META
+from fiscalweave.sources.commits import (CommitLog, exists, folders, newest, remove,
+                                         remove_dead_attempts)
 
 _own: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -50,47 +55,111 @@ def rewritten(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_snapshot(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> str:
-    """Full-refresh replacement of ``target``, created when absent."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
-    return target
+# -- snapshots -----------------------------------------------------------------------------------
 
+SNAPSHOT = T.StructType([T.StructField("folder", T.StringType()),
+                         T.StructField("schema", T.StringType())])
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of intermediate data; nothing happens where there is none."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(target, True)
 
+def snapshot_log(spark: SparkSession, target: str) -> CommitLog:
+    return CommitLog(spark, f"{target.rstrip('/')}/_commits", SNAPSHOT, ("folder",))
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.sc().hadoopConfiguration()).exists(target)
+
+def write_snapshot(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> int:
+    """Full-refresh replacement of ``target``, created when absent; returns its new version.
+
+    The rows go to a folder of their own below ``target``; a numbered commit then points readers
+    to it in one step. A write that dies half way leaves the old table as it was, ``df`` may read
+    the table that it replaces, and of two writers the later commit is what readers see.
+    """
+    spark, folder = df.sparkSession, f"data-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(f"{target.rstrip('/')}/{folder}")
+    return snapshot_log(spark, target).commit(
+        spark.createDataFrame([(folder, df.schema.json())], SNAPSHOT))
+
+
+def read_snapshot(spark: SparkSession, target: str, version: int | None = None) -> DataFrame:
+    """The rows of a snapshot as of its last commit, or of an earlier one that is still kept."""
+    log = snapshot_log(spark, target)
+    at = log.head() if version is None else version
+    live = log.read().filter(F.col("version") == at).first()
+    if live is None:
+        raise ValueError(f"{target} has no snapshot" + (f" of version {at}" if at else ""))
+    schema = T.StructType.fromJson(json.loads(live.schema))
+    return (spark.read.schema(schema).parquet(f"{target.rstrip('/')}/{live.folder}")
+            .select(*schema.names))
+
+
+def clean_snapshot(spark: SparkSession, target: str, keep: int = 2,
+                   older_than: float = 7 * 86400) -> list[str]:
+    """Delete the folders of all but the last ``keep`` versions, and of writes that never came to a
+    commit, if nothing was written to them for ``older_than`` seconds; returns their names."""
+    log = snapshot_log(spark, target)
+    head = log.head()
+    live = {r.folder for r in log.read().filter(F.col("version") > head - keep).collect()}
+    before = time.time() - older_than
+    gone = [n for n in folders(spark, target) if n.startswith("data-") and n not in live
+            and newest(spark, f"{target}/{n}") <= before]
+    for name in gone:
+        remove(spark, f"{target}/{name}")
+    return gone
+
+
+# -- runs ----------------------------------------------------------------------------------------
+
+
+def run_log(spark: SparkSession, target: str) -> CommitLog:
+    """The log of completed runs; runs of one fiscal quarter depend on each other."""
+    return CommitLog(spark, target, RUN_META, ("fy", "qtr"))
 
 
 def append_run_meta(spark: SparkSession, target: str, run_id: str, fy: int, qtr: int,
                     finished_at: dt.datetime, summary_text: str = "", attempt: str | None = None,
-                    store_attempt: str | None = None) -> None:
-    """Record that a run has completed. This one row is the commit: it makes the event partitions
-    of ``attempt`` visible (the run id where none is given) and, if the run wrote the freeze store,
-    moves the store to ``store_attempt``. Naive times count as UTC.
+                    store_attempt: str | None = None, base: int | None = None) -> int:
+    """Record that a run has completed; returns the number of the commit. It makes the event
+    partitions of ``attempt`` visible (the run id where none is given) and, if the run wrote the
+    freeze store, moves the store to ``store_attempt``. Naive times count as UTC.
+
+    ``base`` is the version whose state the run has read. If another run has committed the same
+    quarter since, ``CommitConflict`` is raised, nothing becomes visible, and the run can be
+    repeated on the new state. Without a base the run is taken not to depend on any.
     """
     if finished_at.tzinfo is None:
         finished_at = finished_at.replace(tzinfo=dt.timezone.utc)
     row = [(run_id, fy, qtr, finished_at, summary_text, attempt or run_id, store_attempt)]
-    spark.createDataFrame(row, RUN_META).coalesce(1).write.mode("append").parquet(target)
+    return run_log(spark, target).commit(spark.createDataFrame(row, RUN_META), base)
 
 
 def latest_run(run_meta: DataFrame, pointer: str = "attempt") -> DataFrame:
-    """The most recently finished run per fiscal quarter, of those that moved ``pointer``."""
-    order = F.struct("finished_at", "run_id", "attempt")
+    """The last committed run per fiscal quarter, of those that moved ``pointer``.
+
+    Commits count by their number, rows of one commit by the time the run finished.
+    """
+    order = F.struct(*[c for c in ("version", "finished_at", "run_id", "attempt")
+                       if c in run_meta.columns])
     found = F.struct("run_id", "finished_at", "summary_text", "attempt", "store_attempt")
     return (run_meta.filter(F.col(pointer).isNotNull()).groupBy("fy", "qtr")
             .agg(F.max_by(found, order).alias("m")).select("fy", "qtr", "m.*"))
 
 
+def clean_runs(spark: SparkSession, meta: str, tables: Sequence[str], keep: int = 1,
+               older_than: float = 7 * 86400) -> list[str]:
+    """Delete the attempts that no kept run names from ``tables``; returns the folders deleted.
+
+    Of each fiscal quarter the last ``keep`` runs that moved the events and the last ``keep`` that
+    moved the store are kept. Younger folders than ``older_than`` seconds stay, as a run that is
+    still going has not named its attempt yet.
+    """
+    runs, live = run_log(spark, meta).read(), set()
+    for pointer in ("attempt", "store_attempt"):
+        last = Window.partitionBy("fy", "qtr").orderBy(F.desc("version"), F.desc("finished_at"))
+        kept = (runs.filter(F.col(pointer).isNotNull())
+                .withColumn("nr", F.row_number().over(last)).filter(F.col("nr") <= keep))
+        live |= {r[0] for r in kept.select(pointer).collect()}
+    return remove_dead_attempts(spark, tables, live, older_than, [meta])
+
+
 RUN_KEYS = ("fy", "qtr", "attempt")
 
 

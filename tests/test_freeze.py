@@ -63,7 +63,7 @@ def test_store_on_disk(spark, tmp_path):
     store, meta = str(tmp_path / "store"), str(tmp_path / "meta")
 
     def read():
-        runs = spark.read.parquet(meta)
+        runs = sinks.run_log(spark, meta).read()
         return sinks.read_freeze(spark, store, runs, WEEKLY_EVENTS)
 
     for qtr in (3, 4):
@@ -80,7 +80,7 @@ def test_store_on_disk(spark, tmp_path):
     assert short(read()) == want
     sinks.write_freeze(new.store, store, "r2", 26, 4)   # a repeated write replaces its own run
     assert short(read()) == want
-    latest = {r.qtr: (r.run_id, r.summary_text) for r in sinks.latest_run(spark.read.parquet(meta)).collect()}
+    latest = {r.qtr: (r.run_id, r.summary_text) for r in sinks.latest_run(sinks.run_log(spark, meta).read()).collect()}
     assert latest == {3: ("r1", ""), 4: ("r2", "done")}
 
 
@@ -96,7 +96,7 @@ def test_exports(spark, tmp_path):
     target = str(tmp_path / "snap")
     sinks.write_snapshot(spark.range(5), target)
     sinks.write_snapshot(spark.range(2), target)
-    assert spark.read.parquet(target).count() == 2
+    assert sinks.read_snapshot(spark, target).count() == 2
 
 
 def test_sheet(spark, tmp_path):
