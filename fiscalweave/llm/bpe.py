@@ -8,7 +8,10 @@ gives the exact ids, without simulating the merges of the word.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
+import sys
 import unicodedata
 
 import ahocorasick
@@ -139,6 +142,20 @@ def normalise(text: str) -> str:
     return text.replace("Σ", "σ").lower()
 
 
+@functools.cache
+def unlike(steps: str) -> str:
+    """A pattern for the characters that Python and the library of the tokenizer file may not treat
+    alike: those that Python's tables do not know yet, and those they lower-case otherwise."""
+    theirs = bpe_tables.steps_of(steps)[0]
+    odd = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000
+           and (unicodedata.category(chr(c)) == "Cn"
+                or (not chr(c).isspace() and unicodedata.category(chr(c)) != "Co"
+                    and theirs(chr(c)) != normalise(chr(c))))]
+    cuts = [i for i in range(1, len(odd)) if odd[i] != odd[i - 1] + 1]
+    spans = [(odd[i], odd[j - 1]) for i, j in zip([0, *cuts], [*cuts, len(odd)], strict=True)]
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans) + "]"
+
+
 def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.StructType, result,
                 keep: list[str]) -> DataFrame:
     """The ``keep`` columns of every row and what ``result(id strings, token strings)`` gives.
@@ -147,6 +164,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.Struct
     and tokens are parted by blanks.
     """
     tables = bpe_tables.load(tokenizer)
+    tables["unlike"] = unlike(tables["steps"])
     sent = docs.sparkSession.sparkContext.broadcast(tables)  # bounded by the vocabulary
     names = [f.name for f in schema.fields][len(keep):]
     kinds = [f.dataType for f in schema.fields][len(keep):]
@@ -156,6 +174,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.Struct
 
         encoder, special = Encoder(sent.value), sent.value["special"]
         words = regex.compile(PATTERN).findall
+        odd, theirs = re.compile(sent.value["unlike"]).search, None
         cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         memo: dict[str, tuple[str, str, int]] = {}
 
@@ -171,6 +190,14 @@ def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.Struct
                     memo[word] = got
             return got
 
+        def split(part: str) -> list[str]:
+            """The pre-tokens; by the tokenizer file's own steps where Python's tables differ."""
+            nonlocal theirs
+            if part.isascii() or odd(part) is None:
+                return words(normalise(part))
+            theirs = theirs or bpe_tables.splitter(sent.value["steps"])
+            return theirs(part)
+
         def row(text: str):
             got = []
             parts = cut.split(text) if cut is not None and "<|" in text else [text]
@@ -178,7 +205,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.Struct
                 if part in special:
                     got.append((str(special[part]), part, 1))
                 elif part:
-                    got += [memo.get(w) or known(w) for w in words(normalise(part))]
+                    got += [memo.get(w) or known(w) for w in split(part)]
             return result([g[0] for g in got], [g[1] for g in got], sum([g[2] for g in got]))
 
         for batch in batches:
@@ -212,11 +239,11 @@ def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
 
 
 def bpe_ids_and_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
-                        text_col: str = "text") -> DataFrame:
-    """What ``bpe_digests`` gives, and the ids themselves as array<int>."""
-    made = bpe_encoded(docs, tokenizer, id_col, text_col)
+                        text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """What ``bpe_digests`` gives, the ``keep`` columns, and the ids themselves as array<int>."""
+    made = bpe_encoded(docs, tokenizer, id_col, text_col, keep)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return made.select(id_col, "n_tokens", "ids", F.sha2(joined, 256).alias("ids_sha256"),
+    return made.select(id_col, *keep, "n_tokens", "ids", F.sha2(joined, 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

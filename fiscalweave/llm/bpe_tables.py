@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Callable
 
 
 def byte_chars() -> dict[int, str]:
@@ -17,14 +18,39 @@ def byte_chars() -> dict[int, str]:
 
 def load(path: str) -> dict:
     """{'vocab': token -> id, 'ranks': (left, right) -> rank, 'special': string -> id,
-    'end': word-end suffix} of a BPE tokenizer file; plain values only."""
+    'end': word-end suffix, 'steps': definitions of normaliser and pre-tokenizer} of a BPE
+    tokenizer file; plain values only."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     model = spec["model"]
     pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
     return {"vocab": model["vocab"], "ranks": {p: i for i, p in enumerate(pairs)},
             "special": {t["content"]: t["id"] for t in spec["added_tokens"]},
-            "end": model.get("end_of_word_suffix") or ""}
+            "end": model.get("end_of_word_suffix") or "",
+            "steps": json.dumps([spec.get("normalizer"), spec.get("pre_tokenizer")])}
+
+
+def steps_of(steps: str) -> tuple[Callable[[str], str], Callable[[str], list]]:
+    """The normalisation and the pre-tokenization that a file defines, as its library does them."""
+    from tokenizers import Tokenizer
+
+    first, second = json.loads(steps)
+    known = Tokenizer.from_str(json.dumps({
+        "version": "1.0", "added_tokens": [], "normalizer": first, "pre_tokenizer": second,
+        "post_processor": None, "decoder": None,
+        "model": {"type": "BPE", "vocab": {}, "merges": []}}))
+    return known.normalizer.normalize_str, known.pre_tokenizer.pre_tokenize_str
+
+
+def splitter(steps: str) -> Callable[[str], list[str]]:
+    """From a text to its pre-tokens, by the library."""
+    normal, cut = steps_of(steps)
+
+    def split(text: str) -> list[str]:
+        text = normal(text)
+        return [text[lo:hi] for _, (lo, hi) in cut(text)]
+
+    return split
 
 
 def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
