@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fiscalweave.llm.store import Scratch, free_name
+from fiscalweave.llm.store import Scratch
 
 #: A text is hot when its copies hold at least this share of the rows; at most 1/share texts are.
 HOT_SHARE = 0.002
 #: A hot text is dealt over this many sort keys.
 SALTS = 64
-#: Leading characters of a text in the range key, which is what Spark samples to the driver.
-HEAD = 64
+#: Leading characters of a text in its sort key, and keys that splitters are drawn from.
+HEAD, SAMPLE = 64, 20_000
 
 
 def lower_ascii(text: Column) -> Column:
@@ -25,73 +25,135 @@ def lower_ascii(text: Column) -> Column:
             .otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase)))
 
 
+def range_of(value: Column, cuts: list) -> Column:
+    """How many of the sorted cuts are at most ``value``, by a search over two levels."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, round(len(cuts) ** 0.5))
+    tiles = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    heads = F.array(*[F.lit(t[0]) for t in tiles])
+    tails = F.array(*[F.array(*[F.lit(x) for x in t]) for t in tiles])
+    tile = F.size(F.filter(heads, lambda c: c <= value))
+    inner = F.size(F.filter(F.element_at(tails, F.greatest(tile, F.lit(1))), lambda c: c <= value))
+    return F.when(tile == 0, F.lit(0)).otherwise((tile - 1) * step + inner)
+
+
+def _splitters(keys: DataFrame, parts: int) -> list[str]:
+    """Up to ``parts`` - 1 cuts of the sort keys at equal shares of a bounded sample."""
+    rows = keys.count()
+    share = min(1.0, SAMPLE / max(1, rows))
+    drawn = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = sorted(r.key for r in keys.filter(drawn).select("key").collect())
+    return sorted({sample[len(sample) * i // parts] for i in range(1, parts)} if sample else [])
+
+
+def _ranked(docs: DataFrame, id_col: str, text_col: str, keep: str, partitions: int | None,
+            carry: dict[str, Column]) -> DataFrame:
+    """``carry`` and (id_, text_, part_, salt_, group_, best_) of every row, the text normalised.
+
+    Equal texts are neighbours in one sorted part and are told apart from the texts beside them by
+    comparing them in full: ``group_`` numbers the different texts of a (part_, salt_). ``best_``
+    marks the rows with the identifier to keep among the group. Groups of hot texts are one for
+    each salt.
+    """
+    spark = docs.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    scratch = Scratch(spark, "exact")
+    text = lower_ascii(F.col(text_col))
+    head = F.concat(F.left("text_", F.lit(HEAD)), F.lit("\0"), F.hex("mark_"))
+
+    # First pass over the texts: sort keys, for the hot texts and the splitters.
+    keys = docs.select(text.alias("text_")).withColumn("mark_", F.xxhash64("text_"))
+    keys = scratch.write(keys.select("mark_", head.alias("key"),
+                                     F.monotonically_increasing_id().alias("row")), "keys")
+    counts = keys.groupBy("mark_").agg(F.count("*").alias("n"))
+    floor = max(2, int(keys.count() * HOT_SHARE))
+    hot = [r.mark_ for r in counts.filter(F.col("n") >= floor).select("mark_").collect()]
+    cuts = _splitters(keys, parts)
+    scratch.drop(keys)
+
+    # Second pass: a text goes to the range of its key; a hot one to as many places as it has salts.
+    rows = docs.select(*[c.alias(f"carry_{n}") for n, c in carry.items()],
+                       F.col(id_col).alias("id_"), text.alias("text_")).withColumn(
+        "mark_", F.xxhash64("text_"))
+    is_hot = F.col("mark_").isin(hot) if hot else F.lit(False)
+    salt = F.when(is_hot, F.pmod(F.xxhash64("id_"), F.lit(SALTS)) + 1).otherwise(0).cast("int")
+    rows = rows.withColumn("salt_", salt)
+    part = F.when(F.col("salt_") == 0, range_of(head, cuts)).otherwise(
+        F.pmod(F.xxhash64("mark_", "salt_"), F.lit(parts)))
+    rows = rows.withColumn("part_", part.cast("int")).drop("mark_")
+    order = F.col("id_").desc_nulls_last() if keep == "max" else F.col("id_").asc_nulls_last()
+    place = Window.partitionBy("part_", "salt_")
+    first = F.rank().over(place.orderBy("text_", order))
+    return (rows.repartitionById(parts, F.col("part_"))
+            .withColumn("best_", first)
+            .withColumn("best_", F.col("best_") == F.rank().over(place.orderBy("text_")))
+            .withColumn("group_", F.dense_rank().over(place.orderBy("text_"))))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  keep: str = "max", partitions: int | None = None) -> DataFrame:
     """One row per input row: (id, keep_id, group_size long, kept, text_sha256).
 
-    The sort key is the normalised text: its first ``HEAD`` characters and a 64-bit fingerprint,
-    which Spark samples for splitters and range-partitions by, then the whole text. Each range is
-    sorted (spilling to disk where needed); equal texts are then neighbours, are compared in full
-    and fold to one row per group. Texts that hold ``HOT_SHARE`` of all rows are
-    found first by a count per 64-bit fingerprint, get a salt behind the text in the sort key, and
-    their few partial groups are folded once more by full text. The rows find their group again by
-    the SHA-256 of the text, so texts cross the network once.
+    Splitters drawn from a bounded sample of sort keys (``SAMPLE`` keys of the first ``HEAD``
+    characters and a 64-bit fingerprint) cut the normalised texts into ranges; each range is sorted
+    by the whole text, spilling to disk where needed. Equal texts are then neighbours: every text
+    is compared in full with the one before it, which numbers the groups, and the rows of a group
+    get its size and the identifier that stays without the text being needed again. Texts cross the
+    network once.
+
+    Texts that hold ``HOT_SHARE`` of all rows, found by a count per fingerprint, are dealt over
+    ``SALTS`` places; their partial groups, ``SALTS`` for each of at most 1/``HOT_SHARE`` texts, are
+    put together by full text and given back by group number.
 
     ``keep`` is 'max' or 'min': which identifier of a group stays. Null text is the empty text.
     A null identifier never wins over another one; a group of nulls only keeps them all. Rows that
     repeat an identifier within a group are kept or dropped alike. An empty table gives no rows.
     Other columns of the table are not looked at.
     """
-    spark = docs.sparkSession
     best = F.max if keep == "max" else F.min
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).alias("id"), lower_ascii(F.col(text_col)).alias("text"))
-    marked = rows.withColumn("mark", F.xxhash64("text"))
-    scratch = Scratch(spark, "exact")
+    scratch = Scratch(docs.sparkSession, "exact")
+    ranked = _ranked(docs, id_col, text_col, keep, partitions, {})
+    group = Window.partitionBy("part_", "salt_", "group_")
+    one = F.row_number().over(Window.partitionBy("part_", "salt_").orderBy("text_"))
+    slim = ranked.withColumn("one_", one == F.rank().over(
+        Window.partitionBy("part_", "salt_").orderBy("text_"))).select(
+        "id_", "part_", "salt_", "group_", F.sha2("text_", 256).alias("text_sha256"),
+        F.when(F.col("one_") & (F.col("salt_") > 0), F.col("text_")).alias("text_"))
+    slim = scratch.write(slim.withColumns({"keep_id": best("id_").over(group),
+                                           "group_size": F.count("*").over(group)}), "groups")
+    hot = F.broadcast(_put_together(slim.filter(F.col("text_").isNotNull()), best))
+    keys = ["part_", "salt_", "group_"]
+    return (slim.join(hot, keys, "left").withColumns({
+        "keep_id": F.when(F.col("salt_") > 0, F.col("all_keep")).otherwise(F.col("keep_id")),
+        "group_size": F.coalesce("all_size", "group_size")})
+        .select(F.col("id_").alias(id_col), "keep_id", "group_size",
+                F.col("id_").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
 
-    counts = marked.groupBy("mark").agg(F.count("*").alias("n"))
-    counts = scratch.write(counts, "marks")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    floor = max(2, int(total * HOT_SHARE))
-    hot = [r.mark for r in counts.filter(F.col("n") >= floor).select("mark").collect()]
-    scratch.drop(counts)
-
-    is_hot = F.col("mark").isin(hot) if hot else F.lit(False)
-    salt = F.when(is_hot, F.pmod(F.xxhash64("id"), F.lit(SALTS)) + 1).otherwise(0)
-    salted = marked.withColumns({"salt": salt, "head": F.left("text", F.lit(HEAD))})
-    key = ["head", "mark", "salt"]
-    # The ranges already hold equal keys together, so the grouping adds no exchange; first() of a
-    # string makes it a sort-based fold of neighbours.
-    folded = (salted.repartitionByRange(parts, *key)
-              .sortWithinPartitions(*key, "text")
-              .groupBy(*key, "text")
-              .agg(best("id").alias("keep_id"), F.count("*").alias("group_size"),
-                   F.first(F.sha2("text", 256)).alias("text_sha256")))
-    if hot:
-        folded = scratch.write(
-            folded.select("keep_id", "group_size", "text_sha256",
-                          F.when(F.col("salt") > 0, F.col("text")).alias("text")), "folded")
-        again = (folded.filter(F.col("text").isNotNull()).groupBy("text")
-                 .agg(best("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"),
-                      F.first("text_sha256").alias("text_sha256")))
-        once = folded.filter(F.col("text").isNull())
-        cols = ["keep_id", "group_size", "text_sha256"]
-        folded = once.select(cols).unionByName(again.select(cols))
-    groups = folded.select("keep_id", "group_size", "text_sha256")
-    found = rows.select("id", F.sha2("text", 256).alias("text_sha256"))
-    return (found.join(groups, "text_sha256")
-            .select(F.col("id").alias(id_col), F.col("keep_id"), F.col("group_size"),
-                    F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
+
+def _put_together(partial: DataFrame, best) -> DataFrame:
+    """The whole of each hot text for its partial groups; at most SALTS / HOT_SHARE rows."""
+    whole = Window.partitionBy("text_")
+    return partial.select("part_", "salt_", "group_", best("keep_id").over(whole).alias("all_keep"),
+                          F.sum("group_size").over(whole).alias("all_size"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "max") -> DataFrame:
-    """The rows that stay, with all their columns. Of rows that repeat identifier and text, all
-    stay: nothing tells them apart."""
-    mark, best = free_name(docs, "text_mark"), free_name(docs, "keep_mark")
-    kept = (exact_groups(docs, id_col, text_col, keep).filter("kept")
-            .select(F.col("text_sha256").alias(mark), F.col("keep_id").alias(best)).distinct())
-    marked = docs.withColumn(mark, F.sha2(lower_ascii(F.col(text_col)), 256))
-    return marked.join(
-        kept, (marked[mark] == kept[mark]) & marked[id_col].eqNullSafe(kept[best]),
-        "left_semi").drop(mark)
+    """The rows that stay, with all their columns, which travel with the text through the sort. Of
+    rows that repeat identifier and text, all stay: nothing tells them apart."""
+    best = F.max if keep == "max" else F.min
+    scratch = Scratch(docs.sparkSession, "exact")
+    ranked = _ranked(docs, id_col, text_col, keep, None,
+                     {str(i): F.col(f"`{c}`") for i, c in enumerate(docs.columns)})
+    carried = [f"carry_{i}" for i in range(len(docs.columns))]
+    hot_text = F.when(F.col("salt_") > 0, F.col("text_")).alias("text_")
+    kept = scratch.write(ranked.filter("best_").select(
+        *carried, "id_", "part_", "salt_", "group_", hot_text), "kept")
+    partial = (kept.filter("salt_ > 0").groupBy("part_", "salt_", "group_")
+               .agg(F.first("text_").alias("text_"), F.first("id_").alias("keep_id"),
+                    F.count("*").alias("group_size")))
+    hot = F.broadcast(_put_together(partial, best))
+    stays = (F.col("salt_") == 0) | F.col("id_").eqNullSafe(F.col("all_keep"))
+    return (kept.join(hot, ["part_", "salt_", "group_"], "left").filter(stays)
+            .select(*[F.col(c).alias(name) for c, name in zip(carried, docs.columns, strict=True)]))

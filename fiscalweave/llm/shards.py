@@ -2,40 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fiscalweave.llm.store import Scratch
 
-#: Identifier ranges that get a total of their own (its square root must be whole); the number of
-#: totals, and so what is broadcast, is bounded by it whatever the table's size.
-RANGES = 1024
-
-
-def _range_of(value: Column, cuts: list[int]) -> Column:
-    """How many of the sorted cuts are at most ``value``, by a search over two levels."""
-    if not cuts:
-        return F.lit(0)
-    step = max(1, round(len(cuts) ** 0.5))
-    tiles = [cuts[i:i + step] for i in range(0, len(cuts), step)]
-    heads = F.array(*[F.lit(t[0]) for t in tiles])
-    tails = F.array(*[F.array(*[F.lit(x) for x in t]) for t in tiles])
-    tile = F.size(F.filter(heads, lambda c: c <= value))
-    inner = F.size(F.filter(F.element_at(tails, F.greatest(tile, F.lit(1))), lambda c: c <= value))
-    return F.when(tile == 0, F.lit(0)).otherwise((tile - 1) * step + inner)
+#: Rows of a range, on average; there are as many ranges as that takes.
+ROWS = 250_000
+#: Ranges whose totals are summed up in one go.
+RUN = 1024
 
 
 def byte_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id",
-                text_col: str = "text", ranges: int = RANGES) -> DataFrame:
+                text_col: str = "text") -> DataFrame:
     """One row per input row: (id, size, text_crc32, law, shard, slot, grown_shard).
 
-    Documents are taken in the order of their identifiers (then size and checksum). At most
-    ``ranges`` identifier ranges, cut at quantiles, get the total of their sizes; a running sum
-    over these totals and one inside each range give every row its place in the global byte
-    sequence. Cutting that sequence at equal targets gives ``shards`` contiguous shards: a row
-    belongs to the shard that holds its middle byte, so no shard is off its target by more than
-    one document. ``slot`` numbers the rows of a shard without gaps. Only (id, size, checksum) are
-    shuffled, never the text.
+    Documents are taken in the order of their identifiers (then size and checksum), and cut into
+    ranges of about ``ROWS`` rows by sampled splitters. Every range gets the total of its sizes;
+    running sums over runs of ranges, over the ranges of a run and inside each range give every row
+    its place in the global byte sequence. Cutting that sequence at equal targets gives ``shards``
+    contiguous shards: a row belongs to the shard that holds its middle byte, so no shard is off
+    its target by more than one document. ``slot`` numbers the rows of a shard without gaps. Only
+    (id, size, checksum) are shuffled, never the text. Rows equal in all three are told apart by a
+    row number, so an identifier that repeats on a third of all rows fills many ranges.
 
     size is the UTF-8 length plus 1; null text has size 1 and checksum 0. Null identifiers come
     first. Rows equal in identifier, size and checksum may swap slots. An empty table gives no
@@ -47,34 +38,39 @@ def byte_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id",
     sizes = scratch.write(docs.select(
         F.col(id_col).cast("long").alias("id"),
         (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("crc")), "sizes")
-
-    share = [i / ranges for i in range(1, ranges)]
-    found = sizes.agg(F.percentile_approx("id", share, 100 * ranges).alias("cuts")).first().cuts
-    cuts = sorted(set(found or []))
-    part = F.when(F.col("id").isNull(), F.lit(-1)).otherwise(_range_of(F.col("id"), cuts))
-    slim = sizes.withColumn("part", part.cast("int"))
+        F.crc32(F.encode(text, "UTF-8")).alias("crc"),
+        F.monotonically_increasing_id().alias("tie")), "sizes")
+    order = [F.col("id").asc_nulls_first(), "size", "crc", "tie"]
+    slim = scratch.write(
+        sizes.repartitionByRange(max(1, math.ceil(sizes.count() / ROWS)), *order)
+        .withColumn("part", F.spark_partition_id()), "ranges")
+    scratch.drop(sizes)
 
-    # Prefix sums over the totals: a window over at most ranges + 1 rows.
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # Prefix sums over the totals, by runs of ranges: what lies ahead of each range.
     totals = slim.groupBy("part").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    ahead = totals.select(
-        "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("bytes_ahead"),
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_ahead"))
-    everything = slim.agg(F.sum("size").alias("all_bytes"))
+    totals = totals.withColumn("run", F.floor(F.col("part") / RUN))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    in_run, over_runs = before(Window.partitionBy("run").orderBy("part")), before(Window.orderBy("run"))
+    ahead_of = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    runs = totals.groupBy("run").agg(F.sum("size").alias("size"), F.sum("n").alias("n")).select(
+        "run", ahead_of("size", over_runs).alias("run_bytes"), ahead_of("n", over_runs).alias("run_rows"))
+    ahead = totals.select("part", "run", ahead_of("size", in_run).alias("bytes_ahead"),
+                          ahead_of("n", in_run).alias("rows_ahead")).join(runs, "run").select(
+        "part", (F.col("bytes_ahead") + F.col("run_bytes")).alias("bytes_ahead"),
+        (F.col("rows_ahead") + F.col("run_rows")).alias("rows_ahead"))
 
-    inside = Window.partitionBy("part").orderBy("id", "size", "crc")
+    inside = Window.partitionBy("part").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = 2 * (F.col("bytes_ahead") + F.col("end")) - F.col("size")
     placed = (slim.withColumn("end", F.sum("size").over(upto))
               .withColumn("nr", F.row_number().over(inside))
-              .join(F.broadcast(ahead), "part")
+              .join(ahead, "part")
               .select("id", "size", "crc", middle.alias("middle"),
                       (F.col("rows_ahead") + F.col("nr") - 1).alias("row")))
-    total = everything.first().all_bytes or 1
+    total = slim.agg(F.sum("size").alias("all_bytes")).first().all_bytes or 1
     shard = F.least(F.lit(shards - 1), F.expr(f"(middle * {int(shards)}L) div {2 * int(total)}L"))
     placed = scratch.write(placed.withColumn("shard", shard.cast("int")).drop("middle"), "placed")
-    scratch.drop(sizes)
+    scratch.drop(slim)
     opening = placed.groupBy("shard").agg(F.min("row").alias("opening"))  # a row per shard
     return placed.join(F.broadcast(opening), "shard").select(
         F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"),
