@@ -21,7 +21,7 @@ from fiscalweave.llm.store import Scratch, free_name
 
 #: Documents of a block, slots of a period (the grid that weights are rounded to), sources at most,
 #: documents of a bucket that are numbered in one go, on average.
-BLOCK, PERIOD, SOURCES, BUCKET = 64, 10_000, 4_000, 50_000
+BLOCK, PERIOD, SOURCES, BUCKET = 64, 10_000, 4_000, 10_000
 
 
 def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -60,21 +60,24 @@ def schedule(slots: Mapping[str, int]) -> dict[str, list[int]]:
 
 
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id",
-          source_col: str = "source", block: int = BLOCK, seed: int = 3) -> DataFrame:
+          source_col: str = "source", block: int = BLOCK, seed: int = 3, period: int = PERIOD,
+          sources: int = SOURCES, bucket: int = BUCKET) -> DataFrame:
     """Every row with (mix_block, mix_release, mix_deadline, mix_slot, mix_row), all long.
 
     Order by (mix_slot, mix_row) to read the mixture; a slot is one block of one source. Within a
     source, documents are shuffled by a hash and cut into blocks of ``block``. ``weights`` gives
     each source its share; sources that are not in it, and null as a source of its own, get the
     mean of the given weights, and without weights all sources count the same. Weights are rounded
-    to the grid of ``PERIOD`` slots. When a source has no block left its slots stay empty; the
+    to the grid of ``period`` slots, and a positive weight below one slot counts as one. When a source has no block left its slots stay empty; the
     others go on in their proportions. No row is lost or repeated, whatever the weights; a source
     of weight 0 comes after all others.
 
     The schedule of one period repeats, so a block's slot follows from its number. Rows are
     numbered per bucket of a source's hash range, with prefix sums over buckets, so a source with a
-    third of all rows is split among tasks. Rows equal in identifier may swap places. An empty
-    table gives no rows. More than ``SOURCES`` sources are an error, not a cut.
+    third of all rows is split among tasks. Rows equal in identifier may swap places; rows without
+    identifier are shuffled by a hash of all they hold, so they do not meet in one bucket. An empty
+    table gives no rows. More than ``sources`` sources, whose schedule the driver makes, are an
+    error, not a cut.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
@@ -86,23 +89,24 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: s
         raise ValueError(f"documents already have columns {sorted(clash)}")
 
     key = F.coalesce(F.concat(F.lit("s:"), F.col(source_col).cast("string")), F.lit("null"))
-    counts = docs.groupBy(key.alias("s")).agg(F.count("*").alias("n")).limit(SOURCES + 1).collect()
-    if len(counts) > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources")
+    counts = docs.groupBy(key.alias("s")).agg(F.count("*").alias("n")).limit(sources + 1).collect()
+    if len(counts) > sources:
+        raise ValueError(f"more than {sources} sources")
     given = {f"s:{s}": float(w) for s, w in (weights or {}).items()}
     mean = math.fsum(given.values()) / len(given) if given else 1.0
     target = {r.s: given.get(r.s, mean) for r in counts}
     total = sum(r.n for r in counts)
     if target and not any(w > 0 for w in target.values()):
         target = dict.fromkeys(target, 1.0)
-    slots = shares(target) if target else {}
+    slots = shares(target, period) if target else {}
     plan = schedule(slots) if target else {}
     table = spark.createDataFrame(
         [(s, slots.get(s, 0), plan.get(s, [])) for s in target],
-        "s string, share long, places array<long>")  # at most SOURCES rows, PERIOD places
+        "s string, share long, places array<long>")  # at most ``sources`` rows, ``period`` places
 
-    buckets = max(1, math.ceil(total / BUCKET))
-    hashed = F.xxhash64(F.col(id_col), F.lit(seed))
+    buckets = max(1, math.ceil(total / bucket))
+    content = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns], F.lit(seed))
+    hashed = F.when(F.col(id_col).isNull(), content).otherwise(F.xxhash64(id_col, F.lit(seed)))
     rows = docs.withColumn(src, key).withColumn(h, hashed).withColumn(
         b, F.floor((F.shiftrightunsigned(F.col(h), 1) / F.lit(float(1 << 63))) * buckets)
         .cast("int"))

@@ -110,13 +110,14 @@ def shard(rows, shards):
 
 
 def top(vectors, k, step):
-    q = {i: [math.floor(1024 * x) for x in v] for i, v in vectors
-         if v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    """Every row is a candidate of every other row, whatever their identifiers."""
+    q = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors
+         if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, v in q.items():
+    for n, (i, v) in enumerate(q):
         if i % step == 0:
             best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j)
-                          for j, w in q.items() if j != i)[:k]
+                          for m, (j, w) in enumerate(q) if m != n)[:k]
             out += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
     return out
 

@@ -70,10 +70,38 @@ def test_exact(spark, docs, empty):
     assert exact_dedup.exact_dedup(frame(spark, twice)).count() == 5
 
 
+def test_exact_over_many_ranges(spark):
+    """Texts that share their first characters, and groups on both sides of every splitter."""
+    rows = [(i, "the same beginning of a text, longer than the head of the sort key " * (i % 2)
+             + f"{i * 7 % 41:03d}") for i in range(900)] + [(None, "x"), (None, "x"), (5, "X")]
+    for parts in (1, 3, 40):
+        for keep in ("max", "min"):
+            out = exact_dedup.exact_groups(frame(spark, rows), keep=keep, partitions=parts)
+            groups = {}
+            for i, t in rows:
+                groups.setdefault(brute.lower(t), []).append(i)
+            best = {t: (max if keep == "max" else min)([i for i in g if i is not None])
+                    for t, g in groups.items()}
+            same(out, EXACT, [(i, best[t], len(groups[t]), i == best[t], brute.sha(t))
+                              for i, raw in rows for t in (brute.lower(raw),)])
+
+
+def test_exact_sorts_and_joins_no_digest(spark, docs):
+    seen = exact_dedup._ranked(docs, "doc_id", "text", "max", 6, {})
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan  # one shuffle of the texts
+    whole = exact_dedup.exact_groups(docs)._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in whole.splitlines() if "Join" in x]
+    assert len(joins) == 1 and "Join [part_" in joins[0] and "sha2(" not in whole
+
+
 def test_exact_with_a_hot_text(spark):
     rows = [(i, "copy" if i % 3 == 0 else "Copy" if i % 3 == 1 and i % 2 else f"t{i}")
             for i in range(2_000)]
     same(exact_dedup.exact_groups(frame(spark, rows)), EXACT, brute.exact(rows))
+    kept = exact_dedup.exact_dedup(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(
+        (i, dict(rows)[i]) for i, k, *_ in brute.exact(rows) if i == k)
 
 
 # -- substring dedup -----------------------------------------------------------------------------
@@ -138,9 +166,13 @@ def test_near_chains_and_borderline_rings(spark):
 SHARD = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-def test_shards(spark, docs, empty):
+def test_shards(spark, docs, empty, monkeypatch):
     same(shards.byte_shards(docs), SHARD, brute.shard(ROWS, 8))
-    same(shards.byte_shards(docs, 3, ranges=4), SHARD, brute.shard(ROWS, 3))
+    same(shards.byte_shards(docs, 3), SHARD, brute.shard(ROWS, 3))
+    with monkeypatch.context() as m:
+        m.setattr(shards, "ROWS", 3)
+        m.setattr(shards, "RUN", 2)
+        same(shards.byte_shards(docs), SHARD, brute.shard(ROWS, 8))
     assert shards.byte_shards(empty).collect() == []
     rows = [(i // 3, "x" * (i % 50)) for i in range(3000)]
     same(shards.byte_shards(frame(spark, rows)), SHARD, brute.shard(rows, 8))
@@ -148,6 +180,28 @@ def test_shards(spark, docs, empty):
     assert sorted((r.shard, r.slot) for r in nulls if r.doc_id is None)[0] == (0, 0)
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    """More rows, more ranges; rows that are equal in all that is compared fill several of them."""
+    from fiscalweave.llm import store
+
+    written = {}
+    write = store.Scratch.write
+
+    def watch(self, df, name):
+        out = write(self, df, name)
+        if name == "ranges":
+            written["n"] = [r[0] for r in out.groupBy("part").count().select("count").collect()]
+        return out
+
+    monkeypatch.setattr(store.Scratch, "write", watch)
+    monkeypatch.setattr(shards, "ROWS", 100)
+    monkeypatch.setattr(shards, "RUN", 4)
+    for n, hot in ((500, 0), (2000, 0), (2000, 900)):
+        rows = [(7, "same")] * hot + [(i, "x" * (i % 9)) for i in range(n - hot)]
+        same(shards.byte_shards(frame(spark, rows)), SHARD, brute.shard(rows, 8))
+        assert len(written["n"]) >= 0.7 * n / 100 and max(written["n"]) < 400
+
+
 def test_mixing_deviation(spark, docs, empty):
     slots = mixing.shares({"a": 5, "b": 3, "c": 0.01}, 1000)
     plan = mixing.schedule(slots)
@@ -280,7 +334,7 @@ def test_bpe(spark, docs, empty):
 # -- vectors -------------------------------------------------------------------------------------
 
 
-def test_vectors(spark):
+def test_vectors(spark, monkeypatch):
     import random
 
     rng = random.Random(5)
@@ -293,15 +347,20 @@ def test_vectors(spark):
     ask = F.col("vec_id") % 100 == 0
     want = brute.top(rows, 10, 100)
     same(kdtree.top_inner_products(df, ask), cols, want)
-    old = kdtree.SHARD, kdtree.BLOCK
-    kdtree.SHARD, kdtree.BLOCK = 64, 2
-    try:
-        same(kdtree.top_inner_products(df, ask), cols, want)
-    finally:
-        kdtree.SHARD, kdtree.BLOCK = old
+    for small in ({"SHARD": 64, "BLOCK": 2}, {"SHARD": 16, "BLOCK": 1, "BOXES": 3, "FAN": 2},
+                  {"SHARD": 20, "CELLS": 4, "SAMPLE": 30}):
+        with monkeypatch.context() as m:
+            for name, value in small.items():
+                m.setattr(kdtree, name, value)
+            same(kdtree.top_inner_products(df, ask), cols, want)
     assert kdtree.top_inner_products(df.limit(0), ask).collect() == []
-    few = df.filter("vec_id IN (0, 1, 402)")
-    assert got(kdtree.top_inner_products(few.unionByName(few), ask), "query_id", "rank", "vec_id") == [(0, 1, 1)]
+    # Rows that repeat an identifier are candidates, and queries, of their own.
+    twice = rows + [(0, rows[7][1]), (0, rows[0][1]), (5, rows[6][1]), (5, rows[6][1])]
+    df = spark.createDataFrame(twice, "vec_id long, embedding array<double>")
+    same(kdtree.top_inner_products(df, ask), cols, brute.top(twice, 10, 100))
+    near = spark.createDataFrame([(0, [1.0]), (1, [0.5]), (1, [2.0])],
+                                 "vec_id long, embedding array<float>")
+    assert got(kdtree.top_inner_products(near, ask), *cols) == [(0, 1, 1, 2048 * 1024), (0, 2, 1, 512 * 1024)]
     mixed = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0]), (2, [3.0, 1.0]), (None, [1.0, 1.0])],
                                   "vec_id long, embedding array<float>")
     assert got(kdtree.top_inner_products(mixed, ask), "query_id", "vec_id") == [(0, 2)]
@@ -312,5 +371,33 @@ def test_tree_with_equal_rows():
 
     m = np.zeros((1000, 3), np.int64)
     order, nodes, low, high = kdtree.build(m, 10)
-    ids, score = kdtree.search(np.array([1, 2, 3]), 5, None, 4, order, m, nodes, low, high)
-    assert list(ids) == [0, 1, 2, 3] and not score.any()
+    at, score = kdtree.search(np.array([1, 2, 3]), 5, None, 4, order, order, m, nodes, low, high)
+    assert list(order[at]) == [0, 1, 2, 3] and not score.any()
+
+
+def test_boxes_bound_what_they_hold():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    m = rng.integers(-900, 900, (3000, 8))
+    tree = kdtree.splits(m[:500], 4)
+    cell = kdtree.cells(m, tree)
+    assert np.bincount(cell, minlength=16).min() > 100  # median splits of a sample
+    low = np.stack([m[cell == c].min(0) for c in range(16)])
+    high = np.stack([m[cell == c].max(0) for c in range(16)])
+    for q in (m[:50], m[:50] << 40):
+        top = kdtree.bounds(q, low, high)
+        assert (top[:, cell] >= q @ m.T).all()
+    same_ = kdtree.splits(np.zeros((40, 3), np.int64), 3)
+    assert set(kdtree.cells(np.zeros((5, 3), np.int64), same_)) == {7}
+
+
+@pytest.mark.parametrize("letters", ["\u1c89", "\ua7cb", "\U00010d50", "\U00016ea0", "\u0558\u208f\ua7ce",
+                                     "İΣς\u1e9e\u0345", "\U0001faea \u0897"])
+def test_bpe_of_letters_that_python_does_not_know(spark, letters):
+    known = Tokenizer.from_file(WORD)
+    texts = [letters, f"a{letters}b {letters}{letters}1{letters} !{letters}", f"Plain {letters} TEXT it's"]
+    want = [(i, len(ids), brute.sha(" ".join(map(str, ids)))) for i, t in enumerate(texts)
+            for ids in (known.encode(t, add_special_tokens=False).ids,)]
+    same(bpe.bpe_digests(frame(spark, list(enumerate(texts))), WORD),
+         ("doc_id", "n_tokens", "ids_sha256"), want)
