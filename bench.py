@@ -10,12 +10,15 @@ import json
 import os
 import sys
 import time
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from fiscalweave.config import TagRule
+from fiscalweave.operators import rule_index
 from fiscalweave.plans import registry
-from fiscalweave.plans.binding import TAG_RULES, Tables
+from fiscalweave.plans.binding import EXCLUDED_FIRMS, TAG_RULES, Tables
 from fiscalweave.session import local_session
 
 HEADLINE = (
@@ -46,6 +49,19 @@ def one_scan_per_rule(spark, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [tables.events(rules=(r,)) for r in TAG_RULES])
 
 
+def many_rules(n: int) -> list[TagRule]:
+    """The rule set and variants of it for products that nothing sells, ``n`` rules in all."""
+    kinds = list(TAG_RULES)
+    return kinds + [replace(kinds[i % len(kinds)], tag=f"{kinds[i % len(kinds)].tag}_{i}",
+                            product=f"none {i}", product_not=None)
+                    for i in range(n - len(kinds))]
+
+
+def tag_counts(spark, root: str, tag, rules: list[TagRule]) -> DataFrame:
+    tagged = tag(Tables(spark, root).bookings, rules, EXCLUDED_FIRMS)
+    return tagged.groupBy("table_type").count()
+
+
 def main() -> None:
     root = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -59,6 +75,9 @@ def main() -> None:
     extra = {}
     if not chosen:
         extra["weekly_events_one_scan_per_rule"] = timed(lambda: one_scan_per_rule(spark, root))
+        for n in (len(TAG_RULES), 1_000):
+            extra[f"rule_index_{n}_rules"] = timed(
+                lambda n=n: tag_counts(spark, root, rule_index.multi_rule_tag, many_rules(n)))
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(timings.values()), 3), "unit": "sec",
         "queries": timings, "compared": extra,

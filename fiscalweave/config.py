@@ -159,6 +159,8 @@ class ProductRules:
 
 @dataclass(frozen=True)
 class OpportunityRules:
+    # Stage names of the opportunity source, and the word in the names of lines that
+    # are no sale of their own.
     won_stage: str = "Closed Won"
     closed_stages: Sequence[str] = ("Closed Won", "Closed Lost")
     late_stages: Sequence[str] = ("Commit", "Value")

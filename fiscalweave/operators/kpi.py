@@ -120,14 +120,19 @@ def index_metrics(actual: DataFrame, forecast: DataFrame, prior_year: DataFrame,
     missing or zero base is NULL. ``weeks`` is the calendar: every week of a quarter has a row, so
     a team without a sale in a week keeps its figures to date.
     """
-    keys = list(keys)
-
     def role(df: DataFrame, name: str) -> DataFrame:
         return df.select(*keys, "team", "week", F.col("value").cast("double").alias("value"),
                          F.lit(name).alias("role"))
 
-    stacked = (role(actual, "actual").unionByName(role(forecast, "forecast"))
-               .unionByName(role(prior_year, "prior")))
+    return indexes(role(actual, "actual").unionByName(role(forecast, "forecast"))
+                   .unionByName(role(prior_year, "prior")), weeks, keys)
+
+
+def indexes(stacked: DataFrame, weeks: DataFrame, keys: Sequence[str] = ("metric", "fy", "qtr")
+            ) -> DataFrame:
+    """``index_metrics`` of one stacked frame, whose ``role`` is actual, forecast or prior; rows of
+    several roles may then come from one pass over their source."""
+    keys = list(keys)
 
     def total(name: str) -> Column:
         return F.sum(F.when(F.col("role") == name, F.col("value")))

@@ -16,6 +16,7 @@ from fiscalweave.functions.text import email_alias, normalize_name, token_key
 from fiscalweave.operators.events import (OPEN_END, cancel_contract, in_period, join_calendar,
                                           period_calendar)
 from fiscalweave.operators.joins import left_lookup
+from fiscalweave.sources.sinks import rewritten
 from fiscalweave.sources.tables import sheet_as_table
 
 # -- ownership -------------------------------------------------------------------------------------
@@ -65,14 +66,16 @@ def join_owner_chain(companies: DataFrame, accounts: DataFrame, history: DataFra
                      unmanaged: str = "Unmanaged") -> DataFrame:
     """Company to owner intervals to owner names, all left: one row per interval.
 
-    A company without an account, interval, user or agent is 'Unmanaged'.
+    A company without an account, interval, user or agent is 'Unmanaged'. The live intervals and the
+    reduced ones per firm are written once, since their keys are counted before they are joined.
     """
     # One account may hold a large share of the history, one firm of the companies.
     keyed = accounts.select(F.col("company_id").alias("firm_id"), F.col("id").alias("account"))
-    owned = (left_lookup(keyed, owner_history_rows(history), ["account"])
+    live = rewritten(owner_history_rows(history), "owner-history")
+    owned = (left_lookup(keyed, live, ["account"])
              .join(user_names(users, agents, as_of), "user_id", "left")
              .select("firm_id", "start_date", "end_date", "user_id", "agent_name"))
-    return (left_lookup(companies, owned, ["firm_id"])
+    return (left_lookup(companies, rewritten(owned, "owner-intervals"), ["firm_id"])
             .withColumn("account_owner", F.coalesce("agent_name", F.lit(unmanaged)))
             .drop("agent_name"))
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fiscalweave.functions.calendar import FiscalRule
@@ -41,9 +41,14 @@ def dashboard_run(counted: DataFrame, external: DataFrame, counts: DataFrame, ca
 
 
 def cells_with_markers(board: Dashboard) -> DataFrame:
-    """The cells beside the marker of their week."""
-    return board.cells.join(board.weeks, ["fy", "qtr", "week"], "left").withColumn(
-        "complete", F.coalesce("complete", F.lit(False)))
+    """The cells beside the marker of their week, from one pass over the cells.
+
+    Closing forecasts changes no ``resolved``, so the closed cells still tell which weeks are
+    complete. Cells without a week belong to no marker.
+    """
+    week = Window.partitionBy("fy", "qtr", "week")
+    done = F.bool_and("resolved").over(week) & F.col("week").isNotNull()
+    return board.cells.withColumn("complete", F.coalesce(done, F.lit(False)))
 
 
 def publish_forecast_summary(base: DataFrame, products: ProductRules, pipeline: DataFrame,

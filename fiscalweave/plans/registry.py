@@ -26,6 +26,7 @@ from fiscalweave.operators import incremental as inc
 from fiscalweave.operators import kpi
 from fiscalweave.operators import owners as ow
 from fiscalweave.operators import report as rp
+from fiscalweave.operators import rule_index as ri
 from fiscalweave.operators import state as st
 from fiscalweave.plans import dashboard as db
 from fiscalweave.plans import oracle as sql
@@ -35,6 +36,7 @@ from fiscalweave.plans.binding import (AS_OF, CANCELS, DIVISIONS_L4, EXCLUDED_FI
 from fiscalweave.plans.increment import CountStore, apply_changes
 from fiscalweave.schemas import RUN_META, WEEKLY_EVENTS
 from fiscalweave.session import tune
+from fiscalweave.sources import layout as lay
 from fiscalweave.sources import sinks
 from fiscalweave.sources.tables import sheet_as_table
 
@@ -69,6 +71,18 @@ def _(t):
         "event_date", "account_id", "firm_id", "event_type", "offering", "product", "team_raw")
 
 
+@query("bookings_by_period", f"""
+    SELECT e.fy, e.qtr, e.week, e.fiscal_qtr_age, event_type, count(*) AS n
+    FROM v_bookings b JOIN v_ext e ON e.date = b.event_date
+    WHERE e.fiscal_qtr_age IN (0, 1) GROUP BY ALL""")
+def _(t):
+    target = sinks.scratch_path(t.spark, "bookings-by-period")
+    lay.write_by_period(t.bookings.select("event_date", "event_type"), target, RULE)
+    ages = t.date_ext.filter(c("fiscal_qtr_age").isin(0, 1))
+    rows = lay.in_calendar(lay.read_by_period(t.spark, target), ages)
+    return _n(rows, "fy", "qtr", "week", "fiscal_qtr_age", "event_type")
+
+
 @query("sheet_as_table", """
     SELECT row_no, Segment AS segment, Agent AS agent, L3 AS l3, AgentEmail AS agent_email
     FROM v_roster WHERE length(trim(Agent)) > 0""")
@@ -297,6 +311,11 @@ def _(t):
     return _n(ev.multi_rule_tag(t.bookings, TAG_RULES, EXCLUDED_FIRMS), "table_type", "team_raw")
 
 
+@query("multi_rule_tag_indexed", _SQL["multi_rule_tag"])
+def _(t):
+    return _n(ri.multi_rule_tag(t.bookings, TAG_RULES, EXCLUDED_FIRMS), "table_type", "team_raw")
+
+
 @query("filter_not_future", f"""
     SELECT account_id, cancel_date FROM v_activations WHERE cancel_date <= {sql.AS_OF}""")
 def _(t):
@@ -446,6 +465,24 @@ def _(t):
                                               F.count_distinct("account_id").alias("accounts"))
 
 
+@query("owner_chain_bucketed", _SQL["join_owner_chain"])
+def _(t):
+    keyed = t.accounts.select(c("company_id").alias("firm_id"), c("id").alias("account"))
+    stored = {name: lay.write_bucketed(df, key, 8, name) for name, df, key in (
+        ("accounts_by_account", keyed, "account"),
+        ("history_by_account", ow.owner_history_rows(t.owner_history), "account"))}
+    accounts, history = (t.spark.table(n) for n in stored.values())
+    intervals = accounts.join(history, "account", "left")  # bucket by bucket
+    by_firm = [lay.write_bucketed(df, "firm_id", 8, name) for name, df in (
+        ("companies_by_firm", t.account_status), ("intervals_by_firm", intervals))]
+    companies, intervals = (t.spark.table(n) for n in by_firm)
+    chain = (companies.join(intervals, "firm_id", "left")
+             .join(ow.user_names(t.users, t.agents, AS_OF), "user_id", "left")
+             .withColumn("account_owner", F.coalesce("agent_name", F.lit("Unmanaged"))))
+    return chain.groupBy("account_owner").agg(F.count(F.lit(1)).alias("n"),
+                                              F.count_distinct("account_id").alias("accounts"))
+
+
 @query("join_align_teams", """
     SELECT team, qtd_sales, qtd_runrate_sales, qtd_forecast, total_finance_fcst, opp_conv_rate,
         qtg_open_opps FROM v_measures""")
@@ -1207,18 +1244,20 @@ def _index(t: Tables) -> DataFrame:
     names = {"SALES": "sales", "ADV": "advanced", "ADV_UPGRADES": "upgrades", "PAYROLL": "payroll"}
     label = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
 
-    def long(counts: DataFrame, shift: int) -> DataFrame:
-        return (kpi.team_counts(counts).filter(c("table_type").isin(list(names)))
-                .select(label[c("table_type")].alias("metric"), (c("fy") + shift).alias("fy"), "qtr",
-                        "team", c("fweek").alias("week"), c("n").alias("value")))
-
-    # Both years from one scan; last year only its sales are compared with.
-    counts = cnt.week_team_type_counts(t.events(years=2))
-    last_year = counts.filter((c("fy") == FY - 1) & (c("table_type") == TAG_RULES[0].tag))
+    # Both years from one scan and one pass; last year only its sales are compared with.
+    kind, value = c("table_type"), c("n").cast("double").alias("value")
+    roles = F.array_compact(F.array(
+        F.when((c("fy") == FY) & kind.isin(list(names)), F.lit("actual")),
+        F.when((c("fy") == FY - 1) & (kind == TAG_RULES[0].tag), F.lit("prior"))))
+    counted = (kpi.team_counts(cnt.week_team_type_counts(t.events(years=2)))
+               .withColumn("role", F.explode(roles))
+               .select(label[kind].alias("metric"), F.lit(FY).alias("fy"), "qtr", "team",
+                       c("fweek").alias("week"), value, "role"))
     plan = (t.forecast.filter(c("fy") == FY)
             .withColumn("metric", F.explode(F.array(F.lit("sales"), F.lit("upgrades"))))
-            .select("metric", "fy", "qtr", "team", "week", c("forecast").alias("value")))
-    return kpi.index_metrics(long(counts.filter(c("fy") == FY), 0), plan, long(last_year, 1), t.weeks)
+            .select("metric", "fy", "qtr", "team", "week", c("forecast").alias("value"),
+                    F.lit("forecast").alias("role")))
+    return kpi.indexes(counted.unionByName(plan), t.weeks)
 
 
 @query("index_metrics", "SELECT * FROM v_index")

@@ -18,15 +18,17 @@ def dims(spark):
 
 def test_same_rows_as_a_plain_join(spark):
     f, d = facts(spark), dims(spark)
-    got, want = joins.left_lookup(f, d, ["k"]), f.join(d, ["k"], "left")
-    assert got.columns == want.columns and got.dtypes == want.dtypes
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    want = f.join(d, ["k"], "left")
+    for hot in (joins.HOT, 2, 1):
+        got = joins.left_lookup(f, d, ["k"], hot)
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_a_hot_key_on_the_right_is_split(spark):
     """A third of a history belongs to one account: its rows go to several tasks."""
     small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5k",
-             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
              "spark.sql.shuffle.partitions": "32",
              "spark.sql.autoBroadcastJoinThreshold": "-1"}
@@ -38,7 +40,7 @@ def test_a_hot_key_on_the_right_is_split(spark):
             F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997).alias("k"),
             F.col("id").alias("n"))
         accounts = spark.range(1000).select(F.col("id").alias("k"))
-        joined = joins.left_lookup(accounts, history, ["k"])
+        joined = joins.left_lookup(accounts, history, ["k"], hot=4_000)
         sizes = [r.n for r in joined.groupBy(F.spark_partition_id()).agg(
             F.count_if(F.col("k") == 0).alias("n")).collect()]
         assert sum(sizes) > 20_000 and max(sizes) < 0.6 * sum(sizes)
@@ -49,6 +51,30 @@ def test_a_hot_key_on_the_right_is_split(spark):
             spark.conf.set(k, v)
 
 
+def scans(df, table):
+    """How often the final plan reads a table's file."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return sum("FileScan" in line and f"{table}.parquet" in line for line in final.splitlines())
+
+
+def test_histories_are_read_once(spark):
+    from conftest import SF
+
+    from fiscalweave.plans import registry
+
+    q = registry.queries()
+    assert scans(q["join_owner_chain"](spark, SF), "orders") <= 2
+    reuse = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        for name in ("index_metrics", "dashboard_run"):
+            assert scans(q[name](spark, SF), "lineitem") == 1, name
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+
+
 def test_hot_copies_and_accounts_give_whole_results(spark):
     """A third of the bookings is one row copied, a third is one account: nothing is lost."""
     import datetime as dt
