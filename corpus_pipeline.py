@@ -54,11 +54,10 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     the documents alone, so it is the same when it is worked out from what that stage kept. Null and
     empty texts have no tokens; other columns are left behind; an empty table gives an empty one.
     """
-    encoded = bpe.bpe_ids_and_digests(docs, public_tokenizers.path("word_bpe_49k.json"),
-                                      keep=("source",))
-    mixed = mixing.mixed(encoded)
-    return mixed.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256", "mix_slot",
-                        "mix_row")
+    encoded = bpe.bpe_ids_and_digests(mixing.mixed(docs), public_tokenizers.path("word_bpe_49k.json"),
+                                      keep=("mix_slot", "mix_row"))
+    return encoded.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256", "mix_slot",
+                          "mix_row")
 
 
 STAGES = [
