@@ -27,10 +27,10 @@ _PAIR = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 
 @dataclass(frozen=True)
 class Settings:
-    """``base`` of the count scale; ``bits`` of filter per stored level, lowered only where the
-    whole filter would pass ``max_bytes``, the proven bound of what is broadcast (the error rate
-    rises then, no n-gram is left out); ``probes`` per level; ``pair_weight`` of the pair's
-    relative frequency. ``hot_words`` bounds the exact counts of frequent words that are broadcast
+    """``base`` of the count scale; ``bits`` of filter per stored level, at any size; ``probes`` per
+    level; ``pair_weight`` of the pair's relative frequency. A filter of up to ``max_bytes`` is
+    broadcast as a whole; a larger one is sent in slices of about ``slice_bytes`` to the tasks that
+    hold the slice's n-grams. The bits are the same, and so are the scores. ``hot_words`` bounds the exact counts of frequent words that are broadcast
     for the base score; other words are joined. ``shard_bytes`` of text fill one shard of the
     counting, so shards grow in number and not in size."""
 
@@ -38,7 +38,8 @@ class Settings:
     bits: float = 8.0
     probes: int = 5
     pair_weight: float = 0.4
-    max_bytes: int = 1 << 29
+    max_bytes: int = 1 << 27
+    slice_bytes: int = 1 << 22
     hot_words: int = 1 << 18
     shard_bytes: int = 6 << 20
     flush: int = 3_000_000
@@ -107,10 +108,14 @@ def build_filter(keys: np.ndarray, counts: np.ndarray, s: Settings, bits: float)
     return np.packbits(found, bitorder="little")
 
 
+def shard_of(keys: np.ndarray, shard_bits: int) -> np.ndarray:
+    return ((keys >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits
+            else np.zeros(len(keys), np.int64))
+
+
 def levels_of(keys: np.ndarray, model: dict) -> np.ndarray:
     """The level of each key by asking for one level after the other until it is missed."""
-    shard = (keys >> np.uint64(64 - model["shard_bits"])).astype(np.int64) \
-        if model["shard_bits"] else np.zeros(len(keys), np.int64)
+    shard = shard_of(keys, model["shard_bits"]) - model["first"]
     sizes, starts, data = model["sizes"][shard], model["starts"][shard], model["data"]
     out, alive = np.zeros(len(keys), np.int64), np.arange(len(keys))
     for level in range(1, len(model["values"])):
@@ -171,11 +176,12 @@ def count_ngrams(texts: DataFrame, s: Settings, shard_bits: int) -> DataFrame:
     return texts.mapInArrow(count, "shard int, pairs boolean, keys binary, counts binary")
 
 
-def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[dict, DataFrame]:
-    """(model, exact word counts) of a frame with one string column.
+def train(texts: DataFrame, settings: Settings = Settings()
+          ) -> tuple[dict, DataFrame, DataFrame]:
+    """(model, exact word counts, filters) of a frame with one string column.
 
-    The model has the filter, the number N of tokens and V of distinct tokens; the counts are a
-    written table (shard, keys array<long>, counts array<long>).
+    The model has the number N of tokens and V of distinct tokens; the counts are a written table
+    (word, c), the filters one of (shard, pairs, data), of about as many bytes as levels are stored.
     """
     s, spark = settings, texts.sparkSession
     scratch = Scratch(spark, "bloom-lm")
@@ -207,15 +213,12 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[dict, Data
         count_ngrams(texts, s, shard_bits).repartition(shards, "shard").groupBy("shard")
         .applyInArrow(merge, "shard int, pairs boolean, levels long, keys binary, counts binary"),
         "ngrams")
-    levels = counted.agg(F.sum("levels")).first()[0] or 0
-    bits = min(s.bits, 8.0 * s.max_bytes / max(1, levels + 128 * shards))
-
     def filters(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
                 counts = unpacked(batch.column("counts")[i].as_buffer(), len(keys))
-                data = build_filter(keys, counts, s, bits)
+                data = build_filter(keys, counts, s, s.bits)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("shard")[i:i + 1], batch.column("pairs")[i:i + 1],
                      pa.array([data.tobytes()], pa.binary())], ["shard", "pairs", "data"])
@@ -224,14 +227,6 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[dict, Data
         counted.mapInArrow(filters, "shard int, pairs boolean, data binary"), "filters")
     model = {"shard_bits": shard_bits, "probes": s.probes, "values": s.values(),
              "pair_weight": s.pair_weight}
-    for pairs in (False, True):
-        rows = built.filter(F.col("pairs") == pairs).select("shard", "data").toArrow()
-        by = dict(zip(rows.column("shard").to_pylist(), rows.column("data"), strict=True))
-        parts = [np.frombuffer(by[i].as_buffer(), np.uint8) if i in by else np.zeros(8, np.uint8)
-                 for i in range(shards)]
-        model["pairs" if pairs else "words"] = {
-            "data": np.concatenate(parts), "sizes": np.array([8 * len(p) for p in parts], np.uint64),
-            "starts": np.cumsum([0, *map(len, parts)])[:-1]}
 
     def unpack(batches):
         for batch in batches:
@@ -249,8 +244,30 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[dict, Data
                           "words")
     got = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     model["N"], model["V"] = int(got.n or 0), int(got.v)
-    scratch.drop(counted, built)
-    return model, words
+    scratch.drop(counted)
+    return model, words, built
+
+
+def placed_filters(rows, shards: int, first: int = 0) -> dict:
+    """{'data', 'sizes', 'starts'} of the filters of ``shards`` shards from ``first`` on, of rows
+    (shard, data); a shard without a row has an empty filter."""
+    sizes = np.full(shards, 8, np.int64)
+    rows = [(shard - first, data) for shard, data in rows]
+    for at, data in rows:
+        sizes[at] = len(data)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.zeros(int(starts[-1]), np.uint8)
+    for at, data in rows:
+        out[starts[at]:starts[at + 1]] = np.frombuffer(data, np.uint8)
+    return {"data": out, "sizes": (8 * sizes).astype(np.uint64), "starts": starts[:-1],
+            "first": first}
+
+
+def fetched(built: DataFrame, shards: int) -> dict[str, dict]:
+    """The filters of words and pairs on the driver, a partition at a time."""
+    return {"pairs" if pairs else "words": placed_filters(
+        ((r.shard, r.data) for r in built.filter(F.col("pairs") == pairs)
+         .toLocalIterator()), shards) for pairs in (False, True)}
 
 
 def hot_counts(words: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
@@ -270,6 +287,160 @@ def hot_counts(words: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray
     return floor, keys[order], np.array(got.column("c"), dtype=np.int64)[order]
 
 
+def distinct_keys(block: tb.Block):
+    """(words, their places, pairs, their places) of a block: the sorted distinct n-grams, where
+    each token has its own, and the stand-in for what is before a text among the words."""
+    tokens, before, text = token_stream(block)
+    kinds, of = np.unique(np.append(tokens, BEGIN), return_inverse=True)
+    pairs, of_pair = np.unique(pair_keys(before, tokens), return_inverse=True)
+    return kinds, of, pairs, of_pair, text
+
+
+def scored_block(block: tb.Block, keys, level: np.ndarray, pair_level: np.ndarray, known: dict):
+    """(tokens, score, gain of frequent words, known frequent words, other words and their number
+    per text, the other words, how often each occurs) of the texts of a block."""
+    kinds, of, _, of_pair, text = keys
+    low, m = known["values"], block.n
+    high = np.append(low[1:], low[-1] * 2) - 1
+    begin, of = of[-1], of[:-1]
+    ahead = np.empty(len(of), np.int64)
+    ahead[1:] = level[of][:-1]
+    ahead[block.first[:-1] + np.arange(m)] = level[begin]
+    chance = known["weight"] * low[pair_level][of_pair] / np.maximum(high[ahead], 1.0)
+    chance = chance + (1 - known["weight"]) * ((low[level] + 1) / known["total"])[of]
+    score = np.bincount(text, np.log10(np.minimum(chance, 1.0)), m)
+
+    hot = known["hot"]
+    place = np.searchsorted(hot, kinds)
+    place[place == len(hot)] = 0
+    is_hot = (hot[place] == kinds) if len(hot) else np.zeros(len(kinds), bool)
+    per = np.where(is_hot, known["gain"][place] if len(hot) else 0.0, 0.0)
+    # A filter never misses what it holds: level 0 is a count of 0 for certain.
+    open_ = ((level > 0) & ~is_hot)[of]
+    owner, which, times = tb.distinct(text[open_], of[open_])
+    return (block.counts + 1, score, np.bincount(text, per[of], m),
+            np.bincount(text, is_hot[of], m).astype(np.int64),
+            np.bincount(owner, minlength=m), kinds[which], times)
+
+
+_NAMES = ["id", "held", "row", "n_tokens", "n_known", "hot_base", "score", "rare", "rare_n"]
+
+
+def _scored_schema(id_type: T.DataType) -> T.StructType:
+    long, double = T.LongType(), T.DoubleType()
+    kinds = [id_type, T.BooleanType(), long, long, long, double, double, T.ArrayType(long),
+             T.ArrayType(long)]
+    return T.StructType([T.StructField(n, k) for n, k in zip(_NAMES, kinds, strict=True)])
+
+
+def _result(ids, held, row, blocks: list) -> pa.RecordBatch:
+    tokens, score, base, hot, lengths, rare, rare_n = (
+        np.concatenate([b[i] for b in blocks]) if blocks else np.zeros(0, np.int64) for i in range(7))
+    ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int64)))
+             for x in (tb.signed(rare.astype(np.uint64)), rare_n)]
+    return pa.RecordBatch.from_arrays(
+        [ids, held, row, pa.array(tokens.astype(np.int64)), pa.array(hot.astype(np.int64)),
+         pa.array(base.astype(float)), pa.array(score.astype(float)), *lists], _NAMES)
+
+
+def _scored_whole(rows: DataFrame, model: dict, known: dict, id_type: T.DataType) -> DataFrame:
+    """Scores with the whole filter sent to every worker."""
+    sent = rows.sparkSession.sparkContext.broadcast({"model": model, "known": known})
+
+    def score(batches):
+        model, known = sent.value["model"], sent.value["known"]
+        common = {k: model[k] for k in ("shard_bits", "probes", "values")}
+        ask = {k: common | model[k] for k in ("words", "pairs")}
+        for batch in batches:
+            done = []
+            for block in tb.blocks(batch.column(2), lower=True):
+                keys = distinct_keys(block)
+                done.append(scored_block(block, keys, levels_of(keys[0], ask["words"]),
+                                         levels_of(keys[2], ask["pairs"]), known))
+            yield _result(batch.column(0), batch.column(1), batch.column(3), done)
+
+    return rows.mapInArrow(score, _scored_schema(id_type))
+
+
+def _scored_in_slices(rows: DataFrame, model: dict, built: DataFrame, size: int, known: dict,
+                      id_type: T.DataType, s: Settings, scratch: Scratch) -> DataFrame:
+    """Scores with a filter of any size, none of which passes the driver.
+
+    Texts are put into blocks. The distinct n-grams of a block, which are sorted by their hash and
+    so by shard, go to the tasks that hold the slice of the filter they belong to, and their levels
+    come back to the block, a byte each. An n-gram moves once per block, however often it occurs.
+    """
+    shards = 1 << model["shard_bits"]
+    per = 1  # shards of a slice, a power of two
+    while per < shards and size * per / shards < s.slice_bytes:
+        per *= 2
+    names, shard_bits, probes, values = rows.columns, model["shard_bits"], model["probes"], model["values"]
+
+    def pack(batches):
+        for batch in batches:
+            for block in tb.blocks(batch.column(2), lower=False):
+                some = batch.slice(block.rows.start, block.rows.stop - block.rows.start)
+                ends = pa.array([0, some.num_rows], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(3).slice(0, 1), *[pa.ListArray.from_arrays(
+                        ends, pa.concat_arrays([c])) for c in some.columns]], ["block", *names])
+
+    lists = T.StructType([T.StructField("block", T.LongType()), *[
+        T.StructField(f.name, T.ArrayType(f.dataType)) for f in rows.schema.fields]])
+    packed = scratch.write(rows.mapInArrow(pack, lists), "blocks")
+
+    def ask(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys = distinct_keys(next(tb.blocks(batch.column("text")[i].values, True, 1 << 62)))
+                for pairs, found in ((False, keys[0]), (True, keys[2])):
+                    part = shard_of(found, shard_bits) // per
+                    cuts = np.flatnonzero(np.diff(part)) + 1
+                    lo, hi = [0, *cuts], [*cuts, len(found)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(np.array(batch.column("block")[i].as_py()), len(lo))),
+                         pa.array(part[lo].astype(np.int32)), pa.array([pairs] * len(lo)),
+                         pa.array([found[a:b].tobytes() for a, b in zip(lo, hi, strict=True)],
+                                  pa.binary())], ["block", "slice", "pairs", "keys"])
+
+    asked = packed.select("block", "text").mapInArrow(
+        ask, "block long, slice int, pairs boolean, keys binary")
+
+    def probe(key, filters, asked):
+        first = key[0].as_py() * per
+        got = filters.to_pylist()
+        parts = {pairs: {"shard_bits": shard_bits, "probes": probes, "values": values}
+                 | placed_filters(((r["shard"], r["data"]) for r in got if r["pairs"] == pairs),
+                                  per, first) for pairs in (False, True)}
+        levels = [levels_of(np.frombuffer(k.as_buffer(), np.uint64), parts[p]).astype(np.uint8)
+                  .tobytes() for p, k in zip(asked.column("pairs").to_pylist(),
+                                             asked.column("keys"), strict=True)]
+        return pa.table({"block": asked.column("block"), "slice": asked.column("slice"),
+                         "pairs": asked.column("pairs"), "levels": pa.array(levels, pa.binary())})
+
+    sliced = built.withColumn("slice", F.floor(F.col("shard") / per).cast("int"))
+    levels = sliced.groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(
+        probe, "block long, slice int, pairs boolean, levels binary")
+
+    def score(key, block, levels):
+        row = block.slice(0, 1)
+        texts = row.column("text").combine_chunks().flatten()
+        whole = next(tb.blocks(texts, True, 1 << 62))
+        levels = levels.sort_by("slice")
+        flag = np.array(levels.column("pairs"))
+        found = levels.column("levels").to_pylist()
+        level, pair = (np.frombuffer(b"".join(x for x, p in zip(found, flag, strict=True)
+                                              if p == pairs), np.uint8).astype(np.int64)
+                       for pairs in (False, True))
+        done = scored_block(whole, distinct_keys(whole), level, pair, known)
+        ids, held, number = (row.column(c).combine_chunks().flatten() for c in ("id", "held", "row"))
+        return pa.Table.from_batches([_result(ids, held, number, [done])])
+
+    return packed.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(
+        score, _scored_schema(id_type))
+
+
 def lm_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text",
               settings: Settings = Settings()) -> DataFrame:
     """One row per input row: (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
@@ -285,75 +456,21 @@ def lm_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: s
     Words are told apart by 64-bit hashes of their bytes.
     """
     s, spark = settings, docs.sparkSession
+    scratch = Scratch(spark, "lm-scores")
     rows = docs.select(F.col(id_col).alias("id"), held.alias("held"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    model, words = train(rows.filter(~F.col("held")).select("text"), s)
+    model, words, built = train(rows.filter(~F.col("held")).select("text"), s)
     floor, hot, hot_n = hot_counts(words, s.hot_words)
-    sent = spark.sparkContext.broadcast(
-        {"model": model, "hot": hot, "gain": np.log10(hot_n + 1.0)})
-
-    def score(batches):
-        model = sent.value["model"]
-        common = {k: model[k] for k in ("shard_bits", "probes", "values")}
-        ask = {k: common | model[k] for k in ("words", "pairs")}
-        hot, gain = sent.value["hot"], sent.value["gain"]
-        low = model["values"]
-        high = np.append(low[1:], low[-1] * 2) - 1
-        weight, total = model["pair_weight"], model["N"] + model["V"] + 1.0
-        for batch in batches:
-            n, cols = batch.num_rows, {}
-            for name, kind in (("n_tokens", np.int64), ("n_known", np.int64),
-                               ("hot_base", float), ("score", float)):
-                cols[name] = np.zeros(n, kind)
-            rare, rare_n, lengths = [], [], np.zeros(n, np.int64)
-            for block in tb.blocks(batch.column(2), lower=True):
-                tokens, before, text = token_stream(block)
-                at, m = block.rows, block.n
-                kinds, of = np.unique(tokens, return_inverse=True)
-                level = levels_of(kinds, ask["words"])
-                pairs, of_pair = np.unique(pair_keys(before, tokens), return_inverse=True)
-                pair = low[levels_of(pairs, ask["pairs"])][of_pair]
-                ahead = np.empty(len(tokens), np.int64)
-                ahead[1:] = level[of][:-1]
-                starts = block.first[:-1] + np.arange(m)
-                ahead[starts] = levels_of(np.full(1, BEGIN), ask["words"])[0]
-                chance = weight * pair / np.maximum(high[ahead], 1.0)
-                chance = chance + (1 - weight) * ((low[level] + 1) / total)[of]
-                cols["score"][at] = np.bincount(text, np.log10(np.minimum(chance, 1.0)), m)
-                cols["n_tokens"][at] = block.counts + 1
-
-                place = np.searchsorted(hot, kinds)
-                place[place == len(hot)] = 0
-                is_hot = (hot[place] == kinds) if len(hot) else np.zeros(len(kinds), bool)
-                per = np.where(is_hot, gain[place] if len(hot) else 0.0, 0.0)
-                cols["hot_base"][at] = np.bincount(text, per[of], m)
-                cols["n_known"][at] = np.bincount(text, is_hot[of], m).astype(np.int64)
-                # A filter never misses what it holds: level 0 is a count of 0 for certain.
-                open_ = ((level > 0) & ~is_hot)[of]
-                owner, which, times = tb.distinct(text[open_], of[open_])
-                rare.append(kinds[which])
-                rare_n.append(times)
-                lengths[at] = np.bincount(owner, minlength=m)
-            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            rare = np.concatenate(rare) if rare else np.zeros(0, np.uint64)
-            rare_n = np.concatenate(rare_n) if rare_n else np.zeros(0, np.int64)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x))
-                     for x in (tb.signed(rare), rare_n)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(3),
-                 *[pa.array(cols[c]) for c in ("n_tokens", "n_known", "hot_base", "score")],
-                 *lists],
-                ["id", "held", "row", "n_tokens", "n_known", "hot_base", "score", "rare",
-                 "rare_n"])
-
-    long, double = T.LongType(), T.DoubleType()
-    fields = [("id", docs.schema[id_col].dataType), ("held", T.BooleanType()), ("row", long),
-              ("n_tokens", long), ("n_known", long), ("hot_base", double), ("score", double),
-              ("rare", T.ArrayType(long)), ("rare_n", T.ArrayType(long))]
-    schema = T.StructType([T.StructField(n, k) for n, k in fields])
-    scored = Scratch(spark, "lm-scores").write(
-        rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(score, schema),
-        "scores")
+    known = {"hot": hot, "gain": np.log10(hot_n + 1.0), "values": model["values"],
+             "weight": model["pair_weight"], "total": model["N"] + model["V"] + 1.0}
+    id_type = docs.schema[id_col].dataType
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    size = built.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    if size <= s.max_bytes:
+        scored = _scored_whole(rows, model | fetched(built, 1 << model["shard_bits"]), known, id_type)
+    else:
+        scored = _scored_in_slices(rows, model, built, size, known, id_type, s, scratch)
+    scored = scratch.write(scored, "scores")
 
     seen = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x"))
     seen = seen.select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("n"))

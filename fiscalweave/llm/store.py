@@ -2,26 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of its own only for a local session
-    without one, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = tempfile.mkdtemp(prefix="llm-")
-    return _own[app]
+from fiscalweave.sources.sinks import shared_dir
 
 
 class Scratch:
@@ -32,7 +17,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
     def write(self, df: DataFrame, name: str) -> DataFrame:

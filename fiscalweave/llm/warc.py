@@ -15,7 +15,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalweave.llm.store import Scratch, shared_dir
+from fiscalweave.llm.store import Scratch
+from fiscalweave.sources.sinks import shared_dir
 
 #: Bytes of an archive that one task reads, bytes of an archive before the next one is begun, bytes
 #: of payload in one Arrow batch.
