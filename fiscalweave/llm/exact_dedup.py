@@ -47,14 +47,13 @@ def _splitters(keys: DataFrame, parts: int) -> list[str]:
     return sorted({sample[len(sample) * i // parts] for i in range(1, parts)} if sample else [])
 
 
-def _ranked(docs: DataFrame, id_col: str, text_col: str, keep: str, partitions: int | None,
-            carry: dict[str, Column]) -> DataFrame:
-    """``carry`` and (id_, text_, part_, salt_, group_, best_) of every row, the text normalised.
-
-    Equal texts are neighbours in one sorted part and are told apart from the texts beside them by
-    comparing them in full: ``group_`` numbers the different texts of a (part_, salt_). ``best_``
-    marks the rows with the identifier to keep among the group. Groups of hot texts are one for
-    each salt.
+def _grouped(docs: DataFrame, id_col: str, text_col: str, keep: str, partitions: int | None,
+             carry: dict[str, Column]) -> DataFrame:
+    """``carry`` and (id_, text_, salt_, group_, keep_, size_) of every row, the text normalised.
+
+    Equal texts are neighbours in one sorted part and are told apart from the text before them by
+    comparing both in full. ``group_`` is the row number of one row of a group, ``keep_`` the
+    identifier to keep, ``size_`` the rows. Groups of hot texts are one for each salt.
     """
     spark = docs.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -74,7 +73,8 @@ def _ranked(docs: DataFrame, id_col: str, text_col: str, keep: str, partitions:
 
     # Second pass: a text goes to the range of its key; a hot one to as many places as it has salts.
     rows = docs.select(*[c.alias(f"carry_{n}") for n, c in carry.items()],
-                       F.col(id_col).alias("id_"), text.alias("text_")).withColumn(
+                       F.col(id_col).alias("id_"), text.alias("text_"),
+                       F.monotonically_increasing_id().alias("row_")).withColumn(
         "mark_", F.xxhash64("text_"))
     is_hot = F.col("mark_").isin(hot) if hot else F.lit(False)
     salt = F.when(is_hot, F.pmod(F.xxhash64("id_"), F.lit(SALTS)) + 1).otherwise(0).cast("int")
@@ -82,13 +82,11 @@ def _ranked(docs: DataFrame, id_col: str, text_col: str, keep: str, partitions:
     part = F.when(F.col("salt_") == 0, range_of(head, cuts)).otherwise(
         F.pmod(F.xxhash64("mark_", "salt_"), F.lit(parts)))
     rows = rows.withColumn("part_", part.cast("int")).drop("mark_")
-    order = F.col("id_").desc_nulls_last() if keep == "max" else F.col("id_").asc_nulls_last()
-    place = Window.partitionBy("part_", "salt_")
-    first = F.rank().over(place.orderBy("text_", order))
+    best = F.max if keep == "max" else F.min
+    group = Window.partitionBy("part_", "salt_", "text_")  # sorted by text within a part
     return (rows.repartitionById(parts, F.col("part_"))
-            .withColumn("best_", first)
-            .withColumn("best_", F.col("best_") == F.rank().over(place.orderBy("text_")))
-            .withColumn("group_", F.dense_rank().over(place.orderBy("text_"))))
+            .withColumns({"keep_": best("id_").over(group), "size_": F.count("*").over(group),
+                          "group_": F.min("row_").over(group)}))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -113,29 +111,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     best = F.max if keep == "max" else F.min
     scratch = Scratch(docs.sparkSession, "exact")
-    ranked = _ranked(docs, id_col, text_col, keep, partitions, {})
-    group = Window.partitionBy("part_", "salt_", "group_")
-    one = F.row_number().over(Window.partitionBy("part_", "salt_").orderBy("text_"))
-    slim = ranked.withColumn("one_", one == F.rank().over(
-        Window.partitionBy("part_", "salt_").orderBy("text_"))).select(
-        "id_", "part_", "salt_", "group_", F.sha2("text_", 256).alias("text_sha256"),
-        F.when(F.col("one_") & (F.col("salt_") > 0), F.col("text_")).alias("text_"))
-    slim = scratch.write(slim.withColumns({"keep_id": best("id_").over(group),
-                                           "group_size": F.count("*").over(group)}), "groups")
+    one = F.when((F.col("row_") == F.col("group_")) & (F.col("salt_") > 0), F.col("text_"))
+    slim = scratch.write(_grouped(docs, id_col, text_col, keep, partitions, {}).select(
+        "id_", "salt_", "group_", "keep_", "size_", F.sha2("text_", 256).alias("text_sha256"),
+        one.alias("text_")), "groups")
     hot = F.broadcast(_put_together(slim.filter(F.col("text_").isNotNull()), best))
-    keys = ["part_", "salt_", "group_"]
-    return (slim.join(hot, keys, "left").withColumns({
-        "keep_id": F.when(F.col("salt_") > 0, F.col("all_keep")).otherwise(F.col("keep_id")),
-        "group_size": F.coalesce("all_size", "group_size")})
-        .select(F.col("id_").alias(id_col), "keep_id", "group_size",
-                F.col("id_").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
+    keep_id = F.when(F.col("salt_") > 0, F.col("all_keep")).otherwise(F.col("keep_"))
+    return (slim.join(hot, "group_", "left").select(
+        F.col("id_").alias(id_col), keep_id.alias("keep_id"),
+        F.coalesce("all_size", "size_").alias("group_size"),
+        F.col("id_").eqNullSafe(keep_id).alias("kept"), "text_sha256"))
 
 
 def _put_together(partial: DataFrame, best) -> DataFrame:
     """The whole of each hot text for its partial groups; at most SALTS / HOT_SHARE rows."""
     whole = Window.partitionBy("text_")
-    return partial.select("part_", "salt_", "group_", best("keep_id").over(whole).alias("all_keep"),
-                          F.sum("group_size").over(whole).alias("all_size"))
+    return partial.select("group_", best("keep_").over(whole).alias("all_keep"),
+                          F.sum("size_").over(whole).alias("all_size"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -144,16 +136,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows that repeat identifier and text, all stay: nothing tells them apart."""
     best = F.max if keep == "max" else F.min
     scratch = Scratch(docs.sparkSession, "exact")
-    ranked = _ranked(docs, id_col, text_col, keep, None,
-                     {str(i): F.col(f"`{c}`") for i, c in enumerate(docs.columns)})
+    grouped = _grouped(docs, id_col, text_col, keep, None,
+                       {str(i): F.col(f"`{c}`") for i, c in enumerate(docs.columns)})
     carried = [f"carry_{i}" for i in range(len(docs.columns))]
     hot_text = F.when(F.col("salt_") > 0, F.col("text_")).alias("text_")
-    kept = scratch.write(ranked.filter("best_").select(
-        *carried, "id_", "part_", "salt_", "group_", hot_text), "kept")
-    partial = (kept.filter("salt_ > 0").groupBy("part_", "salt_", "group_")
-               .agg(F.first("text_").alias("text_"), F.first("id_").alias("keep_id"),
-                    F.count("*").alias("group_size")))
+    kept = scratch.write(grouped.filter(F.col("id_").eqNullSafe(F.col("keep_"))).select(
+        *carried, "id_", "salt_", "group_", "keep_", "size_", hot_text), "kept")
+    partial = kept.filter("salt_ > 0").groupBy("group_").agg(
+        *[F.first(c).alias(c) for c in ("text_", "keep_", "size_")])
     hot = F.broadcast(_put_together(partial, best))
     stays = (F.col("salt_") == 0) | F.col("id_").eqNullSafe(F.col("all_keep"))
-    return (kept.join(hot, ["part_", "salt_", "group_"], "left").filter(stays)
+    return (kept.join(hot, "group_", "left").filter(stays)
             .select(*[F.col(c).alias(name) for c, name in zip(carried, docs.columns, strict=True)]))
