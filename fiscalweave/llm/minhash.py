@@ -74,9 +74,10 @@ def signatures(values: np.ndarray, starts: np.ndarray, s: Settings) -> np.ndarra
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
-    """(id, n, s1, s2, bands array<long>, sig binary) per row; n = 0 has no bands.
+    """(id, n, s1, s2, bands array<long>, sig binary, mark) per row; n = 0 has no bands.
 
-    s1 and s2 identify the set; sig has one byte of each signature value.
+    s1 and s2 identify the set; sig has one byte of each signature value; mark tells the texts of
+    one identifier apart.
     """
     def sketch(batches):
         for batch in batches:
@@ -107,10 +108,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFr
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[block.rows], pa.array(n.astype(np.int64)),
                      pa.array(tb.signed(s1)), pa.array(tb.signed(s2)), bands,
-                     pa.array(sig, pa.binary())], ["id", "n", "s1", "s2", "bands", "sig"])
+                     pa.array(sig, pa.binary()), batch.column(2)[block.rows]],
+                    ["id", "n", "s1", "s2", "bands", "sig", "mark"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        sketch, "id long, n long, s1 long, s2 long, bands array<long>, sig binary")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).cast("long"), text, F.xxhash64(text)).mapInArrow(
+        sketch, "id long, n long, s1 long, s2 long, bands array<long>, sig binary, mark long")
 
 
 def agreement(one: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -199,7 +202,7 @@ def later_links(members: DataFrame, sigs: DataFrame, texts: DataFrame, roots: Da
     first. A link makes two groups of the task one, so only links that join groups leave it.
     """
     named = (members.join(roots, "id", "left")
-             .select("bucket", "id", F.coalesce("root", F.col("id")).alias("root")))
+             .select("bucket", "id", "mark", F.coalesce("root", F.col("id")).alias("root")))
     sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     split = (sizes.groupBy("bucket")
              .agg(F.sum("n").alias("all"), F.count("*").alias("groups"),
@@ -210,7 +213,7 @@ def later_links(members: DataFrame, sigs: DataFrame, texts: DataFrame, roots: Da
                      F.ceil((F.col("all") - F.col("top.n")) / s.tile).cast("int").alias("parts")))
     if across:
         split = split.filter("tiles > 1")
-    held = named.join(split, "bucket").join(sigs, "id").join(texts, "id")
+    held = named.join(split, "bucket").join(sigs, ["id", "mark"]).join(texts, ["id", "mark"])
     cols = ["bucket", "tile", "part", "id", "root", "sig", "text"]
     tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int")
@@ -268,20 +271,25 @@ def near_groups(docs: DataFrame, settings: Settings = Settings(), id_col: str =
     full = drawn.filter("n > 0 AND id IS NOT NULL")
     # Documents with the same set, and the same document with several sets, are linked already.
     sets = full.groupBy("s1", "s2").agg(F.min("id").alias("first"), F.count("*").alias("copies"),
-                                        F.first(F.struct("bands", "sig")).alias("x"))
+                                        F.first(F.struct("bands", "sig", "mark", "id")).alias("x"))
     sets = scratch.write(sets, "sets")
     same = (full.select("id", "s1", "s2").join(
         sets.filter("copies > 1").select("s1", "s2", "first"), ["s1", "s2"])
         .filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")))
-    sigs = sets.groupBy(F.col("first").alias("id")).agg(F.first("x.sig").alias("sig"))
-    dealt = sets.select(F.col("first").alias("id"), F.explode("x.bands").alias("bucket"))
+    # A set is looked at through one of its texts, whose document is linked with all others of it.
+    sigs = sets.select("x.id", "x.mark", "x.sig").distinct()
+    dealt = sets.select("x.id", "x.mark", F.explode("x.bands").alias("bucket"))
     shared = (dealt.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("other"))
               .filter("leader <> other").select("bucket", "leader"))
     members = scratch.write(dealt.join(shared, "bucket"), "members")
     texts = scratch.write(
         docs.select(F.col(id_col).cast("long").alias("id"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-        .join(members.select("id").distinct(), "id", "left_semi"), "texts")
+        .withColumn("mark", F.xxhash64("text"))
+        .join(members.select("id", "mark").distinct(), ["id", "mark"], "left_semi"), "texts")
+    if texts.groupBy("id", "mark").count().filter("count > 1").head(1):
+        # Rows that repeat identifier and text are one.
+        texts = scratch.write(texts.groupBy("id", "mark").agg(F.first("text").alias("text")), "texts")
 
     found = scratch.write(same.unionByName(
         confirmed(scratch.write(first_pairs(members), "pairs"), texts, s)), "links")
