@@ -11,6 +11,7 @@ Overlapping repeated runs make up the maximal repeats.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -27,6 +28,8 @@ GRAM = 16
 #: Bits of the map of repeated anchors that is broadcast (8 MB whatever the data). It only spares
 #: rows: an anchor that it lets through wrongly is found to be alone by the exact count.
 MAP_BITS = 1 << 26
+#: Bytes of text whose anchors are counted together.
+SHARD_BYTES = 32 << 20
 #: Anchors a task gathers before it counts them and sends them on.
 FLUSH = 4_000_000
 
@@ -63,7 +66,7 @@ def anchors(block: tb.Block, length: int):
     lo = np.flatnonzero(new)
     hi = np.append(lo[1:], len(place)) - 1
     owner, place, lo, hi = owner[lo], place[lo], start[lo], start[hi]
-    around = tb.run_hashes(words, lo, hi + length, 1)
+    around = tb.run_hashes(block.hashes(1), lo, hi + length, 1)
     around = tb.mix(around + (place - lo).astype(np.uint64) * np.uint64(tb.BASES[0]))
     return value[place], owner, place, lo, hi, around
 
@@ -138,7 +141,8 @@ def repeated_spans(docs: DataFrame, length: int = 35, text_col: str = "text",
     the same spans."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
-    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
+    shards = max(8, math.ceil(size / SHARD_BYTES))  # a shard's anchors fit a task at any size
     rows = docs.select(*keys, text_col)
     found = scratch.write(repeated_anchors(docs.select(text_col), length, shards), "anchors")
     sent = spark.sparkContext.broadcast(anchor_map(found))
@@ -196,10 +200,9 @@ def repeated_spans(docs: DataFrame, length: int = 35, text_col: str = "text",
                 start += np.repeat(lo, many)
                 text, alone = np.repeat(owner, many), np.repeat(alone_all[a:b], many)
                 at = start + block.first[text]
-                words = block.hashes()
                 row = pa.array(text + block.rows.start)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tb.signed(tb.run_hashes(words, at, at + length, f)))
+                    [pa.array(tb.signed(tb.run_hashes(block.hashes(f), at, at + length, f)))
                      for f in (0, 1)]
                     + [batch.column(0).take(row), batch.column(1).take(row),
                        pa.array(start.astype(np.int32)), pa.array(alone)],
@@ -228,7 +231,10 @@ def remove_repeats(docs: DataFrame, result: Callable, made: T.StructType, length
     and text are copies of each other and lose what they share, as any copies do. An empty table
     gives no rows; other columns are not looked at.
 
-    Runs are told apart by 128 bits of hash: anchor and surroundings, or two hashes of the run.
+    Runs are told apart by 128 bits, anchor and surroundings or two hashes of the run, which start
+    from two independent hashes of each word. Matches are kept as the runs that an anchor stands
+    for and not joined into longer ones: the words that overlapping runs cover are those of the
+    maximal repeats.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     ids = [F.col(c) for c in keep]
