@@ -92,7 +92,59 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           "'abcdefghijklmnopqrstuvwxyz')")
 
+_WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+
 SQL = {
+    "op4_substring_dedup": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w
+                   FROM documents),
+        p AS (SELECT r, w[i] AS word, i, CASE WHEN i + 34 <= len(w)
+                  THEN md5(array_to_string(w[i:i + 34], ' ')) END AS run
+              FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        again AS (SELECT run FROM p WHERE run IS NOT NULL GROUP BY run HAVING count(*) > 1),
+        m AS (SELECT p.*, max(CASE WHEN again.run IS NULL THEN 0 ELSE 1 END) OVER (
+                  PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+              FROM p LEFT JOIN again ON again.run = p.run),
+        k AS (SELECT r, sum(gone) AS n, string_agg(CASE WHEN gone = 0 THEN word END, ' ' ORDER BY i)
+                  AS kept FROM m GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (r)""",
+    "op5_minhash": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS x
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(least(len(w), 1), len(w) - 2) + 1))
+                        AS i FROM d)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+                  FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+                  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM d
+                  UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM d JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+        LEFT JOIN n USING (doc_id)""",
+    "op7_sharding": """
+        WITH t AS (SELECT list_transform(range(256), lambda n: list_reduce(
+                       list_prepend(n, range(8)), lambda u, i: CASE WHEN u % 2 = 1
+                           THEN xor(u >> 1, 3988292384) ELSE u >> 1 END)) AS t),
+        d AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+                     list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                    lambda h: CAST('0x' || h AS BIGINT)) AS bytes
+              FROM documents),
+        c AS (SELECT doc_id, size, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+                  lambda a, b: xor(a >> 8, t[CAST(xor(a, b) & 255 AS INTEGER) + 1]))) AS crc
+              FROM d, t),
+        p AS (SELECT *, sum(size) OVER (ORDER BY doc_id, size, crc ROWS UNBOUNDED PRECEDING) AS upto,
+                     sum(size) OVER () AS total FROM c),
+        q AS (SELECT *, least(7, CAST((2 * upto - size) * 8 // (2 * total) AS INTEGER)) AS shard FROM p)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32,
+               'bytes' AS law, shard, row_number() OVER (
+                   PARTITION BY shard ORDER BY doc_id, size, crc) - 1 AS slot,
+               CAST(NULL AS INTEGER) AS grown_shard
+        FROM q""",
     "op6_exact_dedup": f"""
         WITH n AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,

@@ -97,6 +97,28 @@ def base_scores(rows, held):
             for i, s in streams.items()}
 
 
+def lm_scores(rows, held, base=1.5, weight=0.4):
+    """log10 probabilities from exact counts, brought down or up to the levels of a log scale."""
+    tokens, pairs, streams = Counter(), Counter(), {}
+    for i, t in rows:
+        streams[i] = [0, *words(lower(t)), None]  # 0 for what is before a text, None for its end
+        if not held(i):
+            tokens.update(streams[i])
+            pairs.update(zip(streams[i], streams[i][1:]))
+    total = sum(c for w, c in tokens.items() if w != 0) + sum(1 for w in tokens if w != 0) + 1
+    steps = [0, *sorted({math.ceil(base ** k) for k in range(120)})]
+
+    def level(c):
+        return max(k for k in range(len(steps)) if steps[k] <= c)
+
+    def chance(before, word):
+        high = max(steps[level(tokens[before]) + 1] - 1, 1)
+        pair, low = steps[level(pairs[before, word])], steps[level(tokens[word])]
+        return min(1.0, weight * pair / high + (1 - weight) * (low + 1) / total)
+
+    return {i: sum(math.log10(chance(a, b)) for a, b in zip(s, s[1:])) for i, s in streams.items()}
+
+
 def shard(rows, shards):
     sized = sorted((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))
                    for i, t in rows)

@@ -70,6 +70,18 @@ def test_exact(spark, docs, empty):
     assert exact_dedup.exact_dedup(frame(spark, twice)).count() == 5
 
 
+def test_links_of_any_text_of_a_repeated_identifier(spark):
+    def near(name, other=()):
+        return " ".join(f"{name}{i}" for i in range(80) if i not in other)
+
+    rows = []
+    for k in range(12):  # one document with several texts, each of which has a near copy elsewhere
+        rows += [(1, near(f"t{k}_"))] * 2 + [(100 + k, near(f"t{k}_", (79,))), (200 + k, near(f"t{k}_", (0,)))]
+    rows += [(900, near("alone"))]
+    out = {(r.doc_id, r.component_id) for r in minhash.near_groups(frame(spark, rows)).collect()}
+    assert out == {(i, 1) for i, _ in rows[:-1]} | {(900, 900)}
+
+
 def test_exact_over_many_ranges(spark):
     """Texts that share their first characters, and groups on both sides of every splitter."""
     rows = [(i, "the same beginning of a text, longer than the head of the sort key " * (i % 2)
@@ -87,12 +99,12 @@ def test_exact_over_many_ranges(spark):
 
 
 def test_exact_sorts_and_joins_no_digest(spark, docs):
-    seen = exact_dedup._ranked(docs, "doc_id", "text", "max", 6, {})
+    seen = exact_dedup._grouped(docs, "doc_id", "text", "max", 6, {})
     plan = seen._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan  # one shuffle of the texts
     whole = exact_dedup.exact_groups(docs)._jdf.queryExecution().executedPlan().toString()
     joins = [x for x in whole.splitlines() if "Join" in x]
-    assert len(joins) == 1 and "Join [part_" in joins[0] and "sha2(" not in whole
+    assert len(joins) == 1 and "Join [group_" in joins[0] and "sha2(" not in whole
 
 
 def test_exact_with_a_hot_text(spark):
@@ -248,6 +260,31 @@ def test_lm(spark, docs, empty):
     assert twice.count() == 3
 
 
+def test_lm_scores_from_exact_counts(spark, docs):
+    """With next to no filter errors the scores are those of the exact, quantised counts; at the
+    usual size they stay close."""
+    want = brute.lm_scores(ROWS, lambda i: i % 4 == 0)
+    held = F.col("doc_id") % 4 == 0
+    for bits in (200.0, 8.0):
+        rows = bloom_lm.lm_scores(docs, held, settings=bloom_lm.Settings(bits=bits, shard_bytes=4096)).collect()
+        assert sum(r.score for r in rows) == pytest.approx(sum(want.values()), rel=0.02)
+        off = [abs(r.score - want[r.doc_id]) / r.n_tokens for r in rows]  # per token, in log10
+        assert max(off) < (1e-9 if bits > 100 else 0.5)
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 30, 1 << 17, 1 << 12, 1])
+def test_lm_scores_do_not_depend_on_the_slices(spark, docs, empty, slice_bytes):
+    """The filter whole, in one slice, in a few, and in one for every shard."""
+    held = F.col("doc_id") % 4 == 0
+    cols = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    whole = bloom_lm.lm_scores(docs, held, settings=bloom_lm.Settings(shard_bytes=4096))
+    cut = bloom_lm.Settings(shard_bytes=4096, max_bytes=0, slice_bytes=slice_bytes)
+    same(bloom_lm.lm_scores(docs, held, settings=cut), cols, got(whole, *cols))
+    twice = frame(spark, [(1, "a b"), (1, "a b"), (None, None), (2, "")])
+    assert bloom_lm.lm_scores(twice, F.lit(False), settings=cut).count() == 4
+    assert bloom_lm.lm_scores(empty, F.lit(False), settings=cut).collect() == []
+
+
 def test_filter_never_misses_and_seldom_invents():
     import numpy as np
 
@@ -257,7 +294,7 @@ def test_filter_never_misses_and_seldom_invents():
     counts = rng.geometric(0.1, 20_000)
     data = bloom_lm.build_filter(keys, counts, s, s.bits)
     model = {"shard_bits": 0, "probes": s.probes, "values": s.values(), "data": data,
-             "sizes": np.array([8 * len(data)], np.uint64), "starts": np.array([0])}
+             "sizes": np.array([8 * len(data)], np.uint64), "starts": np.array([0]), "first": 0}
     level, true = bloom_lm.levels_of(keys, model), np.searchsorted(s.values(), counts, "right") - 1
     assert (level >= true).all() and (level > true).mean() < 0.04
     assert (bloom_lm.levels_of(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64), model) > 0).mean() < 0.04
