@@ -15,7 +15,9 @@ import sys
 import unicodedata
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,8 @@ from fiscalweave.llm import bpe_tables
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words a task remembers before it starts anew; longer words are not remembered.
 MEMO, MEMO_LENGTH = 200_000, 64
+#: Bytes of text that are encoded at a time, unless a single text is longer.
+PIECE = 1 << 20
 _NEVER = 1 << 60
 
 
@@ -156,6 +160,28 @@ def unlike(steps: str) -> str:
     return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans) + "]"
 
 
+class Unlike:
+    """Whether a text has a character of the pattern of ``unlike``: the class of a character is
+    looked up once, and characters before the first one of the pattern not at all."""
+
+    def __init__(self, pattern: str):
+        first = int(pattern[3:11], 16)
+        self.odd, self.known = re.compile(pattern).match, {}
+        self.beyond = re.compile(f"[\\U{first:08x}-\\U0010ffff]").search
+
+    def __call__(self, text: str) -> bool:
+        at = None if text.isascii() else self.beyond(text)
+        if at is None:
+            return False
+        for c in set(text[at.start():]):
+            hit = self.known.get(c)
+            if hit is None:
+                hit = self.known[c] = self.odd(c) is not None
+            if hit:
+                return True
+        return False
+
+
 def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.StructType, result,
                 keep: list[str]) -> DataFrame:
     """The ``keep`` columns of every row and what ``result(id strings, token strings)`` gives.
@@ -174,7 +200,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.Struct
 
         encoder, special = Encoder(sent.value), sent.value["special"]
         words = regex.compile(PATTERN).findall
-        odd, theirs = re.compile(sent.value["unlike"]).search, None
+        odd, theirs = Unlike(sent.value["unlike"]), None
         cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         memo: dict[str, tuple[str, str, int]] = {}
 
@@ -193,7 +219,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.Struct
         def split(part: str) -> list[str]:
             """The pre-tokens; by the tokenizer file's own steps where Python's tables differ."""
             nonlocal theirs
-            if part.isascii() or odd(part) is None:
+            if not odd(part):
                 return words(normalise(part))
             theirs = theirs or bpe_tables.splitter(sent.value["steps"])
             return theirs(part)
@@ -209,9 +235,18 @@ def encode_rows(docs: DataFrame, tokenizer: str, text_col: str, schema: T.Struct
             return result([g[0] for g in got], [g[1] for g in got], sum([g[2] for g in got]))
 
         for batch in batches:
-            rows = [row(t or "") for t in map(pa.StringScalar.as_py, batch.column(0))]
-            made = [pa.array([r[i] for r in rows], to_arrow_type(k)) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], [*keep, *names])
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(
+                zero_copy_only=False), dtype=np.int64)
+            lo = 0
+            while lo < batch.num_rows:  # what a batch makes is far larger than its text
+                done = ends[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, done + PIECE, "right")))
+                some = batch.slice(lo, hi - lo)
+                rows = [row(t or "") for t in map(pa.StringScalar.as_py, some.column(0))]
+                made = [pa.array([r[i] for r in rows], to_arrow_type(k))
+                        for i, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*some.columns[1:], *made], [*keep, *names])
+                lo = hi
 
     return (docs.select(F.col(text_col).cast("string"), *[docs[c] for c in keep])
             .mapInArrow(encode, schema))
