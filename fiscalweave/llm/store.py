@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,12 @@ class Scratch:
         out.scratch_path = path
         return out
 
+    def release(self) -> None:
+        """Let the driver collect its garbage: Spark deletes the shuffle files of steps that are
+        done only when the plans behind them are collected, which may otherwise be much later."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)

@@ -34,8 +34,9 @@ SHARD_BYTES = 32 << 20
 FLUSH = 4_000_000
 
 
-def anchors(block: tb.Block, length: int):
-    """(anchor hash, text, place, first run, last run, surroundings hash) for every anchor.
+def anchors(block: tb.Block, length: int, only_hashes: bool = False):
+    """(anchor hash, text, place, first run, last run, surroundings hash) for every anchor; or the
+    hashes alone, where nothing else is needed.
 
     Places are word positions in the block. The anchor stands for the runs that start at
     ``first run .. last run``; the surroundings are all words of these runs and the anchor's place
@@ -66,6 +67,8 @@ def anchors(block: tb.Block, length: int):
     lo = np.flatnonzero(new)
     hi = np.append(lo[1:], len(place)) - 1
     owner, place, lo, hi = owner[lo], place[lo], start[lo], start[hi]
+    if only_hashes:
+        return value[place]
     around = tb.run_hashes(block.hashes(1), lo, hi + length, 1)
     around = tb.mix(around + (place - lo).astype(np.uint64) * np.uint64(tb.BASES[0]))
     return value[place], owner, place, lo, hi, around
@@ -95,10 +98,10 @@ def repeated_anchors(texts: DataFrame, length: int, shards: int) -> DataFrame:
 
         for batch in batches:
             for block in tb.blocks(batch.column(0), lower=False):
-                found = anchors(block, length)
+                found = anchors(block, length, only_hashes=True)
                 if found is not None:
-                    parts.append(found[0])
-                    held += len(found[0])
+                    parts.append(found)
+                    held += len(found)
                 if held > FLUSH:
                     yield flushed()
                     held = 0
@@ -169,6 +172,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, text_col: str = "text",
     seeds = scratch.write(rows.mapInArrow(
         occurrences, f"anchor long, around long, {keys[0]} long, {keys[1]} long, {ints}"), "seeds")
     scratch.drop(found)
+    scratch.release()
 
     where = F.struct(*keys, "lo", "hi")
     classes = scratch.write(seeds.groupBy("anchor", "around").agg(
@@ -212,6 +216,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, text_col: str = "text",
     tried = scratch.write(one.mapInArrow(
         runs, f"run long, run2 long, {keys[0]} long, {keys[1]} long, lo int, alone boolean"),
         "runs")
+    scratch.release()
     twice = tried.groupBy("run", "run2").agg(F.count("*").alias("n")).filter("n > 1")
     single = (tried.filter("alone").join(twice.select("run", "run2"), ["run", "run2"])
               .select(*keys, "lo", F.col("lo").alias("hi")))
