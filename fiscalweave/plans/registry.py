@@ -6,6 +6,7 @@ A query reads whole tables; its SQL is composed from the views in ``oracle.py``.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -465,22 +466,33 @@ def _(t):
                                               F.count_distinct("account_id").alias("accounts"))
 
 
+#: Pairs of owner and account that one task of the bucketed chain tells apart.
+PAIRS_A_TASK = 500_000
+
+
+def _stored_alike(t: Tables, key: str, buckets: int, frames: dict[str, DataFrame]) -> list[DataFrame]:
+    """The frames as tables in as many buckets of the key, rows without one spread over them."""
+    return [t.spark.table(lay.write_bucketed(lay.spread_missing(df, key), [key, lay.SPREAD], buckets,
+                                             name)) for name, df in frames.items()]
+
+
 @query("owner_chain_bucketed", _SQL["join_owner_chain"])
 def _(t):
     keyed = t.accounts.select(c("company_id").alias("firm_id"), c("id").alias("account"))
-    stored = {name: lay.write_bucketed(df, key, 8, name) for name, df, key in (
-        ("accounts_by_account", keyed, "account"),
-        ("history_by_account", ow.owner_history_rows(t.owner_history), "account"))}
-    accounts, history = (t.spark.table(n) for n in stored.values())
-    intervals = accounts.join(history, "account", "left")  # bucket by bucket
-    by_firm = [lay.write_bucketed(df, "firm_id", 8, name) for name, df in (
-        ("companies_by_firm", t.account_status), ("intervals_by_firm", intervals))]
-    companies, intervals = (t.spark.table(n) for n in by_firm)
-    chain = (companies.join(intervals, "firm_id", "left")
-             .join(ow.user_names(t.users, t.agents, AS_OF), "user_id", "left")
-             .withColumn("account_owner", F.coalesce("agent_name", F.lit("Unmanaged"))))
-    return chain.groupBy("account_owner").agg(F.count(F.lit(1)).alias("n"),
-                                              F.count_distinct("account_id").alias("accounts"))
+    live = ow.owner_history_rows(t.owner_history)
+    accounts, history = _stored_alike(t, "account", lay.bucket_count(keyed, live), {
+        "accounts_by_account": keyed, "history_by_account": live})
+    intervals = accounts.join(history, ["account", lay.SPREAD], "left").drop(lay.SPREAD)  # bucket by bucket
+    # An interval has its owner's name before the companies repeat it, so only they fan out.
+    named = intervals.join(ow.user_names(t.users, t.agents, AS_OF), "user_id", "left")
+    companies, intervals = _stored_alike(t, "firm_id", lay.bucket_count(t.account_status, intervals), {
+        "companies_by_firm": t.account_status, "intervals_by_firm": named})
+    chain = (companies.join(intervals, ["firm_id", lay.SPREAD], "left")
+             .select("account_id", F.coalesce("agent_name", F.lit("Unmanaged")).alias("account_owner")))
+    # A task that tells pairs apart holds them all, so there are as many tasks as the chain needs.
+    parts = max(8, math.ceil(chain.count() / PAIRS_A_TASK))
+    return (chain.repartition(parts, "account_owner", "account_id").groupBy("account_owner")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("account_id").alias("accounts")))
 
 
 @query("join_align_teams", """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 
@@ -13,6 +14,9 @@ from fiscalweave.sources import sinks
 
 PERIOD = ("fy", "qtr")
 
+#: Rows of a bucket; and the column that tells rows without a key apart, with its number of values.
+BUCKET_ROWS, SPREAD, SPREADS = 250_000, "spread_", 65_536
+
 
 # -- facts by fiscal period ------------------------------------------------------------------------
 
@@ -45,20 +49,41 @@ def in_calendar(fact: DataFrame, calendar: DataFrame, date: str = "event_date")
 # -- account tables by account ---------------------------------------------------------------------
 
 
-def write_bucketed(df: DataFrame, key: str, buckets: int, name: str,
+def bucket_count(*tables: DataFrame, rows: int = BUCKET_ROWS, least: int = 8) -> int:
+    """How many buckets tables that are to meet need for about ``rows`` rows a bucket in the longest.
+
+    A bucket is sorted and joined by one task, so a fixed number of them would let the memory of a
+    task grow with the tables.
+    """
+    return max(least, math.ceil(max(t.count() for t in tables) / rows))
+
+
+def spread_missing(df: DataFrame, key: str) -> DataFrame:
+    """The frame with the column ``SPREAD``: 0 where the key is known, else drawn from the row.
+
+    Rows without a key would all lie in one bucket. Tables in buckets of (key, ``SPREAD``) are
+    joined on both; a missing key has no match either way.
+    """
+    drawn = F.pmod(F.xxhash64(*df.columns), F.lit(SPREADS)).cast("int")
+    return df.withColumn(SPREAD, F.when(F.col(key).isNull(), drawn).otherwise(0))
+
+
+def write_bucketed(df: DataFrame, key: str | Sequence[str], buckets: int, name: str,
                    sort: Sequence[str] = ()) -> str:
     """A catalog table in buckets of ``key``, sorted within them; returns its name.
 
     Tables with as many buckets of the same key join, and are grouped by it, without a shuffle of
-    either. The files lie in the shared folder. A new name is made for each write, so readers of an
-    earlier one are not disturbed; ``drop`` removes it. A bucket cannot be split: where one key
-    holds a large share of the rows use ``joins.left_lookup``.
+    either; ``bucket_count`` says how many suit their rows. The files lie in the shared folder. A
+    new name is made for each write, so readers of an earlier one are not disturbed; ``drop``
+    removes it. A bucket cannot be split: where one key holds a large share of the rows use
+    ``joins.left_lookup``, and ``spread_missing`` where many rows have none.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     table = f"{name}_{uuid.uuid4().hex}"
     path = sinks.scratch_path(df.sparkSession, name)
     # One task per bucket, so a bucket is one file and stays sorted when it is read.
-    (df.repartition(buckets, key).write.format("parquet").option("path", path)
-     .bucketBy(buckets, key).sortBy(key, *sort).saveAsTable(table))
+    (df.repartition(buckets, *keys).write.format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys, *sort).saveAsTable(table))
     return table
 
 

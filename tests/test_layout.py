@@ -12,6 +12,7 @@ from fiscalweave.config import TagRule
 from fiscalweave.operators import calendar as cal
 from fiscalweave.operators import events, owners, rule_index
 from fiscalweave.plans import binding as b
+from fiscalweave.plans import registry
 from fiscalweave.sources import layout
 
 
@@ -102,6 +103,66 @@ def test_account_tables_join_without_a_shuffle(spark, no_broadcast):
     assert not spark.catalog.tableExists(names[0])
 
 
+def test_buckets_follow_the_rows(spark, no_broadcast):
+    few, many = spark.range(10), spark.range(1_001)
+    assert layout.bucket_count(few, rows=100) == 8 and layout.bucket_count(few, many, rows=100) == 11
+    # Half of the rows have no key; they are spread, and still meet nothing.
+    left = spark.range(4_000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 400).alias("k"), "id")
+    right = spark.range(900).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"),
+                                    (F.col("id") * 7).alias("v"))
+    names = [layout.write_bucketed(layout.spread_missing(df, "k"), ["k", layout.SPREAD], 16, "spread")
+             for df in (left, right)]
+    stored, other = map(spark.table, names)
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 4_000 and max(sizes) < 800
+    joined = stored.join(other, ["k", layout.SPREAD], "left")
+    assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+    assert rows(joined.drop(layout.SPREAD)) == rows(left.join(right, "k", "left"))
+    for name in names:
+        layout.drop(spark, name)
+
+
+def odd_chain(spark, root):
+    """Orders without and with repeated keys, several owners of an account, customers without a key."""
+    day = F.to_timestamp_ntz(F.lit("2000-01-05 00:00:00"))
+    i = F.col("id")
+    made = {
+        "orders": spark.range(3_000).select(
+            F.when(i % 97 != 0, i % 2_000).alias("o_orderkey"),
+            F.when(i % 4 != 0, i % 150).alias("o_custkey"),
+            F.when(i % 2 == 0, "O").otherwise("F").alias("o_orderstatus"),
+            F.lit(1.0).alias("o_totalprice"), day.alias("o_orderdate"),
+            F.when(i % 5 == 0, "5-LOW").otherwise("1-URGENT").alias("o_orderpriority")),
+        "customer": spark.range(200).select(
+            F.when(i % 9 != 0, i % 180).alias("c_custkey"), F.lit("c").alias("c_name"),
+            F.lit(1).alias("c_nationkey"), F.lit(1.0).alias("c_acctbal"), F.lit("M").alias("c_mktsegment")),
+        "supplier": spark.range(90).select(
+            F.when(i % 11 != 0, i % 80).alias("s_suppkey"), F.lit("s").alias("s_name"),
+            F.lit(1).alias("s_nationkey"), F.lit(1.0).alias("s_acctbal"))}
+    for name, df in made.items():
+        df.write.parquet(f"{root}/{name}.parquet")
+
+
+def test_tasks_of_the_bucketed_chain_follow_the_rows(spark, tmp_path, no_broadcast, monkeypatch):
+    odd_chain(spark, str(tmp_path))
+    made, write = [], layout.write_bucketed
+    monkeypatch.setitem(layout.bucket_count.__kwdefaults__, "rows", 100)
+    monkeypatch.setattr(registry, "PAIRS_A_TASK", 1_000)
+    monkeypatch.setattr(layout, "write_bucketed", lambda df, key, buckets, *a: (
+        made.append(buckets), write(df, key, buckets, *a))[1])
+    got = registry.queries()["owner_chain_bucketed"](spark, str(tmp_path))
+    exchanges = [x for x in plan(got).splitlines() if "Exchange" in x]
+    t = b.Tables(spark, str(tmp_path))
+    chain = owners.join_owner_chain(t.account_status, t.accounts, t.owner_history, t.users, t.agents, b.AS_OF)
+    want = chain.groupBy("account_owner").agg(F.count(F.lit(1)).alias("n"),
+                                              F.count_distinct("account_id").alias("accounts"))
+    assert rows(got) == rows(want) and got.columns == want.columns
+    live = owners.owner_history_rows(t.owner_history).count()
+    assert made[:2] == [-(-live // 100)] * 2 and made[2] == made[3] >= 30
+    # The pairs are dealt over tasks by their number, and the companies meet their owners in place.
+    assert len(exchanges) == 2 and f", {-(-chain.count() // 1_000)})" in exchanges[1], exchanges
+
+
 # -- rules ---------------------------------------------------------------------------------------
 
 
